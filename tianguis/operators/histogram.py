@@ -24,7 +24,7 @@ def equal_width(df: DataFrame, value: str, bins: int) -> DataFrame:
         index = F.floor(scaled / F.nullif(high - low, F.lit(0.0)))
     else:
         index = F.call_function("div", scaled, F.nullif(high - low, F.lit(0).cast(kind)))
-    index = F.coalesce(F.least(index, F.lit(bins - 1)), F.lit(bins // 2)).cast("int")
+    index = F.when(low == high, bins // 2).otherwise(F.least(index, F.lit(bins - 1))).cast("int")
     filled = counted.groupBy(index.alias("bin")).agg(F.sum("n").alias("n"))
 
     start = F.when(low == high, low.cast("double") - 0.5).otherwise(low.cast("double"))

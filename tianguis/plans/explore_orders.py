@@ -242,10 +242,13 @@ def card_installments(frames, n: int = 12) -> DataFrame:
 def filter_domain(frames) -> DataFrame:
     """First and last day, and the sorted states and statuses to choose from."""
     orders = frames.orders.select("customer_id", "order_status", "order_purchase_timestamp")
-    days = orders.agg(
-        F.min("order_purchase_timestamp").cast("date").cast("string").alias("fecha_min"),
-        F.max("order_purchase_timestamp").cast("date").cast("string").alias("fecha_max"),
-    ).selectExpr("inline(array(struct('fecha_min' AS campo, fecha_min AS valor), struct('fecha_max', fecha_max)))")
+    when = F.col("order_purchase_timestamp")
+    days = stacked(
+        [
+            orders.agg(edge(when).cast("date").cast("string").alias("valor")).select(F.lit(name).alias("campo"), "valor")
+            for name, edge in (("fecha_min", F.min), ("fecha_max", F.max))
+        ]
+    )
     # States of customers who ordered, without a row per order: customers are matched once.
     states = frames.customers.join(orders.select("customer_id").distinct(), "customer_id", "left_semi").select(
         F.lit("customer_state").alias("campo"), F.col("customer_state").alias("valor")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tianguis.functions.dates import elapsed_days_floored
@@ -18,7 +18,7 @@ DASHBOARD_BINS = ([0, 7, 14, 21, 30, 200], ["0-7 dias", "8-14 dias", "15-21 dias
 NOTEBOOK_BINS = ([0, 7, 14, 21, 30, 60], ["0-7d", "8-14d", "15-21d", "22-30d", "30d+"])
 
 
-def mean(column) -> F.Column:
+def mean(column) -> Column:
     """Mean of an integer column as one division, so that it does not depend on the order of rows."""
     return F.sum(column).cast("double") / F.nullif(F.count(column), F.lit(0))
 

@@ -20,24 +20,6 @@ from tianguis.sources.warehouse import upsert_snapshots
 NO_CATEGORY = "Sin Categoría"
 CURRENT, LAST_MONTH, LAST_YEAR = "actual", "mes_anterior", "anio_anterior"
 
-REPORT_COLUMNS = [
-    "periodo",
-    "ingresos_totales",
-    "ingresos_mes_anterior",
-    "crecimiento_mom_pct",
-    "ingresos_anio_anterior",
-    "crecimiento_yoy_pct",
-    "total_ordenes",
-    "ticket_promedio",
-    "top_categoria_1",
-    "top_categoria_2",
-    "top_categoria_3",
-    "top_vendedor_1",
-    "top_vendedor_2",
-    "top_vendedor_3",
-    "score_satisfaccion_avg",
-]
-
 
 class InvalidParameter(ValueError):
     """K3: a month or year outside the accepted range."""
@@ -178,14 +160,10 @@ def month_figures(star, first: tuple[int, int], last: tuple[int, int]) -> DataFr
     )
 
 
-def monthly_report(star, year: int, month: int, until: tuple[int, int] | None = None) -> DataFrame:
-    """The 15 report columns for one month, or for every month up to ``until``."""
-    validate_period(year, month)
-    if until:
-        validate_period(*until)
-    figures = month_figures(star, (year, month), until or (year, month))
+def report_rows(star, first: tuple[int, int], last: tuple[int, int]) -> DataFrame:
+    """The 15 report columns for every month of a range."""
     ingresos = F.col("ingresos")
-    return figures.select(
+    return month_figures(star, first, last).select(
         "periodo",
         ingresos.cast("decimal(15,2)").alias("ingresos_totales"),
         F.col("ingresos_mes").cast("decimal(15,2)").alias("ingresos_mes_anterior"),
@@ -200,10 +178,14 @@ def monthly_report(star, year: int, month: int, until: tuple[int, int] | None =
     )
 
 
+def monthly_report(star, year: int, month: int) -> DataFrame:
+    """The report for one month; the filter on the date key prunes the fact."""
+    validate_period(year, month)
+    return report_rows(star, (year, month), (year, month))
+
+
 def monthly_snapshots(star, first: tuple[int, int], last: tuple[int, int]) -> DataFrame:
     """Snapshot rows; a month without reviews has no score."""
-    validate_period(*first)
-    validate_period(*last)
     return month_figures(star, first, last).select(
         "periodo",
         F.col("ingresos").cast("decimal(15,2)").alias("ingresos_totales"),
@@ -217,6 +199,8 @@ def monthly_snapshots(star, first: tuple[int, int], last: tuple[int, int]) -> Da
 
 def refresh_snapshots(star, folder: str, first: tuple[int, int], last: tuple[int, int]) -> None:
     """Recompute the months of a range and replace their stored rows."""
+    validate_period(*first)
+    validate_period(*last)
     upsert_snapshots(monthly_snapshots(star, first, last), folder)
 
 
