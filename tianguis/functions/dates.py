@@ -15,7 +15,7 @@ def date_key(when: Column) -> Column:
 
 def month_key(date_sk: Column) -> Column:
     """YYYYMM integer of a YYYYMMDD key."""
-    return F.floor(date_sk / 100).cast("int")
+    return F.call_function("div", date_sk, F.lit(100)).cast("int")
 
 
 def period_label(month: Column) -> Column:

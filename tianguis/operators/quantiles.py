@@ -7,7 +7,7 @@ next to each quantile are picked. Fractions are given as integers, so positions
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tianguis.operators.ordering import Sized, running, sized
@@ -55,22 +55,23 @@ def quantiles_of(df: DataFrame, value: str, fractions: dict[str, tuple[int, int]
 def box_statistics(df: DataFrame, by: str, value: str) -> DataFrame:
     """Count, quartiles and 1.5 IQR whiskers per group.
 
-    For values from a bounded domain (clipped amounts): a group's counted values are then
-    bounded too, and the window per group holds at most that many rows.
+    All groups share one global order by (group, value); what lies before a group is then
+    subtracted. A group that holds most of the rows is spread over tasks like any other rows.
     """
-    counted = counted_values(df, value, [by])
-    upto = Window.partitionBy(by).orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ordered = counted.select(
-        "*", F.sum("n").over(upto).alias("upto"), F.sum("n").over(Window.partitionBy(by)).alias("total")
+    counted = sized(counted_values(df.where(F.col(by).isNotNull()), value, [by]))
+    ordered = running(counted, [(by, False), (value, False)], sums={"n": ("_upto", "_all")})
+    groups = ordered.groupBy(by).agg(
+        F.min(F.col("_upto") - F.col("n")).alias("_before"), F.sum("n").alias("total")
     )
-    quartiles = ordered.groupBy(by).agg(
+    placed = ordered.join(groups, by).withColumn("upto", F.col("_upto") - F.col("_before"))
+    quartiles = placed.groupBy(by).agg(
         F.sum("n").alias("n"),
         _pick(value, (1, 4)).alias("q1"),
         _pick(value, (1, 2)).alias("mediana"),
         _pick(value, (3, 4)).alias("q3"),
     )
     spread = (F.col("q3") - F.col("q1")) * F.lit(1.5).cast("decimal(2,1)")
-    inside = counted.join(quartiles.drop("n"), by).groupBy(by).agg(
+    inside = counted.df.join(quartiles.drop("n"), by).groupBy(by).agg(
         F.min(F.when(F.col(value) >= F.col("q1") - spread, F.col(value))).alias("_low"),
         F.max(F.when(F.col(value) <= F.col("q3") + spread, F.col(value))).alias("_high"),
     )

@@ -55,15 +55,19 @@ def top_categories(stats: DataFrame, n: int = 15) -> DataFrame:
 def category_scores(frames, min_reviews: int = 100) -> DataFrame:
     """Mean score per category over (review, item) pairs, reviews without items included.
 
-    Reviews are summed per order before items join, so no pair is produced.
+    Reviews are summed per order and items counted per order and product before they meet, so
+    no pair is produced. (Adaptive execution cannot split the right side of a left join, hence
+    the second count: an order then has at most one row per product.)
     """
     per_order = frames.reviews.where(F.col("review_score").isNotNull()).groupBy("order_id").agg(
         F.count(F.lit(1)).alias("_n"), F.sum(F.col("review_score").cast("int")).alias("_score")
     )
+    bought = frames.order_items.groupBy("order_id", "product_id").agg(F.count(F.lit(1)).alias("_items"))
+    items = F.coalesce("_items", F.lit(1))
     per_product = (
-        per_order.join(frames.order_items.select("order_id", "product_id"), "order_id", "left")
+        per_order.join(bought, "order_id", "left")
         .groupBy("product_id")
-        .agg(F.sum("_n").alias("_n"), F.sum("_score").alias("_score"))
+        .agg(F.sum(F.col("_n") * items).alias("_n"), F.sum(F.col("_score") * items).alias("_score"))
     )
     categories = frames.products.join(frames.translation, "product_category_name", "left").select(
         "product_id", "product_category_name_english"

@@ -243,11 +243,9 @@ def filter_domain(frames) -> DataFrame:
     """First and last day, and the sorted states and statuses to choose from."""
     orders = frames.orders.select("customer_id", "order_status", "order_purchase_timestamp")
     when = F.col("order_purchase_timestamp")
-    days = stacked(
-        [
-            orders.agg(edge(when).cast("date").cast("string").alias("valor")).select(F.lit(name).alias("campo"), "valor")
-            for name, edge in (("fecha_min", F.min), ("fecha_max", F.max))
-        ]
+    ends = {"fecha_min": F.min(when), "fecha_max": F.max(when)}
+    days = orders.agg(*[edge.cast("date").cast("string").alias(name) for name, edge in ends.items()]).select(
+        F.inline(F.array(*[F.struct(F.lit(name).alias("campo"), F.col(name).alias("valor")) for name in ends]))
     )
     # States of customers who ordered, without a row per order: customers are matched once.
     states = frames.customers.join(orders.select("customer_id").distinct(), "customer_id", "left_semi").select(

@@ -86,11 +86,16 @@ def daily_totals(star, low_key: int, high_key: int) -> DataFrame:
     return per_day.join(star.dim_date.select("date_sk", "full_date"), "date_sk").drop("date_sk")
 
 
-def _top_three(per_month: DataFrame, name: str, prefix: str) -> DataFrame:
-    """F5+E22: the three names with the most revenue per month, as columns."""
-    best_first = Window.partitionBy("periodo").orderBy(F.col("revenue").desc(), F.col(name).asc())
-    ranked = per_month.withColumn("rn", F.row_number().over(best_first)).where(F.col("rn") <= 3)
-    return ranked.groupBy("periodo").agg(
+def _best_three(per_month: DataFrame, tie_break: str) -> DataFrame:
+    """the three rows with the most revenue per month, numbered. Spark keeps only three per
+    month and task before the shuffle."""
+    best_first = Window.partitionBy("periodo").orderBy(F.col("revenue").desc(), F.col(tie_break).asc())
+    return per_month.withColumn("rn", F.row_number().over(best_first)).where(F.col("rn") <= 3)
+
+
+def _as_columns(best: DataFrame, name: str, prefix: str) -> DataFrame:
+    """Rows 1 to 3 of a month as three columns."""
+    return best.groupBy("periodo").agg(
         *[F.max(F.when(F.col("rn") == k, F.col(name).cast("string"))).alias(f"{prefix}_{k}") for k in (1, 2, 3)]
     )
 
@@ -113,14 +118,15 @@ def top_categories(star, low_key: int, high_key: int) -> DataFrame:
         .groupBy("periodo", "categoria")
         .agg(F.sum("revenue").alias("revenue"))
     )
-    return _top_three(per_month, "categoria", "top_categoria")
+    return _as_columns(_best_three(per_month, "categoria"), "categoria", "top_categoria")
 
 
 def top_sellers(star, low_key: int, high_key: int) -> DataFrame:
-    per_month = _per_month(star, "seller_sk", low_key, high_key).join(
-        star.dim_sellers.select("seller_sk", "seller_id"), "seller_sk"
-    )
-    return _top_three(per_month, "seller_id", "top_vendedor")
+    """Sellers are looked up for the three winners of a month only; equal revenue is decided by
+    the surrogate key."""
+    best = _best_three(_per_month(star, "seller_sk", low_key, high_key), "seller_sk")
+    named = best.join(star.dim_sellers.select("seller_sk", "seller_id"), "seller_sk")
+    return _as_columns(named, "seller_id", "top_vendedor")
 
 
 def month_figures(star, first: tuple[int, int], last: tuple[int, int]) -> DataFrame:
