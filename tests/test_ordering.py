@@ -79,6 +79,8 @@ def test_measuring_prefers_the_dimension(spark):
 
 def test_partitions_are_really_crossed(many_partitions):
     df = many_partitions.createDataFrame(pairs(500, 10**6), "id long, v long")
+    spread = df.repartitionByRange("v", "id").select(F.spark_partition_id().alias("part")).distinct().count()
+    assert spread > 4
     got = running(Sized(df, False), [("v", False), ("id", False)], position="p")
     values = [r["v"] for r in got.orderBy("p").collect()]
     assert values == sorted(values) and len(np.unique([r["p"] for r in got.collect()])) == 500
