@@ -145,12 +145,14 @@ PLANS: dict[str, Callable[[StandIn], DataFrame]] = {
     "monthly_report_batch": _snapshots,
     "months_with_revenue": lambda s: monthly.months_with_revenue(_snapshots(s)),
     "snapshot_listing": lambda s: monthly.snapshot_listing(_snapshots(s)),
+    "snapshot_listing_text": lambda s: monthly.snapshot_listing_text(_snapshots(s)),
     "snapshot_peak": lambda s: monthly.snapshot_peak(_snapshots(s)),
     # Segments.
     "seller_segments": lambda s: segments.segment_sellers(s.star),
     "seller_segments_by_range": lambda s: segments.segment_sellers(s.star, single_task_rows=0),
     "segment_summary": lambda s: segments.segment_summary(segments.segment_sellers(s.star)),
     "segment_distribution": lambda s: segments.segment_distribution(segments.segment_sellers(s.star)),
+    "segment_distribution_text": lambda s: segments.segment_distribution_text(segments.segment_sellers(s.star)),
     "segment_a_top10": lambda s: segments.segment_top(segments.segment_sellers(s.star)),
     "segment_avg_revenue": lambda s: segments.segment_mean_revenue(segments.segment_sellers(s.star)),
     # The star schema from text staging.
@@ -169,6 +171,7 @@ PLANS: dict[str, Callable[[StandIn], DataFrame]] = {
     "dq_info": lambda s: quality.star_info(_written_star(s)),
     "dq_checks": lambda s: quality.star_checks(_written_star(s)),
     "dq_constraints": lambda s: quality.star_constraints(_written_star(s)),
+    "dq_text_lengths": lambda s: quality.text_lengths(_written_star(s)),
     "dq_fact_amounts": lambda s: quality.fact_amounts(_built_star(s)),
     "fk_coverage": lambda s: quality.fk_coverage(_built_star(s)),
     "sk_integrity": lambda s: quality.sk_integrity(_built_star(s)),
@@ -187,6 +190,7 @@ PLANS: dict[str, Callable[[StandIn], DataFrame]] = {
     "eda_monthly": lambda s: orders.orders_by_month(orders.orders_enriched(s)),
     "eda_monthly_delivered": lambda s: orders.orders_by_month(orders.filter_orders(orders.orders_enriched(s))),
     "eda_monthly_filtered": lambda s: orders.orders_by_month(_filtered(s)),
+    "eda_monthly_text": lambda s: orders.monthly_table_text(orders.orders_by_month(orders.orders_enriched(s))),
     "eda_monthly_highlights": lambda s: orders.monthly_highlights(orders.orders_by_month(orders.orders_enriched(s))),
     "order_value_stats": orders.order_value_stats,
     "order_value_histogram": orders.order_value_histogram,

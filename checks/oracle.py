@@ -156,6 +156,10 @@ def mean_money(cents: str, count: str, digits: int = 2) -> str:
     return div(cents, f"(100 * ({count}))", digits)
 
 
+def money_text(cents: str, symbol: str = "$", digits: int = 2) -> str:
+    return f"'{symbol}' || format('{{:,.{digits}f}}', {cents})"
+
+
 def big(value: str) -> str:
     return f"CAST({value} AS BIGINT)"
 
@@ -359,6 +363,12 @@ def _segments(base: list[str], sellers: str) -> dict[str, str]:
             {money('min(rev)')} AS revenue_min, {money('max(rev)')} AS revenue_max,
             {div('sum(n_orders)', 'count(*)', 1)} AS ordenes_promedio FROM tiled GROUP BY 1"""
         ),
+        "segment_distribution_text": on(
+            f"""SELECT segmento, count(*) AS vendedores,
+            {money_text(mean_money('sum(rev)', 'count(*)'))} AS revenue_promedio,
+            {money_text(money('min(rev)'))} AS revenue_min, {money_text(money('max(rev)'))} AS revenue_max,
+            {money_text(div('sum(n_orders)', 'count(*)', 1), '', 1)} AS ordenes_promedio FROM tiled GROUP BY 1"""
+        ),
         "segment_a_top10": on(
             f"""SELECT seller_id, city AS ciudad, state AS estado, {money('rev')} AS ingresos, n_orders AS ordenes,
             n_products AS skus, first_day AS primera_venta, last_day AS ultima_venta
@@ -436,6 +446,13 @@ def _monthly() -> dict[str, str]:
             top_categoria_1 AS cat_top1, score_satisfaccion AS satisfaccion FROM snap""",
             **everything,
         ),
+        "snapshot_listing_text": query(
+            base,
+            f"""SELECT periodo, {money_text('ingresos_totales')} AS ingresos, total_ordenes AS ordenes,
+            {money_text('ticket_promedio')} AS ticket, top_categoria_1 AS cat_top1,
+            score_satisfaccion AS satisfaccion FROM snap""",
+            **everything,
+        ),
         "snapshot_peak": query(
             base, "SELECT periodo, ingresos_totales FROM snap ORDER BY ingresos_totales DESC, periodo LIMIT 1", **everything
         ),
@@ -446,7 +463,8 @@ def _monthly() -> dict[str, str]:
               count(*) FILTER (NOT regexp_matches(periodo, '^[0-9]{4}-[0-9]{2}$')) AS resultado FROM snap
             UNION ALL SELECT 'ingresos negativos', count(*) FILTER (ingresos_totales < 0) FROM snap
             UNION ALL SELECT 'sin top_categoria_1',
-              count(*) FILTER (ingresos_totales > 0 AND top_categoria_1 IS NULL) FROM snap)""",
+              count(*) FILTER (ingresos_totales > 0 AND top_categoria_1 IS NULL) FROM snap
+            UNION ALL SELECT 'periodo duplicado', count(*) - count(DISTINCT periodo) FROM snap)""",
             **everything,
         ),
     }
@@ -520,14 +538,48 @@ def _star() -> dict[str, str]:
         ("fact_reviews.order_sk", "rev", "order_id", "ord", "order_id"),
     ]
     required = [
-        ("fact_order_items.order_id", "fact", "order_id"),
-        ("fact_order_items.order_item_id", "fact", "order_item_id"),
-        ("fact_payments.order_id", "pay", "order_id"),
-        ("fact_reviews.order_id", "rev", "order_id"),
+        *[
+            (f"dim_date.{c}", "calendar", "full_date")
+            for c in "date_sk full_date year quarter month month_name day day_of_week day_name is_weekend".split()
+        ],
+        ("dim_customers.customer_sk", "cust", "customer_id"),
         ("dim_customers.customer_id", "cust", "customer_id"),
+        ("dim_sellers.seller_sk", "sell", "seller_id"),
         ("dim_sellers.seller_id", "sell", "seller_id"),
+        ("dim_products.product_sk", "prod", "product_id"),
         ("dim_products.product_id", "prod", "product_id"),
+        ("dim_orders.order_sk", "ord", "order_id"),
         ("dim_orders.order_id", "ord", "order_id"),
+        ("fact_order_items.order_item_sk", "fact", "order_id"),
+        ("fact_order_items.order_id", "fact", "order_id"),
+        ("fact_order_items.order_item_id", "fact", "order_item_id"),
+        ("fact_payments.payment_sk", "pay", "order_id"),
+        ("fact_payments.order_id", "pay", "order_id"),
+        ("fact_reviews.review_sk", "rev", "order_id"),
+        ("fact_reviews.order_id", "rev", "order_id"),
+    ]
+    lengths = [
+        ("dim_date.month_name", "calendar", "monthname(full_date)", 20),
+        ("dim_date.day_name", "calendar", "dayname(full_date)", 20),
+        ("dim_customers.customer_id", "cust", "customer_id", 32),
+        ("dim_customers.customer_unique_id", "cust", "customer_unique_id", 32),
+        ("dim_customers.customer_zip_code_prefix", "cust", "zip", 8),
+        ("dim_customers.customer_city", "cust", "clean_city", 100),
+        ("dim_customers.customer_state", "cust", "state", 2),
+        ("dim_sellers.seller_id", "sell", "seller_id", 32),
+        ("dim_sellers.seller_zip_code_prefix", "sell", "zip", 8),
+        ("dim_sellers.seller_city", "sell", "city", 100),
+        ("dim_sellers.seller_state", "sell", "state", 2),
+        ("dim_products.product_id", "prod", "product_id", 32),
+        ("dim_products.product_category_name", "prod", "raw", 100),
+        ("dim_products.product_category_name_english", "prod", "english", 100),
+        ("dim_orders.order_id", "ord", "order_id", 32),
+        ("dim_orders.order_status", "ord", "order_status", 20),
+        ("fact_order_items.order_id", "fact", "order_id", 32),
+        ("fact_payments.order_id", "pay", "order_id", 32),
+        ("fact_payments.payment_type", "pay", "payment_type", 30),
+        ("fact_reviews.review_id", "rev", "review_id", 32),
+        ("fact_reviews.order_id", "rev", "order_id", 32),
     ]
     constraints = (
         [f"SELECT 'pk {n}' AS test, count(*) - count(DISTINCT {k}) AS resultado FROM {t}" for n, (k, t) in dims.items()]
@@ -626,6 +678,15 @@ def _star() -> dict[str, str]:
             every, checks.format(zero(f"SELECT '{label}' AS test, ({sql}) AS resultado" for label, sql in star_checks))
         ),
         "dq_constraints": query(every, checks.format(zero(constraints))),
+        "dq_text_lengths": query(
+            every,
+            checks.format(
+                zero(
+                    f"SELECT 'largo {n}' AS test, count(*) FILTER (length(CAST({c} AS VARCHAR)) > {m}) AS resultado FROM {t}"
+                    for n, t, c, m in lengths
+                )
+            ),
+        ),
         "dq_fact_amounts": query(
             ["fact"],
             checks.format(
@@ -783,6 +844,11 @@ def _orders() -> dict[str, str]:
         "eda_monthly": query(["enriched"], show_month, m=monthly.format("")),
         "eda_monthly_delivered": query(["enriched"], show_month, m=monthly.format(delivered_only)),
         "eda_monthly_filtered": query(["enriched"], show_month, m=monthly.format(filters)),
+        "eda_monthly_text": query(
+            ["enriched"],
+            f"SELECT strftime(mes, '%Y-%m') AS mes, n AS ordenes, {money_text(money('r'), 'R$ ', 0)} AS revenue FROM m",
+            m=monthly.format(""),
+        ),
         "eda_monthly_highlights": query(
             ["enriched"],
             """SELECT (SELECT mes FROM m ORDER BY n DESC, mes LIMIT 1) AS mes_pico, (SELECT max(n) FROM m) AS ordenes_pico,

@@ -73,4 +73,10 @@ def test_snapshot_rules(spark):
         [("2018-1", 5.0, "x"), ("2018-02", -1.0, None), ("2018-03", 2.0, None)],
         "periodo string, ingresos_totales double, top_categoria_1 string",
     )
-    assert [v[0] for v in verdicts(quality.snapshot_checks(bad)).values()] == [1, 1, 1]
+    assert [v[0] for v in verdicts(quality.snapshot_checks(bad.unionByName(bad.limit(1)))).values()] == [2, 1, 1, 1]
+
+
+def test_text_lengths(star):
+    assert {v for v in verdicts(quality.text_lengths(star)).values()} == {(0, "PASS")}
+    long_state = dataclasses.replace(star, dim_sellers=star.dim_sellers.withColumn("seller_state", F.lit("SPX")))
+    assert verdicts(quality.text_lengths(long_state))["largo dim_sellers.seller_state"] == (3, "FAIL")

@@ -5,7 +5,9 @@ from decimal import Decimal
 
 import pytest
 from conftest import FIXTURES, rows
+from pyspark.sql import functions as F
 
+from tianguis.functions.display import minute_text, money_text
 from tianguis.plans import monthly, reporting, segments
 from tianguis.plans.quality import staging_counts
 from tianguis.plans.star import build_star, plan_star
@@ -14,6 +16,7 @@ from tianguis.session import use_checkpoint_folder
 from tianguis.sources.raw import manifest, read_raw, read_staging, typed, write_staging
 from tianguis.sources.warehouse import (
     read_segments,
+    publish_tables,
     read_snapshots,
     register_views,
     star_tables,
@@ -83,6 +86,26 @@ def test_star_round_trip_and_views_by_name(spark, raw, star, tmp_path):
     assert months == {201801, 201803, 201804}
 
 
+def test_tables_are_selectable_by_qualified_name(spark, raw, tmp_path):
+    build_star(spark, raw, str(tmp_path))
+    publish_tables(spark, "dwh", str(tmp_path), list(STAR_COLUMNS))
+    assert spark.sql("SELECT count(*) FROM dwh.fact_order_items WHERE date_sk >= 20180401").first()[0] == 2
+    assert spark.sql("SELECT max(full_date) FROM dwh.dim_date").first()[0] == dt.date(2018, 4, 30)
+    spark.sql("DROP DATABASE dwh CASCADE")
+
+
+def test_text_for_readers(spark):
+    row = spark.sql("SELECT CAST(1234.5 AS DECIMAL(15,2)) v, TIMESTAMP '2018-08-31 23:59:58' t").select(
+        money_text(F.col("v")), money_text(F.col("v"), "R$ ", 0), minute_text(F.col("t"))
+    ).first()
+    assert tuple(row) == ("$1,234.50", "R$ 1,234", "2018-08-31 23:59")
+
+
+def test_single_line_tables_can_be_split(spark):
+    only = read_raw(spark, FIXTURES, ["order_items"], single_line=["order_items"])["order_items"]
+    assert only.count() == 9
+
+
 def test_one_month_reads_one_partition_range(spark, raw, tmp_path):
     stored = build_star(spark, raw, str(tmp_path))
     plan = stored.fact_order_items.where("date_sk between 20180401 and 20180430").select("date_sk")

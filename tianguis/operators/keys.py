@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-KEY_BUCKETS = 4096
+KEY_BUCKETS = 65_536
 
 
 def first_by_key(df: DataFrame, key: str) -> DataFrame:

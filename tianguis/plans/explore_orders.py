@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tianguis.functions.dates import month_start
+from tianguis.functions.display import money_text
 from tianguis.functions.numbers import clip, exact_mean, share
 from tianguis.operators.checks import stacked
 from tianguis.operators.histogram import equal_width
@@ -120,6 +121,15 @@ def orders_by_month(orders: DataFrame) -> DataFrame:
     )
 
 
+def monthly_table_text(monthly: DataFrame) -> DataFrame:
+    """The monthly table as it is shown."""
+    return monthly.select(
+        F.date_format("mes", "yyyy-MM").alias("mes"),
+        F.col("n_ordenes").alias("ordenes"),
+        money_text(F.col("revenue"), "R$ ", 0).alias("revenue"),
+    )
+
+
 def monthly_highlights(monthly: DataFrame) -> DataFrame:
     """The month with most orders, and growth from the fifth month to the third last."""
     # One row per calendar month.

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tianguis.functions.dates import month_key, period_label
+from tianguis.functions.display import money_text
 from tianguis.functions.numbers import exact_mean, growth
 from tianguis.plans.reporting import review_summary
 from tianguis.sources.warehouse import upsert_snapshots
@@ -227,6 +228,13 @@ def snapshot_listing(snapshots: DataFrame) -> DataFrame:
     )
 
 
+def snapshot_listing_text(snapshots: DataFrame) -> DataFrame:
+    """The listing as it is printed."""
+    return snapshot_listing(snapshots).withColumns(
+        {"ingresos": money_text(F.col("ingresos")), "ticket": money_text(F.col("ticket"))}
+    )
+
+
 def snapshot_peak(snapshots: DataFrame) -> DataFrame:
     """The period with the highest revenue."""
     return snapshots.orderBy(F.col("ingresos_totales").desc(), "periodo").limit(1).select("periodo", "ingresos_totales")

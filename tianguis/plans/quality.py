@@ -15,6 +15,7 @@ from tianguis.operators.checks import (
     violations,
     with_verdict,
 )
+from tianguis.schemas import MAX_LENGTHS, REQUIRED_STAR_COLUMNS
 
 
 class QualityFailure(RuntimeError):
@@ -96,22 +97,27 @@ def star_constraints(star) -> DataFrame:
             ("fact_reviews", "order_sk", "dim_orders"),
         )
     ]
-    required = {
-        "fact_order_items": ["order_id", "order_item_id"],
-        "fact_payments": ["order_id"],
-        "fact_reviews": ["order_id"],
-        "dim_customers": ["customer_id"],
-        "dim_sellers": ["seller_id"],
-        "dim_products": ["product_id"],
-        "dim_orders": ["order_id"],
-    }
     parts += [
         violations(getattr(star, table), {f"not null {table}.{c}": F.col(c).isNull() for c in columns})
-        for table, columns in required.items()
+        for table, columns in REQUIRED_STAR_COLUMNS.items()
     ]
     return with_verdict(stacked(parts))
 
 
+def text_lengths(star) -> DataFrame:
+    """Declared text lengths, as checks: a longer value used to be refused on insert."""
+    return with_verdict(
+        stacked(
+            [
+                violations(
+                    getattr(star, table), {f"largo {table}.{c}": F.length(c) > longest for c, longest in lengths.items()}
+                )
+                for table, lengths in MAX_LENGTHS.items()
+            ]
+        )
+    )
+
+
 def fact_amounts(star) -> DataFrame:
     """M2, M3: unresolved keys and negative amounts of the item fact, in one pass."""
     keys = ("customer_sk", "product_sk", "seller_sk", "order_sk", "date_sk")
@@ -179,17 +185,17 @@ def view_checks(views: Mapping[str, DataFrame], min_rows: int = 50) -> DataFrame
 
 
 def snapshot_checks(snapshots: DataFrame) -> DataFrame:
-    """Period format, revenue sign, and a top category wherever there are sales."""
-    return with_verdict(
-        violations(
-            snapshots,
-            {
-                "periodo con formato incorrecto": ~F.col("periodo").rlike(r"^\d{4}-\d{2}$"),
-                "ingresos negativos": F.col("ingresos_totales") < 0,
-                "sin top_categoria_1": (F.col("ingresos_totales") > 0) & F.col("top_categoria_1").isNull(),
-            },
-        )
+    """Period format, revenue sign, a top category wherever there are sales, one
+    row per period."""
+    rules = violations(
+        snapshots,
+        {
+            "periodo con formato incorrecto": ~F.col("periodo").rlike(r"^\d{4}-\d{2}$"),
+            "ingresos negativos": F.col("ingresos_totales") < 0,
+            "sin top_categoria_1": (F.col("ingresos_totales") > 0) & F.col("top_categoria_1").isNull(),
+        },
     )
+    return with_verdict(stacked([rules, duplicate_keys(snapshots, ["periodo"], "periodo duplicado")]))
 
 
 def segment_checks(segments: DataFrame) -> DataFrame:

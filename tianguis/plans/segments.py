@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tianguis.functions.display import money_text
 from tianguis.functions.numbers import exact_mean, percent
 from tianguis.operators.ordering import running, sized, tile_of
 from tianguis.sources.warehouse import read_segments, rewrite_segments
@@ -102,6 +103,17 @@ def segment_distribution(segments: DataFrame) -> DataFrame:
     )
 
 
+def segment_distribution_text(segments: DataFrame) -> DataFrame:
+    """The distribution as it is printed."""
+    amounts = ("revenue_promedio", "revenue_min", "revenue_max")
+    return segment_distribution(segments).withColumns(
+        {
+            **{c: money_text(F.col(c)) for c in amounts},
+            "ordenes_promedio": F.format_number("ordenes_promedio", 1),
+        }
+    )
+
+
 def segment_top(segments: DataFrame, segment: str = "A", n: int = 10) -> DataFrame:
     """The ``n`` sellers with the most revenue in a segment."""
     return (

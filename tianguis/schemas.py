@@ -142,6 +142,51 @@ STAR_COLUMNS: dict[str, str] = {
     ),
 }
 
+# Longest text each star column accepts.
+MAX_LENGTHS: dict[str, dict[str, int]] = {
+    "dim_date": {"month_name": 20, "day_name": 20},
+    "dim_customers": {
+        "customer_id": 32,
+        "customer_unique_id": 32,
+        "customer_zip_code_prefix": 8,
+        "customer_city": 100,
+        "customer_state": 2,
+    },
+    "dim_sellers": {"seller_id": 32, "seller_zip_code_prefix": 8, "seller_city": 100, "seller_state": 2},
+    "dim_products": {
+        "product_id": 32,
+        "product_category_name": 100,
+        "product_category_name_english": 100,
+    },
+    "dim_orders": {"order_id": 32, "order_status": 20},
+    "fact_order_items": {"order_id": 32},
+    "fact_payments": {"order_id": 32, "payment_type": 30},
+    "fact_reviews": {"review_id": 32, "order_id": 32},
+}
+
+# Star columns that must have a value.
+REQUIRED_STAR_COLUMNS: dict[str, list[str]] = {
+    "dim_date": [
+        "date_sk",
+        "full_date",
+        "year",
+        "quarter",
+        "month",
+        "month_name",
+        "day",
+        "day_of_week",
+        "day_name",
+        "is_weekend",
+    ],
+    "dim_customers": ["customer_sk", "customer_id"],
+    "dim_sellers": ["seller_sk", "seller_id"],
+    "dim_products": ["product_sk", "product_id"],
+    "dim_orders": ["order_sk", "order_id"],
+    "fact_order_items": ["order_item_sk", "order_id", "order_item_id"],
+    "fact_payments": ["payment_sk", "order_id"],
+    "fact_reviews": ["review_sk", "order_id"],
+}
+
 SNAPSHOT_COLUMNS = (
     "periodo string, fecha_generacion timestamp, ingresos_totales decimal(15,2), total_ordenes bigint, "
     "ticket_promedio decimal(10,2), top_categoria_1 string, top_categoria_2 string, top_categoria_3 string, "

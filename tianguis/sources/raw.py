@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Collection, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,12 +16,14 @@ def read_raw(
     folder: str,
     tables: list[str] | None = None,
     files: Mapping[str, str] | None = None,
+    single_line: Collection[str] = (),
 ) -> dict[str, DataFrame]:
     """A1: one all-text frame per CSV file under ``folder`` (local, ``s3a://``, ``hdfs://`` ...).
 
     ``files`` maps a table to its file or folder name; the default is ``<table>.csv``. Fields
-    may hold line breaks and doubled quotes (T8). A quoted file cannot be split, so a large
-    table should arrive as many files in one folder.
+    may hold line breaks and doubled quotes (T8). A file that may hold line breaks is read by
+    one task, so a large table should arrive as many files in one folder, or be named in
+    ``single_line`` when its fields are known to hold none; then its files are split.
     """
     files = files or {}
     return {
@@ -30,7 +32,7 @@ def read_raw(
             schema=text_schema(table),
             header=True,
             encoding="UTF-8",
-            multiLine=True,
+            multiLine=table not in single_line,
             quote='"',
             escape='"',
         )

@@ -92,6 +92,16 @@ def read_segments(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema(SEGMENT_COLUMNS).parquet(folder)
 
 
+def publish_tables(spark: SparkSession, database: str, folder: str, names: list[str]) -> None:
+    """Make stored tables selectable as ``database.table`` from SQL."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    for name in names:
+        spark.sql(f"DROP TABLE IF EXISTS {database}.{name}")
+        spark.catalog.createTable(f"{database}.{name}", path=f"{folder}/{name}", source="parquet")
+        if any(column.isPartition for column in spark.catalog.listColumns(f"{database}.{name}")):
+            spark.catalog.recoverPartitions(f"{database}.{name}")
+
+
 def register_views(views: Mapping[str, DataFrame]) -> None:
     """Make frames queryable by name from SQL."""
     for name, df in views.items():
