@@ -39,7 +39,9 @@ def with_arrival_key(df: DataFrame, name: str) -> DataFrame:
     """B1 for facts: a unique integer given as rows are written.
 
     Nothing refers to a fact row by its key, so a dense number would buy a sort of the largest
-    table for a value nobody reads. Values are fixed once the table is written.
+    table for a value nobody reads. It must be the last step before a write: within the writing
+    task a repeated attempt replaces its whole output, while a shuffle after this step could mix
+    the keys of two attempts. Values are fixed once the table is written.
     """
     return df.select(F.monotonically_increasing_id().alias(name), *df.columns)
 

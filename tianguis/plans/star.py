@@ -11,8 +11,8 @@ from tianguis.functions.dates import date_key, sunday_zero
 from tianguis.functions.numbers import MONEY
 from tianguis.functions.text import blank_to_null, clean_city, clean_state
 from tianguis.operators.keys import first_by_key, lookup, with_arrival_key, with_surrogate_key
-from tianguis.schemas import STAR_COLUMNS, conform
-from tianguis.sources.warehouse import Star, read_star, write_table
+from tianguis.schemas import FACT_KEYS, STAR_COLUMNS, conform
+from tianguis.sources.warehouse import Star, read_star, write_dimension, write_fact
 
 ORDER_TIMESTAMPS = [
     "order_purchase_timestamp",
@@ -92,7 +92,7 @@ def dim_orders(staging: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def fact_order_items(staging: Mapping[str, DataFrame], dims: Mapping[str, DataFrame]) -> DataFrame:
-    """Items whose order, customer, product and seller are all known.
+    """Items whose order, customer, product and seller are all known, without a row key.
 
     The order side (order, its date, its customer) is joined up first, so items cross the
     network once for it.
@@ -118,8 +118,7 @@ def fact_order_items(staging: Mapping[str, DataFrame], dims: Mapping[str, DataFr
     )
     items = lookup(items, dims["dim_products"], "product_id", "product_sk")
     items = lookup(items, dims["dim_sellers"], "seller_id", "seller_sk")
-    joined = items.join(orders, "order_id")
-    return conform(with_arrival_key(joined, "order_item_sk"), STAR_COLUMNS["fact_order_items"])
+    return items.join(orders, "order_id")
 
 
 def fact_payments(staging: Mapping[str, DataFrame], dims: Mapping[str, DataFrame]) -> DataFrame:
@@ -131,8 +130,7 @@ def fact_payments(staging: Mapping[str, DataFrame], dims: Mapping[str, DataFrame
         blank_to_null("payment_installments").cast("int").alias("payment_installments"),
         blank_to_null("payment_value").cast(MONEY).alias("payment_value"),
     )
-    joined = lookup(typed, dims["dim_orders"], "order_id", "order_sk", "left")
-    return conform(with_arrival_key(joined, "payment_sk"), STAR_COLUMNS["fact_payments"])
+    return lookup(typed, dims["dim_orders"], "order_id", "order_sk", "left")
 
 
 def fact_reviews(staging: Mapping[str, DataFrame], dims: Mapping[str, DataFrame]) -> DataFrame:
@@ -146,8 +144,7 @@ def fact_reviews(staging: Mapping[str, DataFrame], dims: Mapping[str, DataFrame]
         blank_to_null("review_creation_date").cast("timestamp_ntz").alias("review_creation_date"),
         blank_to_null("review_answer_timestamp").cast("timestamp_ntz").alias("review_answer_timestamp"),
     )
-    joined = lookup(typed, dims["dim_orders"], "order_id", "order_sk", "left")
-    return conform(with_arrival_key(joined, "review_sk"), STAR_COLUMNS["fact_reviews"])
+    return lookup(typed, dims["dim_orders"], "order_id", "order_sk", "left")
 
 
 DIMENSIONS = {
@@ -163,14 +160,18 @@ FACTS = {"fact_order_items": fact_order_items, "fact_payments": fact_payments, "
 def plan_star(staging: Mapping[str, DataFrame]) -> Star:
     """All eight tables as lazy plans."""
     dims = {name: build(staging) for name, build in DIMENSIONS.items()}
-    return Star(**dims, **{name: build(staging, dims) for name, build in FACTS.items()})
+    facts = {
+        name: conform(with_arrival_key(build(staging, dims), FACT_KEYS[name]), STAR_COLUMNS[name])
+        for name, build in FACTS.items()
+    }
+    return Star(**dims, **facts)
 
 
 def build_star(spark: SparkSession, staging: Mapping[str, DataFrame], folder: str) -> Star:
     """A4: write the dimensions, then the facts against the stored dimensions, and read back."""
     for name, build in DIMENSIONS.items():
-        write_table(name, build(staging), folder)
+        write_dimension(name, build(staging), folder)
     dims = {name: spark.read.parquet(f"{folder}/{name}") for name in DIMENSIONS}
     for name, build in FACTS.items():
-        write_table(name, build(staging, dims), folder)
+        write_fact(name, build(staging, dims), folder)
     return read_star(spark, folder)

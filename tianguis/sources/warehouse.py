@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tianguis.functions.dates import month_key
-from tianguis.schemas import SEGMENT_COLUMNS, SNAPSHOT_COLUMNS, STAR_COLUMNS, conform
+from tianguis.operators.keys import with_arrival_key
+from tianguis.schemas import FACT_KEYS, SEGMENT_COLUMNS, SNAPSHOT_COLUMNS, STAR_COLUMNS, conform
 
 
 @dataclass(frozen=True)
@@ -30,24 +31,28 @@ def star_tables(star) -> dict[str, DataFrame]:
     return {f.name: getattr(star, f.name) for f in fields(Star)}
 
 
-def write_table(name: str, df: DataFrame, folder: str) -> None:
-    """A4: rebuild one star table.
+def write_dimension(name: str, df: DataFrame, folder: str) -> None:
+    """A4: rebuild one dimension."""
+    conform(df, STAR_COLUMNS[name]).write.mode("overwrite").parquet(f"{folder}/{name}")
 
-    The item fact is laid out by purchase month, so a one-month report reads one partition.
-    The rebalance hint lets adaptive execution split a month that holds most of the rows and
-    merge the small ones.
+
+def write_fact(name: str, df: DataFrame, folder: str) -> None:
+    """A4: rebuild one fact from rows without a key.
+
+    The item fact is laid out by purchase month and sorted by day, so a one-month report reads
+    one partition. The rebalance hint lets adaptive execution split a month that holds most of
+    the rows and merge the small ones.
     """
-    table = conform(df, STAR_COLUMNS[name])
-    if name != "fact_order_items":
-        table.write.mode("overwrite").parquet(f"{folder}/{name}")
-        return
-    (
-        table.withColumn("purchase_month", month_key(F.col("date_sk")))
-        .hint("rebalance", "purchase_month")
-        .write.mode("overwrite")
-        .partitionBy("purchase_month")
-        .parquet(f"{folder}/{name}")
-    )
+    by_month = name == "fact_order_items"
+    if by_month:
+        month = month_key(F.col("date_sk"))
+        df = df.withColumn("purchase_month", month).hint("rebalance", "purchase_month")
+        df = df.sortWithinPartitions("purchase_month", "date_sk")
+    columns = STAR_COLUMNS[name] + (", purchase_month int" if by_month else "")
+    writer = conform(with_arrival_key(df, FACT_KEYS[name]), columns).write.mode("overwrite")
+    if by_month:
+        writer = writer.partitionBy("purchase_month")
+    writer.parquet(f"{folder}/{name}")
 
 
 def read_star(spark: SparkSession, folder: str) -> Star:
