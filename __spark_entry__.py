@@ -128,6 +128,8 @@ PLANS: dict[str, Callable[[StandIn], DataFrame]] = {
     "category_pareto": lambda s: reporting.category_pareto(s.star),
     "seller_ranking": lambda s: reporting.seller_ranking(s.star),
     "seller_ranking_by_range": lambda s: reporting.seller_ranking(s.star, single_task_rows=0),
+    "category_pareto_by_range": lambda s: reporting.category_pareto(s.star, single_task_rows=0),
+    "category_satisfaction_by_range": lambda s: reporting.category_satisfaction(s.star, single_task_rows=0),
     "delivery_by_state": lambda s: reporting.delivery_by_state(s.star),
     "category_satisfaction": lambda s: reporting.category_satisfaction(s.star),
     "category_satisfaction_binding": lambda s: reporting.category_satisfaction(s.star, min_rows=2200),
@@ -206,6 +208,7 @@ PLANS: dict[str, Callable[[StandIn], DataFrame]] = {
     "filter_domain": orders.filter_domain,
     # Exploration: categories and sellers.
     "eda_category_stats": catalog.category_stats,
+    "eda_category_stats_by_range": lambda s: catalog.category_stats(s, single_task_rows=0),
     "categories_for_80": lambda s: catalog.categories_for_share(catalog.category_stats(s)),
     "top_categories": lambda s: catalog.top_categories(catalog.category_stats(s)),
     "category_satisfaction_eda": catalog.category_scores,

@@ -285,6 +285,8 @@ def _views() -> dict[str, str]:
     return {
         "monthly_revenue": on_views("SELECT * FROM v_month"),
         "category_pareto": on_views("SELECT * FROM v_pareto"),
+        "category_pareto_by_range": on_views("SELECT * FROM v_pareto"),
+        "category_satisfaction_by_range": on_views("SELECT * FROM v_score"),
         "seller_ranking": on_views("SELECT * FROM v_seller"),
         "seller_ranking_by_range": on_views("SELECT * FROM v_seller"),
         "delivery_by_state": on_views("SELECT * FROM v_state"),
@@ -943,6 +945,7 @@ def _catalog() -> dict[str, str]:
     on_items = ["item", "sell"]
     return {
         "eda_category_stats": query(["item", "prod"], cat_stats, cats=cats),
+        "eda_category_stats_by_range": query(["item", "prod"], cat_stats, cats=cats),
         "categories_for_80": query(
             ["item", "prod"], "SELECT count(*) FILTER (revenue_acum <= 80) AS n_categorias FROM s", cats=cats, s=cat_stats
         ),

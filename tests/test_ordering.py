@@ -46,6 +46,16 @@ def test_rank_with_heavy_ties(many_partitions, n, values):
         assert {r["id"]: r["r"] for r in with_rank(frame, "v", "r").df.collect()} == expected
 
 
+def test_running_sum_shared_by_ties(many_partitions):
+    data = pairs(300, 4)
+    df = many_partitions.createDataFrame(data, "id long, v long")
+    expected = {key: sum(other for _, other in data if other >= value) for key, value in data}
+    for frame in (Sized(df, True), sized(df, limit=0)):
+        found = with_rank(frame, "v", "r", upto="u", total="t").df.collect()
+        assert {r["id"]: r["u"] for r in found} == expected
+        assert {r["t"] for r in found} == {sum(v for _, v in data)}
+
+
 def test_rank_keeps_rows_without_a_value(many_partitions):
     df = many_partitions.createDataFrame([(1, 5), (2, None), (3, 7)], "id long, v long")
     for frame in both(df):

@@ -31,6 +31,12 @@ def test_pareto(star):
     ]
 
 
+def test_views_are_the_same_on_one_or_many_tasks(many_partitions, star):
+    for view in (reporting.category_pareto, reporting.seller_ranking, reporting.category_satisfaction):
+        key = view(star).columns[0]
+        assert rows(view(star), key) == rows(view(star, single_task_rows=0), key)
+
+
 def test_equal_sellers_share_a_rank(star):
     found = rows(reporting.seller_ranking(star), "seller_id")
     assert [(r["seller_id"], r["seller_state"], r["revenue_total"], r["total_ordenes"], r["productos_distintos"],

@@ -126,20 +126,39 @@ def _running_by_range(df, order, position, count, sums):
     return local.join(F.broadcast(offsets), "_part").select(*df.columns, *added)
 
 
-def with_rank(frame: Sized, measure: str, name: str, descending: bool = True) -> Sized:
+def with_rank(
+    frame: Sized, measure: str, name: str, descending: bool = True, upto: str | None = None, total: str | None = None
+) -> Sized:
     """``RANK()`` over a measure with any number of ties.
 
+    ``upto`` and ``total`` also add the running sum of the measure, in which equal values share
+    one result (F2, the RANGE frame), and its grand total.
+
     The large form ranks the *distinct values* (ties collapse before the shuffle) and joins
     the ranks back, so a value shared by a third of the rows stays one row while ordering.
     """
     if frame.fits_one_task:
-        ranked = F.rank().over(Window.orderBy(*_sort([(measure, descending)])))
-        return Sized(frame.df.withColumn(name, ranked.cast("long")), True)
-    values = sized(frame.df.groupBy(F.col(measure).alias("_value")).agg(F.count(F.lit(1)).alias("_n")))
-    ranks = running(values, [("_value", descending)], sums={"_n": ("_upto", "_all")}).select(
-        "_value", (F.col("_upto") - F.col("_n") + 1).cast("long").alias(name)
+        by_measure = Window.orderBy(*_sort([(measure, descending)]))
+        added = [F.rank().over(by_measure).cast("long").alias(name)]
+        if upto:
+            ties_together = by_measure.rangeBetween(Window.unboundedPreceding, Window.currentRow)
+            added.append(F.sum(measure).over(ties_together).alias(upto))
+        if total:
+            added.append(F.sum(measure).over(Window.partitionBy()).alias(total))
+        return Sized(frame.df.select("*", *added), True)
+    values = frame.df.groupBy(F.col(measure).alias("_ranked_value")).agg(
+        F.count(F.lit(1)).alias("_n"), F.sum(measure).alias("_sum")
+    )
+    ordered = running(
+        sized(values), [("_ranked_value", descending)], sums={"_n": ("_n_upto", "_n_all"), "_sum": ("_upto", "_all")}
+    )
+    ranks = ordered.select(
+        "_ranked_value",
+        (F.col("_n_upto") - F.col("_n") + 1).cast("long").alias(name),
+        *([F.col("_upto").alias(upto)] if upto else []),
+        *([F.col("_all").alias(total)] if total else []),
     )
-    joined = frame.df.join(ranks, F.col(measure).eqNullSafe(F.col("_value")), "inner").drop("_value")
+    joined = frame.df.join(ranks, F.col(measure).eqNullSafe(F.col("_ranked_value")), "inner").drop("_ranked_value")
     return Sized(joined, False)
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tianguis.functions.numbers import exact_mean, share
@@ -13,7 +13,7 @@ from tianguis.operators.ordering import running, sized
 UNKNOWN = "unknown"
 
 
-def category_stats(frames) -> DataFrame:
+def category_stats(frames, single_task_rows: int | None = None) -> DataFrame:
     """Revenue, items and orders per category (English, else the raw name, else unknown)."""
     label = F.coalesce("product_category_name_english", "product_category_name", F.lit(UNKNOWN))
     products = frames.products.select("product_id", "product_category_name")
@@ -27,18 +27,20 @@ def category_stats(frames) -> DataFrame:
             F.count_distinct("order_id").alias("n_orders"),
         )
     )
-    # One row per category.
-    by_revenue = Window.orderBy(F.col("revenue").desc(), "category")
-    upto = F.sum("revenue").over(by_revenue.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    everything = F.sum("revenue").over(Window.partitionBy())
-    return categorised.select(
+    ordered = running(
+        sized(categorised, at_most=frames.products, limit=single_task_rows),
+        [("revenue", True), ("category", False)],
+        position="rank",
+        sums={"revenue": ("_upto", "_total")},
+    )
+    return ordered.select(
         "category",
         "revenue",
         "n_items",
         "n_orders",
-        share(F.col("revenue"), everything).alias("revenue_pct"),
-        share(upto, everything).alias("revenue_acum"),
-        F.row_number().over(by_revenue).alias("rank"),
+        share(F.col("revenue"), F.col("_total")).alias("revenue_pct"),
+        share(F.col("_upto"), F.col("_total")).alias("revenue_acum"),
+        "rank",
     )
 
 

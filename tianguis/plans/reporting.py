@@ -48,7 +48,7 @@ def monthly_revenue(star) -> DataFrame:
     )
 
 
-def category_pareto(star) -> DataFrame:
+def category_pareto(star, single_task_rows: int | None = None) -> DataFrame:
     """L2: categories by revenue with their running share (ties share one value)."""
     per_product = star.fact_order_items.groupBy("product_sk").agg(
         F.sum("total_value").alias("revenue"), F.count(F.lit(1)).alias("total_items")
@@ -56,18 +56,14 @@ def category_pareto(star) -> DataFrame:
     per_category = (
         per_product.join(star.dim_products.select("product_sk", "product_category_name_english"), "product_sk")
         .groupBy("product_category_name_english")
-        .agg(F.sum("revenue").alias("revenue"), F.sum("total_items").alias("total_items"))
+        .agg(F.sum("revenue").cast("decimal(24,2)").alias("revenue"), F.sum("total_items").alias("total_items"))
+        .select(
+            F.coalesce("product_category_name_english", F.lit(NO_CATEGORY)).alias("categoria"), "revenue", "total_items"
+        )
     )
-    # One row per category of the translation table.
-    by_revenue = Window.orderBy(F.col("revenue").desc())
-    cumulative = by_revenue.rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = per_category.select(
-        F.coalesce("product_category_name_english", F.lit(NO_CATEGORY)).alias("categoria"),
-        F.col("revenue").cast("decimal(24,2)").alias("revenue"),
-        "total_items",
-        F.sum("revenue").over(cumulative).cast("decimal(24,2)").alias("_upto"),
-        F.sum("revenue").over(Window.partitionBy()).cast("decimal(24,2)").alias("_total"),
-        F.rank().over(by_revenue).alias("ranking"),
+    frame = sized(per_category, at_most=star.dim_products, limit=single_task_rows)
+    ranked = with_rank(frame, "revenue", "ranking", upto="_upto", total="_total").df.withColumns(
+        {c: F.col(c).cast("decimal(24,2)") for c in ("_upto", "_total")}
     )
     return ranked.select(
         "categoria",
@@ -163,7 +159,7 @@ def review_summary(star) -> DataFrame:
     )
 
 
-def category_satisfaction(star, min_rows: int = 50) -> DataFrame:
+def category_satisfaction(star, min_rows: int = 50, single_task_rows: int | None = None) -> DataFrame:
     """Every (item, review) pair of an order counts once, per category.
 
     The pairs are never produced: reviews are summed per order first, and an item adds its
@@ -189,7 +185,8 @@ def category_satisfaction(star, min_rows: int = 50) -> DataFrame:
         .where(F.col("_pairs") >= min_rows)
         .withColumn("_mean", exact_mean(F.col("_score"), F.col("_pairs")))
     )
-    return per_category.select(
+    frame = sized(per_category, at_most=star.dim_products, limit=single_task_rows)
+    return with_rank(frame, "_mean", "ranking_satisfaccion").df.select(
         "categoria",
         F.round("_mean", 2).alias("score_promedio"),
         F.col("_pairs").alias("total_reviews"),
@@ -197,7 +194,7 @@ def category_satisfaction(star, min_rows: int = 50) -> DataFrame:
         F.col("_negative").alias("reviews_negativas"),
         F.round(percent(F.col("_positive"), F.col("_pairs")), 1).alias("pct_satisfaccion"),
         F.round(exact_mean(F.col("_value"), F.col("_pairs")), 2).alias("ticket_promedio"),
-        F.rank().over(Window.orderBy(F.col("_mean").desc())).alias("ranking_satisfaccion"),
+        "ranking_satisfaccion",
     )
 
 
