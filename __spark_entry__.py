@@ -75,6 +75,12 @@ def _fact_by_natural_keys(s: StandIn) -> DataFrame:
     )
 
 
+def _with_matched_order(star, fact: str, key: str) -> DataFrame:
+    """A fact with its order key translated back to the order it resolved to."""
+    matched = star.dim_orders.select("order_sk", F.col("order_id").alias("matched_order_id"))
+    return getattr(star, fact).join(matched, "order_sk", "left").drop(key, "order_sk")
+
+
 def _surrogate_keys(s: StandIn) -> DataFrame:
     star = _written_star(s)
     keys = {
@@ -164,8 +170,8 @@ PLANS: dict[str, Callable[[StandIn], DataFrame]] = {
     "dim_products": lambda s: star_plans.dim_products(s.staging).drop("product_sk"),
     "dim_orders": lambda s: star_plans.dim_orders(s.staging).drop("order_sk"),
     "fact_order_items": _fact_by_natural_keys,
-    "fact_payments": lambda s: _built_star(s).fact_payments.drop("payment_sk", "order_sk"),
-    "fact_reviews": lambda s: _built_star(s).fact_reviews.drop("review_sk", "order_sk"),
+    "fact_payments": lambda s: _with_matched_order(_built_star(s), "fact_payments", "payment_sk"),
+    "fact_reviews": lambda s: _with_matched_order(_built_star(s), "fact_reviews", "review_sk"),
     "surrogate_keys": _surrogate_keys,
     # Quality.
     "staging_counts": lambda s: quality.staging_counts(s.staging),

@@ -635,12 +635,13 @@ def _star() -> dict[str, str]:
         ),
         "fact_payments": query(
             ["pay"],
-            f"""SELECT {text('order_id', 'order_id')}, {big('seq')} AS payment_sequential, payment_type,
+            f"""SELECT {text('order_id', 'order_id')}, {text('order_id', 'matched_order_id')},
+            {big('seq')} AS payment_sequential, payment_type,
             {big('installments')} AS payment_installments, {money('value_c')} AS payment_value FROM pay""",
         ),
         "fact_reviews": query(
             ["rev"],
-            f"""SELECT review_id, {text('order_id', 'order_id')}, {big('score')} AS review_score,
+            f"""SELECT review_id, {text('order_id', 'order_id')}, {text('order_id', 'matched_order_id')}, {big('score')} AS review_score,
             title AS review_comment_title, message AS review_comment_message, created AS review_creation_date,
             answered AS review_answer_timestamp FROM rev""",
         ),

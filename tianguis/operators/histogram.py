@@ -17,19 +17,21 @@ def equal_width(df: DataFrame, value: str, bins: int) -> DataFrame:
     """
     counted = counted_values(df, value)
     kind = dict(df.dtypes)[value]
-    extent = counted.agg(F.struct(F.min(value).alias("low"), F.max(value).alias("high"))).scalar()
-    low, high = extent["low"], extent["high"]
+    # One scalar subquery over the same exchange, named once per frame that uses it.
+    extent = counted.agg(F.struct(F.min(value).alias("low"), F.max(value).alias("high"))).scalar().alias("_extent")
+    low, high = F.col("_extent.low"), F.col("_extent.high")
+
     scaled = (F.col(value) - low) * bins
     if kind == "double":
         index = F.floor(scaled / F.nullif(high - low, F.lit(0.0)))
     else:
         index = F.call_function("div", scaled, F.nullif(high - low, F.lit(0).cast(kind)))
     index = F.when(low == high, bins // 2).otherwise(F.least(index, F.lit(bins - 1))).cast("int")
-    filled = counted.groupBy(index.alias("bin")).agg(F.sum("n").alias("n"))
+    filled = counted.select(value, "n", extent).groupBy(index.alias("bin")).agg(F.sum("n").alias("n"))
 
+    spine = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"), extent)
     start = F.when(low == high, low.cast("double") - 0.5).otherwise(low.cast("double"))
     width = F.when(low == high, F.lit(1.0)).otherwise(high.cast("double") - low.cast("double"))
-    spine = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
     return (
         spine.join(filled, "bin", "left")
         .select(
