@@ -116,7 +116,7 @@ def test_one_month_reads_one_partition_range(spark, raw, tmp_path):
 
 def test_snapshots_are_upserted_by_period(spark, star, tmp_path):
     folder = str(tmp_path / "snapshots")
-    monthly.refresh_snapshots(star, folder, (2018, 1), (2018, 4))
+    assert monthly.refresh_snapshots(star, folder, (2018, 1), (2018, 4)) == 3
     first = rows(read_snapshots(spark, folder), "periodo")
     monthly.refresh_snapshots(star, folder, (2018, 1), (2018, 4))
     again = rows(read_snapshots(spark, folder), "periodo")
@@ -124,6 +124,10 @@ def test_snapshots_are_upserted_by_period(spark, star, tmp_path):
     for a, b in zip(first, again):
         assert {k: v for k, v in a.items() if k != "fecha_generacion"} == {k: v for k, v in b.items() if k != "fecha_generacion"}
 
+    report = monthly.generate_monthly_report(star, folder, 2018, 4)
+    assert report.collect() == monthly.monthly_report(star, 2018, 4).collect()
+    assert read_snapshots(spark, folder).count() == 4
+
     changed = spark.createDataFrame([("2018-02", None, None)], "periodo string, ingresos_totales decimal(15,2), total_ordenes long")
     for column in ("ticket_promedio", "score_satisfaccion", *[f"top_{k}_{i}" for k in ("categoria", "vendedor") for i in (1, 2, 3)]):
         changed = changed.selectExpr("*", f"CAST(NULL AS STRING) AS {column}")

@@ -18,10 +18,9 @@ def stacked(parts: list[DataFrame]) -> DataFrame:
 
 
 def labelled_counts(tables: Mapping[str, DataFrame], label: str = "tabla") -> DataFrame:
-    """One (label, filas) row per frame."""
-    return stacked(
-        [df.agg(F.count(F.lit(1)).alias("filas")).select(F.lit(name).alias(label), "filas") for name, df in tables.items()]
-    )
+    """One (label, filas) row per frame, listed by label."""
+    counts = [df.agg(F.count(F.lit(1)).alias("filas")).select(F.lit(name).alias(label), "filas") for name, df in tables.items()]
+    return stacked(counts).orderBy(label)
 
 
 def violations(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:

@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 from tianguis.functions.dates import month_key, period_label
 from tianguis.functions.display import money_text
 from tianguis.functions.numbers import exact_mean, growth
+from tianguis.operators.ordering import stored
 from tianguis.plans.reporting import review_summary
-from tianguis.sources.warehouse import upsert_snapshots
+from tianguis.sources.warehouse import read_snapshots, upsert_snapshots
 
 NO_CATEGORY = "Sin Categoría"
 CURRENT, LAST_MONTH, LAST_YEAR = "actual", "mes_anterior", "anio_anterior"
@@ -167,10 +168,10 @@ def month_figures(star, first: tuple[int, int], last: tuple[int, int]) -> DataFr
     )
 
 
-def report_rows(star, first: tuple[int, int], last: tuple[int, int]) -> DataFrame:
-    """The 15 report columns for every month of a range."""
+def _report_columns(figures: DataFrame) -> DataFrame:
+    """The 15 report columns; a month without reviews scores 0."""
     ingresos = F.col("ingresos")
-    return month_figures(star, first, last).select(
+    return figures.select(
         "periodo",
         ingresos.cast("decimal(15,2)").alias("ingresos_totales"),
         F.col("ingresos_mes").cast("decimal(15,2)").alias("ingresos_mes_anterior"),
@@ -185,15 +186,9 @@ def report_rows(star, first: tuple[int, int], last: tuple[int, int]) -> DataFram
     )
 
 
-def monthly_report(star, year: int, month: int) -> DataFrame:
-    """The report for one month; the filter on the date key prunes the fact."""
-    validate_period(year, month)
-    return report_rows(star, (year, month), (year, month))
-
-
-def monthly_snapshots(star, first: tuple[int, int], last: tuple[int, int]) -> DataFrame:
-    """Snapshot rows; a month without reviews has no score."""
-    return month_figures(star, first, last).select(
+def _snapshot_columns(figures: DataFrame) -> DataFrame:
+    """The stored columns; a month without reviews has no score."""
+    return figures.select(
         "periodo",
         F.col("ingresos").cast("decimal(15,2)").alias("ingresos_totales"),
         F.col("ordenes").cast("bigint").alias("total_ordenes"),
@@ -204,11 +199,39 @@ def monthly_snapshots(star, first: tuple[int, int], last: tuple[int, int]) -> Da
     )
 
 
-def refresh_snapshots(star, folder: str, first: tuple[int, int], last: tuple[int, int]) -> None:
-    """Recompute the months of a range and replace their stored rows."""
+def report_rows(star, first: tuple[int, int], last: tuple[int, int]) -> DataFrame:
+    """The report columns for every month of a range."""
+    return _report_columns(month_figures(star, first, last))
+
+
+def monthly_report(star, year: int, month: int) -> DataFrame:
+    """The report for one month; the filter on the date key prunes the fact."""
+    validate_period(year, month)
+    return report_rows(star, (year, month), (year, month))
+
+
+def monthly_snapshots(star, first: tuple[int, int], last: tuple[int, int]) -> DataFrame:
+    """Snapshot rows for every month of a range."""
+    return _snapshot_columns(month_figures(star, first, last))
+
+
+def generate_monthly_report(star, folder: str, year: int, month: int) -> DataFrame:
+    """K1: store the month's snapshot and return its report, from one computation."""
+    validate_period(year, month)
+    figures = stored(month_figures(star, (year, month), (year, month)))
+    upsert_snapshots(_snapshot_columns(figures), folder)
+    return _report_columns(figures)
+
+
+def refresh_snapshots(star, folder: str, first: tuple[int, int], last: tuple[int, int]) -> int:
+    """Recompute the months of a range, replace their stored rows, and return how many of
+    them had revenue."""
     validate_period(*first)
     validate_period(*last)
     upsert_snapshots(monthly_snapshots(star, first, last), folder)
+    low, high = (f"{year:04d}-{month:02d}" for year, month in (first, last))
+    snapshots = read_snapshots(star.fact_order_items.sparkSession, folder)
+    return months_with_revenue(snapshots.where(F.col("periodo").between(low, high))).first()[0]
 
 
 def months_with_revenue(snapshots: DataFrame) -> DataFrame:
