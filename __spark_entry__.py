@@ -25,6 +25,14 @@ from tianguis.session import use_checkpoint_folder  # noqa: E402
 from tianguis.sources.raw import manifest  # noqa: E402
 from tianguis.sources.standin import StandIn  # noqa: E402
 
+try:
+    from tianguis.llm.entry import QUERIES as CORPUS_QUERIES  # noqa: E402
+    from tianguis.llm.entry import SQL as CORPUS_SQL  # noqa: E402
+except ModuleNotFoundError as error:
+    if not (error.name or "").startswith(("tianguis.llm", "corpus_pipeline")):
+        raise
+    CORPUS_QUERIES, CORPUS_SQL = {}, {}
+
 FIRST_MONTH, LAST_MONTH = (1995, 1), (2001, 12)
 
 
@@ -258,8 +266,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def run(plan: Callable[[StandIn], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
         return lambda spark, sf_dir: plain(plan(StandIn(spark, sf_dir)))
 
-    return {name: run(plan) for name, plan in PLANS.items()}
+    return {name: run(plan) for name, plan in PLANS.items()} | CORPUS_QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
-    return statements()
+    return statements() | CORPUS_SQL

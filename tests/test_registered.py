@@ -7,10 +7,12 @@ import pytest
 duckdb = pytest.importorskip("duckdb")
 
 import __spark_entry__ as entry  # noqa: E402
+from checks.oracle import statements  # noqa: E402
 from checks.compare import TABLES, difference  # noqa: E402
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+SQL = statements()
+QUERIES = {name: query for name, query in entry.queries().items() if name in entry.PLANS}
 
 
 @pytest.fixture(scope="module")
