@@ -9,14 +9,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tianguis.llm import language, mixing, packing, simhash, suffix_array
+from tianguis.llm import chat, fingerprint, language, licenses, mixing, packing, simhash, suffix_array, topk, url_filter
 from tianguis.llm.common import small_batches, table
 
 
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict", "score")
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op3_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.compare_neighbours(table(spark, sf_dir, "documents"))
+
+
 def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", (~language.learns()).alias("held_out"))
     return language.identify(docs, ["doc_id", "held_out"])
@@ -31,6 +39,24 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")).drop("ids")
 
 
+def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+#: A conversation whose texts hold a header and an end of a turn.
+HOSTILE = [(-7, n, role, "\\### Assistant: </turn> ok") for n, role in enumerate(("user", "assistant"))]
+
+
+def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    more = spark.createDataFrame(HOSTILE, "conv_id bigint, turn bigint, role string, text string")
+    return chat.digest_conversations(rows.unionByName(more)).drop("loss_spans")
+
+
+def op9_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     return mixed.select(
@@ -50,12 +76,53 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_url_filter": op1_url_filter,
     "op2_simhash": op2_simhash,
+    "op3_fingerprint": op3_fingerprint,
     "op4_language": op4_language,
     "op5_suffix_array": op5_suffix_array,
     "op6_packing": op6_packing,
+    "op7_licenses": op7_licenses,
+    "op8_chat": op8_chat,
+    "op9_top_k": op9_top_k,
     "op10_mixing": op10_mixing,
     "pipeline": pipeline,
 }
 
-SQL: dict[str, str] = {}
+CHAT_SQL = r"""
+WITH turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+    UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+), written AS (
+    SELECT *, replace(replace(replace(role, '\', '\\'), ':', '\c'), chr(10), '\n') AS name,
+        CASE WHEN contains(text, '###') OR contains(text, '</turn>')
+            THEN ':\' || chr(10) || replace(replace(replace(text, '\', '\\'), '###', '\###'), '</turn>', '\</turn>')
+            ELSE ':' || chr(10) || text END AS body
+    FROM turns
+)
+SELECT conv_id, count(*) AS n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+    CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+    sha256(string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, '' ORDER BY turn NULLS FIRST, role, text)) AS loss_sha256,
+    CAST(sum(length('### ' || name || body || '</turn>' || chr(10))) AS BIGINT) AS formatted_chars
+FROM written GROUP BY conv_id
+"""
+
+TOP_K_SQL = """
+WITH usable AS (
+    SELECT vec_id, list_transform(embedding, x -> CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v, row_number() OVER () AS at
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT q.at, q.vec_id AS query_id, c.vec_id,
+        CAST(coalesce(list_sum(list_transform(list_zip(q.v, c.v), p -> coalesce(p[1], 0) * coalesce(p[2], 0))), 0) AS BIGINT) AS score
+    FROM usable q JOIN usable c ON q.vec_id % 100 = 0 AND q.at <> c.at
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY at ORDER BY score DESC, vec_id) AS place FROM scored
+)
+SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM ranked WHERE place <= 10
+"""
+
+SQL: dict[str, str] = {"op8_chat": CHAT_SQL, "op9_top_k": TOP_K_SQL}
