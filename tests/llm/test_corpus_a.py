@@ -175,7 +175,8 @@ def test_repeats(spark, block):
 
 
 def test_repeated_rows_and_null_ids(spark):
-    text = "".join(random.Random(7).choice("abcdef ") for _ in range(400))
+    rng = random.Random(7)
+    text = "".join(rng.choice("abcdef ") for _ in range(400))
     frame = spark.createDataFrame([(5, text), (5, text), (None, text[:200]), (9, text)], "doc_id bigint, text string")
     found = sorted((r.row.doc_id or 0, r.n_removed) for r in suffix_array.deduplicate(frame, ["doc_id"]).collect())
     assert found == [(0, 0), (5, 200), (5, 200), (9, 400)]

@@ -10,6 +10,8 @@ import pytest
 
 duckdb = pytest.importorskip("duckdb")
 
+from pyspark.sql import functions as F  # noqa: E402
+
 from checks.compare import TABLES, difference  # noqa: E402
 from tianguis.llm import chat, entry, fingerprint, licenses, topk, url_filter  # noqa: E402
 
@@ -28,7 +30,11 @@ def test_query_matches_its_sql(spark, name):
     connection = duckdb.connect()
     for table in (*TABLES, "embeddings", "conversations"):
         connection.sql(f"CREATE OR REPLACE VIEW {table} AS SELECT * FROM '{FOLDER}/{table}.parquet'")
-    assert difference(spark, connection, name, entry.QUERIES[name], entry.SQL[name], FOLDER) == ""
+    query, sql = entry.QUERIES[name], entry.SQL[name]
+    if name == "op9_top_k":  # the comparison knows bigint only
+        query = lambda s, d: entry.op9_top_k(s, d).withColumn("rank", F.col("rank").cast("bigint"))
+        sql = f"SELECT * REPLACE (CAST(rank AS BIGINT) AS rank) FROM ({sql})"
+    assert difference(spark, connection, name, query, sql, FOLDER) == ""
 
 
 # URL filter
@@ -82,7 +88,7 @@ def test_url_filter_on_pages(spark):
     for r in found:
         host, path, rule, verdict = brute_url(rows[r.page_id])
         assert (r.host, r.path, r.rule) == (host, path, rule)
-        assert r.verdict == (verdict or ("block" if re.search("spam|pills|bets", host) else "allow")), r
+        assert r.verdict == (verdict or ("block" if re.search("spam|pills|bets|adult", host) else "allow")), r
 
 
 def test_split_is_the_most_probable():

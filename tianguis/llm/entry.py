@@ -110,17 +110,22 @@ FROM written GROUP BY conv_id
 """
 
 TOP_K_SQL = """
-WITH usable AS (
-    SELECT vec_id, list_transform(embedding, x -> CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v, row_number() OVER () AS at
-    FROM embeddings
-    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-        AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
-), scored AS (
-    SELECT q.at, q.vec_id AS query_id, c.vec_id,
-        CAST(coalesce(list_sum(list_transform(list_zip(q.v, c.v), p -> coalesce(p[1], 0) * coalesce(p[2], 0))), 0) AS BIGINT) AS score
-    FROM usable q JOIN usable c ON q.vec_id % 100 = 0 AND q.at <> c.at
+WITH numbered AS MATERIALIZED (
+    SELECT vec_id, embedding, row_number() OVER () AS nr FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+), parts AS MATERIALIZED (
+    SELECT nr, vec_id, CAST(unnest(embedding) AS DOUBLE) AS x, generate_subscripts(embedding, 1) AS i FROM numbered
+), usable AS (
+    SELECT nr, vec_id FROM numbered WHERE nr NOT IN (SELECT nr FROM parts WHERE x IS NULL OR NOT isfinite(x))
+), weights AS (
+    SELECT nr, vec_id, i, CAST(floor(1024 * x) AS BIGINT) AS w FROM parts WHERE nr IN (SELECT nr FROM usable)
+), products AS (
+    SELECT q.nr AS query_nr, c.nr AS other_nr, sum(q.w * c.w) AS score FROM weights q JOIN weights c ON q.i = c.i
+    WHERE q.vec_id % 100 = 0 GROUP BY q.nr, c.nr
 ), ranked AS (
-    SELECT *, row_number() OVER (PARTITION BY at ORDER BY score DESC, vec_id) AS place FROM scored
+    SELECT q.vec_id AS query_id, c.vec_id, CAST(coalesce(p.score, 0) AS BIGINT) AS score,
+        row_number() OVER (PARTITION BY q.nr ORDER BY coalesce(p.score, 0) DESC, c.vec_id) AS place
+    FROM usable q JOIN usable c ON q.vec_id % 100 = 0 AND q.nr <> c.nr
+    LEFT JOIN products p ON p.query_nr = q.nr AND p.other_nr = c.nr
 )
 SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM ranked WHERE place <= 10
 """

@@ -95,10 +95,11 @@ def cost(n: int) -> float:
 def pack(lengths: list[int], sequence: int = SEQUENCE) -> list[tuple[int, int, int, int, int]]:
     """(document, start, length, sequence, offset) of pieces that fill the sequences of ``capacities`` exactly.
 
-    Ties are broken by position. Every document is first cut into pieces of a sequence at most.
+    Ties are broken by position. Every document is first cut into pieces of half a sequence at most: a piece as long
+    as a sequence costs more than any sequence of short ones, which nothing put beside it could balance.
     """
-    rooms = capacities(sum(lengths), sequence)
-    queue = [(-min(sequence, n - at), d, at) for d, n in enumerate(lengths) for at in range(0, n, sequence)]
+    rooms, most = capacities(sum(lengths), sequence), max(1, sequence // 2)
+    queue = [(-min(most, n - at), d, at) for d, n in enumerate(lengths) for at in range(0, n, most)]
     heapq.heapify(queue)
     open_ = [(0.0, s) for s in range(len(rooms))]
     used, out = [0] * len(rooms), []

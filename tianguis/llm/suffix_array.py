@@ -396,7 +396,7 @@ def deduplicate(
     as one document and get the same result each. An empty table gives an empty result.
     """
     marked = docs.select(
-        F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)).alias("doc"),
+        F.coalesce(F.col("doc_id").cast("bigint"), F.lit(str(NO_ID)).cast("bigint")).alias("doc"),
         F.xxhash64(F.col("doc_id").isNull(), "text").alias("twin"),
         "text",
         F.struct(*keep).alias("row"),
