@@ -6,7 +6,8 @@ equal windows meet when runs are dealt out by their anchor's substring. Runs tha
 name and only the first of a name goes on. Each task then builds suffix arrays of the runs it was dealt:
 triples at two of three positions are sorted, the string of their names is solved by recursion, the remaining
 suffixes are merged in, and neighbours in the array whose prefixes agree on ``length`` bytes are repeats.
-An anchor with more different runs than a block holds is dealt out again, window by window.
+An anchor with more different runs than a block holds is dealt out again: first by the halves of what its windows
+share with it, then, should that still be too much, window by window.
 """
 
 from __future__ import annotations
@@ -104,7 +105,7 @@ def _name(data: bytes) -> int:
     return xxhash.xxh3_64_intdigest(data)
 
 
-def _signed(values: list[int]) -> np.ndarray:
+def _signed(values) -> np.ndarray:
     return np.array(values, np.uint64).view(np.int64)
 
 
@@ -336,6 +337,29 @@ def _sort_blocks(length: int, block: int):
     return run
 
 
+def _halves(length: int, gram: int):
+    """Contexts of keys that are too large, dealt out anew by more of what their windows share: those that start up
+    to ``most`` bytes before the anchor hold what follows it, the others what precedes it. Two rows a context."""
+    most = (length - gram) // 2
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for doc, twin, start, anchor, data in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
+                low = max(0, anchor - most)
+                if low <= len(data) - length:
+                    out.append((xxhash.xxh64_intdigest(data[anchor : anchor + length - most], 1), doc, twin, start + low, anchor - low, data[low:]))
+                if anchor > most:
+                    head = data[: anchor - most - 1 + length]
+                    out.append((xxhash.xxh64_intdigest(data[anchor - most - 1 : anchor + gram], 2), doc, twin, start, anchor, head))
+            if out:
+                key, doc, twin, start, anchor, data = zip(*out, strict=True)
+                columns = [pa.array(_signed(key)), *(pa.array(x, pa.int64()) for x in (doc, twin, start)), pa.array(anchor, pa.int32())]
+                yield _batch(CONTEXT, *columns, pa.array(data, pa.binary()))
+
+    return run
+
+
 def _windows(length: int):
     """RUNS rows of one window each, for contexts that were too many for a block."""
 
@@ -362,12 +386,16 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, blo
     wanted = settled.where(F.col("kind") == TO_SORT).groupBy("doc", "twin").agg(F.collect_list(F.struct("key", "place")).alias("runs"))
     contexts = docs.select("doc", "twin", "text").join(wanted, ["doc", "twin"]).mapInArrow(_contexts(length), CONTEXT)
     found = stored(contexts.repartition("key").sortWithinPartitions("key").mapInArrow(_sort_blocks(length, block), FOUND))
-    many = found.where("data is not null").select("doc", "twin", "start", "data").mapInArrow(_windows(length), RUNS)
+    large = found.where("data is not null").select("doc", "twin", "start", "anchor", "data")
+    large = large.mapInArrow(_halves(length, gram), CONTEXT).repartition("key").sortWithinPartitions("key")
+    again = stored(large.mapInArrow(_sort_blocks(length, block), FOUND))
+    many = again.where("data is not null").select("doc", "twin", "start", "data").mapInArrow(_windows(length), RUNS)
     many = many.repartition("key", "name").sortWithinPartitions(*order).mapInArrow(_settle, OPEN)
     pair = [F.shiftright("place", 15).alias("start"), F.shiftright("place", 8).bitwiseAND(127).alias("n")]
     return (
         settled.where(F.col("kind") == REPEAT).select("doc", "twin", *pair)
         .union(found.where("data is null").select("doc", "twin", "start", "n"))
+        .union(again.where("data is null").select("doc", "twin", "start", "n"))
         .union(many.where(F.col("kind") == REPEAT).select("doc", "twin", *pair))
     )
 
