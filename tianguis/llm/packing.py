@@ -7,12 +7,12 @@ the lowest cost so far that still has room; where none has room for a whole piec
 from __future__ import annotations
 
 import heapq
+import re
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
@@ -25,59 +25,85 @@ SEQUENCE, END_ID = 2048, 1
 LINEAR, QUADRATIC = 1.0, 1.0 / 4096
 #: Tokens packed together inside a task: bounds memory, and far more than one sequence.
 BLOCK_TOKENS = 1 << 19
-#: Words whose tokens a worker keeps; others are tokenized each time.
-CACHED_WORDS = 250_000
+#: Words, and parts of texts between white space, whose tokens a worker keeps; others are tokenized each time.
+CACHED_WORDS = 500_000
 #: Sequences looked at for one that takes a piece whole.
 LOOKS = 16
 
-# The word pattern of the tokenizer file, and the characters on which its normalizer (NFC, white
-# space, lower case) and the pattern are known to act as below; other texts go to the tokenizer whole.
-WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
-PLAIN = regex.compile(r"[\t\n\r\x20-\x7e\xa1-įı-ɏ‐-‧‰-⁞€]*")
-SPACE_RUN = regex.compile(r"\s\S*$")
+# The characters on which the tokenizer's normalizer (NFC, white space, lower case) is known to do no
+# more than lower-case and part at white space; the letters and numbers among them; its word pattern over these.
+PLAIN = re.compile("[\t\n\r\x20-\x7e\xa1-\u012f\u0131-\u017f\u2010-\u2027\u2030-\u205e\u20ac]*")
+LETTERS, NUMBERS = "a-zA-Z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u017f", "0-9\xb2\xb3\xb9\xbc-\xbe"
+WORD = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[{NUMBERS}]|[^\\s{LETTERS}{NUMBERS}]+")
 LONG_TEXT = 1 << 20
 
 
-class WordTokens(dict):
-    """Token ids of a word, as little-endian 32-bit integers."""
+def byte_letters() -> list[str]:
+    """The letter that a byte-level vocabulary writes each byte as: itself if it is printable, else the next free one."""
+    shown = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = iter(range(0x100, 0x200))
+    return [chr(b) if b in shown else chr(next(others)) for b in range(256)]
 
-    def __init__(self, path: str):
+
+class Ids(dict):
+    """Ids by text, found by ``make`` and kept for the first CACHED_WORDS texts."""
+
+    def __init__(self, make):
         super().__init__()
+        self.make = make
+
+    def __missing__(self, text: str) -> bytes:
+        ids = self.make(text)
+        if len(self) < CACHED_WORDS:
+            self[text] = ids
+        return ids
+
+
+class WordTokens:
+    """Token ids of texts, as little-endian 32-bit integers: what the tokenizer gives, mostly from memory.
+
+    Plain texts are lower-cased and parted at white space; each part is cut by the word pattern, and a word is given
+    to the tokenizer's own model. All other texts go through the tokenizer whole.
+    """
+
+    def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.letters = byte_letters()
+        self.words = Ids(self.word)
+        self.parts = Ids(self.part)
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def __missing__(self, word: str) -> bytes:
-        ids = self.whole(word)
-        if len(self) < CACHED_WORDS:
-            self[word] = ids
-        return ids
+    def word(self, word: str) -> bytes:
+        if not word.isascii():
+            word = "".join([self.letters[b] for b in word.encode()])
+        return np.array([t.id for t in self.tokenizer.model.tokenize(word)], "<u4").tobytes()
+
+    def part(self, part: str) -> bytes:
+        found = WORD.findall(part)
+        return self.words[part] if found == [part] else b"".join([self.words[w] for w in found])
 
     def text(self, text: str) -> bytes:
-        """The ids of a text, word by word where that is known to be the same."""
         if len(text) > LONG_TEXT:
-            return b"".join(self.text(part) for part in portions(text))
+            return b"".join([self.portion(part) for part in portions(text)])
+        return self.portion(text)
+
+    def portion(self, text: str) -> bytes:
         if PLAIN.fullmatch(text):
-            return b"".join(map(self.__getitem__, WORD.findall(text.lower())))
+            return b"".join(map(self.parts.__getitem__, text.lower().split()))
         return self.whole(text)
 
 
 def portions(text: str) -> Iterator[str]:
-    """Cut a very long text at white space, which the tokenizer drops; a word longer than a portion stays whole."""
+    """Cut a very long text before white space, which the tokenizer drops; a word longer than that stays whole."""
     start = 0
     while start < len(text):
-        end = start + LONG_TEXT // 2
-        if end < len(text):
-            cut = SPACE_RUN.search(text, start, end)
-            if cut and cut.start() > start:
-                end = cut.start()
-            else:
-                later = regex.compile(r"\s").search(text, end)
-                end = later.start() if later else len(text)
-        part = text[start:end]
-        yield part if len(part) <= LONG_TEXT else part + ""
+        end = min(start + LONG_TEXT // 2, len(text))
+        while end < len(text) and not text[end].isspace():
+            end += 1
+        yield text[start:end]
         start = end
 
 
