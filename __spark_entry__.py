@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import datetime as dt
 import sys
-import uuid
 from collections.abc import Callable
 from pathlib import Path
 
@@ -21,7 +20,6 @@ from tianguis.plans import explore_orders as orders  # noqa: E402
 from tianguis.plans import explore_service as service  # noqa: E402
 from tianguis.plans import monthly, quality, reporting, segments  # noqa: E402
 from tianguis.plans import star as star_plans  # noqa: E402
-from tianguis.session import use_checkpoint_folder  # noqa: E402
 from tianguis.sources.raw import manifest  # noqa: E402
 from tianguis.sources.standin import StandIn  # noqa: E402
 
@@ -33,9 +31,6 @@ except ModuleNotFoundError as error:
         raise
     CORPUS_QUERIES, CORPUS_SQL = {}, {}
 
-FIRST_MONTH, LAST_MONTH = (1995, 1), (2001, 12)
-
-
 def plain(df: DataFrame) -> DataFrame:
     """Integers as bigint and decimals as double, the types the comparison SQL returns."""
     integers = (T.ByteType, T.ShortType, T.IntegerType)
@@ -54,12 +49,6 @@ def _built_star(s: StandIn):
     return star_plans.plan_star(s.staging)
 
 
-def _written_star(s: StandIn):
-    """The star as tables, for queries that read it many times."""
-    folder = f"{use_checkpoint_folder(s.spark)}/star-{uuid.uuid4()}"
-    return star_plans.build_star(s.spark, s.staging, folder)
-
-
 def _fact_by_natural_keys(s: StandIn) -> DataFrame:
     """The item fact with its surrogate keys translated back, which also proves the keys."""
     star = _built_star(s)
@@ -90,7 +79,7 @@ def _with_matched_order(star, fact: str, key: str) -> DataFrame:
 
 
 def _surrogate_keys(s: StandIn) -> DataFrame:
-    star = _written_star(s)
+    star = _built_star(s)
     keys = {
         "dim_customers": "customer_sk",
         "dim_sellers": "seller_sk",
@@ -133,7 +122,7 @@ def _filtered(s: StandIn) -> DataFrame:
 
 
 def _snapshots(s: StandIn) -> DataFrame:
-    return monthly.monthly_snapshots(s.star, FIRST_MONTH, LAST_MONTH)
+    return monthly.monthly_snapshots(s.star)
 
 
 PLANS: dict[str, Callable[[StandIn], DataFrame]] = {
@@ -141,9 +130,6 @@ PLANS: dict[str, Callable[[StandIn], DataFrame]] = {
     "monthly_revenue": lambda s: reporting.monthly_revenue(s.star),
     "category_pareto": lambda s: reporting.category_pareto(s.star),
     "seller_ranking": lambda s: reporting.seller_ranking(s.star),
-    "seller_ranking_by_range": lambda s: reporting.seller_ranking(s.star, single_task_rows=0),
-    "category_pareto_by_range": lambda s: reporting.category_pareto(s.star, single_task_rows=0),
-    "category_satisfaction_by_range": lambda s: reporting.category_satisfaction(s.star, single_task_rows=0),
     "delivery_by_state": lambda s: reporting.delivery_by_state(s.star),
     "category_satisfaction": lambda s: reporting.category_satisfaction(s.star),
     "category_satisfaction_binding": lambda s: reporting.category_satisfaction(s.star, min_rows=2200),
@@ -157,7 +143,7 @@ PLANS: dict[str, Callable[[StandIn], DataFrame]] = {
     "inactive_days": lambda s: reporting.inactive_days(s.star),
     # Monthly report and snapshots.
     "monthly_report_one": lambda s: monthly.monthly_report(s.star, 2001, 4),
-    "monthly_report_range": lambda s: monthly.report_rows(s.star, FIRST_MONTH, LAST_MONTH),
+    "monthly_report_range": lambda s: monthly.report_rows(s.star),
     "monthly_report_batch": _snapshots,
     "months_with_revenue": lambda s: monthly.months_with_revenue(_snapshots(s)),
     "snapshot_listing": lambda s: monthly.snapshot_listing(_snapshots(s)),
@@ -165,7 +151,6 @@ PLANS: dict[str, Callable[[StandIn], DataFrame]] = {
     "snapshot_peak": lambda s: monthly.snapshot_peak(_snapshots(s)),
     # Segments.
     "seller_segments": lambda s: segments.segment_sellers(s.star),
-    "seller_segments_by_range": lambda s: segments.segment_sellers(s.star, single_task_rows=0),
     "segment_summary": lambda s: segments.segment_summary(segments.segment_sellers(s.star)),
     "segment_distribution": lambda s: segments.segment_distribution(segments.segment_sellers(s.star)),
     "segment_distribution_text": lambda s: segments.segment_distribution_text(segments.segment_sellers(s.star)),
@@ -184,10 +169,10 @@ PLANS: dict[str, Callable[[StandIn], DataFrame]] = {
     # Quality.
     "staging_counts": lambda s: quality.staging_counts(s.staging),
     "file_manifest": lambda s: manifest(quality.staging_counts(s.staging)),
-    "dq_info": lambda s: quality.star_info(_written_star(s)),
-    "dq_checks": lambda s: quality.star_checks(_written_star(s)),
-    "dq_constraints": lambda s: quality.star_constraints(_written_star(s)),
-    "dq_text_lengths": lambda s: quality.text_lengths(_written_star(s)),
+    "dq_info": lambda s: quality.star_info(_built_star(s)),
+    "dq_checks": lambda s: quality.star_checks(_built_star(s)),
+    "dq_constraints": lambda s: quality.star_constraints(_built_star(s)),
+    "dq_text_lengths": lambda s: quality.text_lengths(_built_star(s)),
     "dq_fact_amounts": lambda s: quality.fact_amounts(_built_star(s)),
     "fk_coverage": lambda s: quality.fk_coverage(_built_star(s)),
     "sk_integrity": lambda s: quality.sk_integrity(_built_star(s)),
@@ -222,18 +207,15 @@ PLANS: dict[str, Callable[[StandIn], DataFrame]] = {
     "filter_domain": orders.filter_domain,
     # Exploration: categories and sellers.
     "eda_category_stats": catalog.category_stats,
-    "eda_category_stats_by_range": lambda s: catalog.category_stats(s, single_task_rows=0),
     "categories_for_80": lambda s: catalog.categories_for_share(catalog.category_stats(s)),
     "top_categories": lambda s: catalog.top_categories(catalog.category_stats(s)),
     "category_satisfaction_eda": catalog.category_scores,
     "category_best_worst": lambda s: catalog.best_and_worst(catalog.category_scores(s)),
     "eda_seller_stats": catalog.seller_stats,
-    "eda_seller_stats_by_range": lambda s: catalog.seller_stats(s, single_task_rows=0),
     "seller_revenue_log_histogram": lambda s: catalog.revenue_log_histogram(s).withColumns(
         {"desde": F.round("desde", 6), "hasta": F.round("hasta", 6)}
     ),
     "lorenz_curve": catalog.lorenz_curve,
-    "lorenz_curve_by_range": lambda s: catalog.lorenz_curve(s, single_task_rows=0),
     "seller_concentration": catalog.seller_concentration,
     "seller_state_top10": catalog.seller_states,
     # Exploration: delivery, scores, summaries.

@@ -211,22 +211,21 @@ def test_category_scores_count_reviews_without_items(frames):
     assert both[0]["avg_score"] == expected.a.max() and both[1]["avg_score"] == expected.a.min()
 
 
-@pytest.mark.parametrize("limit", [None, 0])
-def test_sellers(frames, limit):
+def test_sellers(frames):
     df = table("order_items").groupby("seller_id").agg(
         r=("price", "sum"), o=("order_id", "nunique"), i=("order_item_id", "count"), m=("price", "mean")
     ).reset_index().sort_values(["r", "seller_id"], ascending=[False, True])
-    found = rows(catalog.seller_stats(frames, single_task_rows=limit), "rank")
+    found = rows(catalog.seller_stats(frames), "rank")
     assert [r["seller_id"] for r in found] == list(df.seller_id)
     assert [float(r["revenue"]) for r in found] == pytest.approx(list(df.r))
     assert [float(r["ticket_prom"]) for r in found] == pytest.approx(list(df.m), abs=1e-3)
     assert [r["revenue_acum"] for r in found] == pytest.approx(list(df.r.cumsum() / df.r.sum() * 100))
-    row = catalog.seller_concentration(frames, single_task_rows=limit).first()
+    row = catalog.seller_concentration(frames).first()
     assert row["vendedores"] == len(df) and row["pct_menos_10_ordenes"] == 100
     assert float(row["revenue_mediana"]) == pytest.approx(df.r.median())
     assert row["pct_vendedores_50"] == pytest.approx((df.r.cumsum() / df.r.sum() * 100 <= 50).mean() * 100)
     ascending = np.sort(df.r.values)
-    curve = rows(catalog.lorenz_curve(frames, single_task_rows=limit), "posicion")
+    curve = rows(catalog.lorenz_curve(frames), "posicion")
     assert [r["pct_revenue"] for r in curve] == pytest.approx(list(np.cumsum(ascending) / ascending.sum() * 100))
     assert [r["pct_vendedores"] for r in curve] == pytest.approx(list(np.linspace(0, 100, len(df))))
 

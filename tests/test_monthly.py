@@ -13,7 +13,7 @@ D = Decimal
 
 
 def spans(spark, year, month):
-    days = monthly.comparison_days(monthly.month_spine(spark, (year, month), (year, month)))
+    days = monthly.comparison_days(monthly.month_spine(spark.range(1), (year, month), (year, month)))
     ends = {}
     for row in days.collect():
         ends.setdefault(row["tramo"], []).append(row["full_date"])

@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 import random
+from collections import Counter
 
-import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tianguis.operators.ordering import Sized, running, sized, tile_of, with_rank
+from tianguis.operators.ordering import _with_range, running, tile_of, with_ranks
 
 
 def pairs(n, values, seed=7):
@@ -18,57 +18,67 @@ def pairs(n, values, seed=7):
     return [(i, source.randint(0, values)) for i in range(n)]
 
 
-def both(df):
-    return Sized(df, True), Sized(df, False)
-
-
 @pytest.mark.parametrize("n, values", [(1, 1), (3, 1), (500, 5), (500, 10**6)])
 @pytest.mark.parametrize("descending", [True, False])
-def test_positions_and_sums(many_partitions, n, values, descending):
+@pytest.mark.parametrize("key", ["long", "string", "date"])
+def test_positions_and_sums(many_partitions, n, values, descending, key):
     data = pairs(n, values)
-    df = many_partitions.createDataFrame(data, "id long, v long").repartition(3)
-    order = [("v", descending), ("id", False)]
+    name = {"long": "id", "string": "lpad(id, 5, '0')", "date": "date_add(DATE '2020-01-01', CAST(id AS INT))"}[key]
+    df = many_partitions.createDataFrame(data, "id long, v long").repartition(3).selectExpr("id", "v", f"{name} AS k")
     expected, upto = {}, 0
-    for i, (key, value) in enumerate(sorted(data, key=lambda r: (-r[1] if descending else r[1], r[0])), 1):
+    for i, (row, value) in enumerate(sorted(data, key=lambda r: (-r[1] if descending else r[1], r[0])), 1):
         upto += value
-        expected[key] = (i, n, upto, sum(v for _, v in data))
-    for frame in both(df):
-        got = running(frame, order, position="p", count="n", sums={"v": ("u", "t")})
-        assert {r["id"]: (r["p"], r["n"], r["u"], r["t"]) for r in got.collect()} == expected
+        expected[row] = (i, n, upto, sum(v for _, v in data))
+    got = running(df, [("v", descending), ("k", False)], position="p", count="n", sums={"v": ("u", "t")})
+    assert {r["id"]: (r["p"], r["n"], r["u"], r["t"]) for r in got.collect()} == expected
+
+
+def test_positions_by_group(many_partitions):
+    data = [(i, i % 3, v) for i, v in pairs(300, 20)]
+    df = many_partitions.createDataFrame(data, "id long, g long, v long")
+    got = running(df, [("v", False), ("id", True)], within="g", position="p", count="n", sums={"v": ("u", "t")})
+    found = {r["id"]: (r["p"], r["n"], r["u"], r["t"]) for r in got.collect()}
+    for group in range(3):
+        upto = 0
+        rows = sorted((r for r in data if r[1] == group), key=lambda r: (r[2], -r[0]))
+        for i, (row, _, value) in enumerate(rows, 1):
+            upto += value
+            assert found[row] == (i, 100, upto, sum(r[2] for r in rows))
 
 
 @pytest.mark.parametrize("n, values", [(1, 1), (400, 3), (400, 10**6)])
 def test_rank_with_heavy_ties(many_partitions, n, values):
     data = pairs(n, values)
-    df = many_partitions.createDataFrame(data, "id long, v long")
-    expected = {key: 1 + sum(other > value for _, other in data) for key, value in data}
-    for frame in (Sized(df, True), sized(df, limit=0)):
-        assert {r["id"]: r["r"] for r in with_rank(frame, "v", "r").df.collect()} == expected
+    df = many_partitions.createDataFrame(data, "id long, v long").selectExpr("*", "-v AS w")
+    ranked = with_ranks(df, {"v": "r", "w": "q"}).collect()
+    assert {r["id"]: r["r"] for r in ranked} == {key: 1 + sum(other > value for _, other in data) for key, value in data}
+    assert {r["id"]: r["q"] for r in ranked} == {key: 1 + sum(other < value for _, other in data) for key, value in data}
 
 
 def test_running_sum_shared_by_ties(many_partitions):
     data = pairs(300, 4)
     df = many_partitions.createDataFrame(data, "id long, v long")
-    expected = {key: sum(other for _, other in data if other >= value) for key, value in data}
-    for frame in (Sized(df, True), sized(df, limit=0)):
-        found = with_rank(frame, "v", "r", upto="u", total="t").df.collect()
-        assert {r["id"]: r["u"] for r in found} == expected
-        assert {r["t"] for r in found} == {sum(v for _, v in data)}
+    found = with_ranks(df, {"v": "r"}, upto="u", total="t").collect()
+    assert {r["id"]: r["u"] for r in found} == {key: sum(other for _, other in data if other >= value) for key, value in data}
+    assert {r["t"] for r in found} == {sum(v for _, v in data)}
 
 
 def test_rank_keeps_rows_without_a_value(many_partitions):
     df = many_partitions.createDataFrame([(1, 5), (2, None), (3, 7)], "id long, v long")
-    for frame in both(df):
-        assert {r["id"]: r["r"] for r in with_rank(frame, "v", "r").df.collect()} == {3: 1, 1: 2, 2: 3}
+    assert {r["id"]: r["r"] for r in with_ranks(df, {"v": "r"}).collect()} == {3: 1, 1: 2, 2: 3}
 
 
 def test_running_sum_over_missing_values(many_partitions):
     data = [(1, None), (2, 4), (3, None), (4, 1)]
     df = many_partitions.createDataFrame(data, "id long, v long")
-    results = [
-        {r["id"]: r["u"] for r in running(frame, [("id", False)], sums={"v": ("u", "t")}).collect()} for frame in both(df)
-    ]
-    assert results == [{1: None, 2: 4, 3: 4, 4: 5}] * 2
+    result = {r["id"]: r["u"] for r in running(df, [("id", False)], sums={"v": ("u", "t")}).collect()}
+    assert result == {1: None, 2: 4, 3: 4, 4: 5}
+
+
+def test_nothing_to_order(spark):
+    empty = spark.createDataFrame([], "id long, v long")
+    assert running(empty, [("v", True), ("id", False)], position="p", sums={"v": ("u", "t")}).count() == 0
+    assert with_ranks(empty, {"v": "r"}).count() == 0
 
 
 @settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -80,17 +90,28 @@ def test_tiles_match_the_window_function(spark, n, tiles):
     assert got == [k + 1 for k in range(tiles) for _ in range(sizes[k])]
 
 
-def test_measuring_prefers_the_dimension(spark):
-    small = spark.range(5)
-    assert sized(small, at_most=spark.range(10), limit=10) == Sized(small, True)
-    assert sized(small, at_most=spark.range(11), limit=10).fits_one_task
-    assert not sized(small, at_most=spark.range(11), limit=4).fits_one_task
-
-
-def test_partitions_are_really_crossed(many_partitions):
-    df = many_partitions.createDataFrame(pairs(500, 10**6), "id long, v long")
-    spread = df.repartitionByRange("v", "id").select(F.spark_partition_id().alias("part")).distinct().count()
-    assert spread > 4
-    got = running(Sized(df, False), [("v", False), ("id", False)], position="p")
-    values = [r["v"] for r in got.orderBy("p").collect()]
-    assert values == sorted(values) and len(np.unique([r["p"] for r in got.collect()])) == 500
+def test_rows_fall_into_many_ranges_in_order(many_partitions):
+    """Rows of a lower range come before those of a higher one, and a value that most rows share is split."""
+    data = [(i, 7 if i % 3 else i) for i in range(3000)]
+    df = many_partitions.createDataFrame(data, "id long, v long")
+    for descending in (False, True):
+        found = _with_range(df, [("v", descending), ("id", False)]).collect()
+        ordered = sorted(found, key=lambda r: (-r["v"] if descending else r["v"], r["id"]))
+        assert [r["_range"] for r in ordered] == sorted(r["_range"] for r in found)
+        shared = Counter(r["_range"] for r in found if r["v"] == 7)
+        assert len(shared) > 30 and max(shared.values()) < 200
+        assert len({r["_range"] for r in found}) > 60
+
+
+def test_planning_runs_no_job_and_the_frame_is_computed_once(many_partitions):
+    tracker = many_partitions.sparkContext.statusTracker()
+    many_partitions.sparkContext.setJobGroup("planning", "plans only")
+    facts = many_partitions.range(1000).selectExpr("id % 50 AS k", "id AS v")
+    frame = facts.groupBy("k").agg(F.sum("v").alias("v"), F.count("v").alias("n"))
+    plan = running(frame, [("v", True), ("k", False)], position="p", sums={"v": ("u", "t")})
+    assert tracker.getJobIdsForGroup("planning") == []
+    assert plan.count() == 50
+    many_partitions.sparkContext.setJobGroup("other", "")
+    plan.collect()
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert text.count("ReusedExchange") >= 2  # the borders and the ranges' totals read what the rows read

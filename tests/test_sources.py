@@ -1,6 +1,7 @@
 """Reading, staging, sinks."""
 
 import datetime as dt
+import re
 from decimal import Decimal
 
 import pytest
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tianguis.functions.display import minute_text, money_text
 from tianguis.plans import monthly, reporting, segments
+from tianguis.plans.publish import rebuild
 from tianguis.plans.quality import staging_counts
 from tianguis.plans.star import build_star, plan_star
 from tianguis.schemas import RAW_COLUMNS, STAR_COLUMNS, text_schema
@@ -101,17 +103,54 @@ def test_text_for_readers(spark):
     assert tuple(row) == ("$1,234.50", "R$ 1,234", "2018-08-31 23:59")
 
 
-def test_single_line_tables_can_be_split(spark):
-    only = read_raw(spark, FIXTURES, ["order_items"], single_line=["order_items"])["order_items"]
-    assert only.count() == 9
+def test_large_files_are_split_by_default(spark, tmp_path):
+    line = "o,1,p,s,2018-01-01 00:00:00,1.0,2.0\n"
+    (tmp_path / "order_items.csv").write_text(",".join(RAW_COLUMNS["order_items"]) + "\n" + line * 40_000)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "200k")
+    items = read_raw(spark, str(tmp_path), ["order_items"])["order_items"]
+    assert items.rdd.getNumPartitions() > 3 and items.count() == 40_000
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+@pytest.mark.parametrize("multi_line", [(), ("sellers",)])
+@pytest.mark.parametrize("fault", ["extra", "missing", "swapped"])
+@pytest.mark.parametrize("ask", ["all", "one", "count"])
+def test_malformed_files_are_refused(spark, tmp_path, multi_line, fault, ask):
+    header = list(RAW_COLUMNS["sellers"])
+    row = ["s", "01000", "x", "SP"]
+    if fault == "swapped":
+        header[0], header[1] = header[1], header[0]
+    bad = {"extra": [*row, "more"], "missing": row[:-1], "swapped": row}[fault]
+    (tmp_path / "sellers.csv").write_text("\n".join(map(",".join, [header, row, bad])) + "\n")
+    frame = read_raw(spark, str(tmp_path), ["sellers"], multi_line=multi_line)["sellers"]
+    run = {"all": frame.collect, "one": frame.select("seller_state").collect, "count": frame.count}[ask]
+    with pytest.raises(Exception, match="MALFORMED|FAILFAST|header|FAILED_READ_FILE"):
+        run()
+
+
+def test_one_month_opens_three_partitions(spark, raw, star, tmp_path):
+    stored = build_star(spark, raw, str(tmp_path))
+    report = monthly.monthly_report(stored, 2018, 4)
+    text = report._jdf.queryExecution().executedPlan().toString()
+    scans = [part.split("ReadSchema")[0] for part in text.split("FileScan parquet")[1:]]
+    scans = [part for part in scans if "purchase_month" in part]
+    assert len(scans) >= 3
+    for scan in scans:
+        months = re.search(r"PartitionFilters: \[(.*?)\]", scan)[1]
+        assert "purchase_month" in months
+        assert set(re.findall(r"20\d{4}", months)) <= {"201704", "201803", "201804"}
+    assert report.collect() == monthly.monthly_report(star, 2018, 4).collect()
 
 
-def test_one_month_reads_one_partition_range(spark, raw, tmp_path):
-    stored = build_star(spark, raw, str(tmp_path))
-    plan = stored.fact_order_items.where("date_sk between 20180401 and 20180430").select("date_sk")
-    text = plan._jdf.queryExecution().executedPlan().toString()
-    assert "PushedFilters: [IsNotNull(date_sk), GreaterThanOrEqual(date_sk,20180401)" in text
-    assert "ReadSchema: struct<date_sk:int>" in text
+def test_views_are_current_after_a_rebuild(spark, raw, tmp_path):
+    total = lambda: spark.sql("SELECT sum(revenue) FROM vw_revenue_mensual").first()[0]
+    rebuild(spark, raw, str(tmp_path))
+    first = total()
+    fewer = {**raw, "order_items": raw["order_items"].where("order_item_id = '1'")}
+    rebuild(spark, fewer, str(tmp_path))
+    assert total() < first
+    rebuild(spark, raw, str(tmp_path))
+    assert total() == first
 
 
 def test_snapshots_are_upserted_by_period(spark, star, tmp_path):

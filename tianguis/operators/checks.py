@@ -39,16 +39,53 @@ def duplicate_keys(df: DataFrame, key: list[str], label: str) -> DataFrame:
     return violations(repeated, {label: F.col("_n") > 1})
 
 
-def missing_references(df: DataFrame, key: str, target: DataFrame, target_key: str, label: str) -> DataFrame:
-    """How many rows point to a key that does not exist; a NULL reference is allowed.
-
-    References are counted per key first, so a hot key is one row in the join.
+def table_constraints(
+    table: str,
+    df: DataFrame,
+    primary: list[str],
+    foreign: Mapping[str, tuple[DataFrame, str]],
+    required: list[str],
+) -> DataFrame:
+    """(test, resultado) for the keys, references and NOT NULL columns of one table, from one reading of it.
+
+    Every row names its values under the rule they belong to; equal values of a rule are counted together before
+    the shuffle, so a hot reference is one row where it meets the referenced keys, and long rows are never moved.
+    A primary key counts the keys that occur more than once, a reference the rows whose key does not exist (NULL
+    is allowed), a required column its NULLs.
     """
-    used = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    known = target.select(F.col(target_key).alias(key))
-    return used.join(known, key, "left_anti").agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("resultado")).select(
-        F.lit(label).alias("test"), "resultado"
+    labels = [f"pk {table}.{k}" for k in primary] + [f"fk {table}.{k}" for k in foreign]
+    keys = [*primary, *foreign]
+    named = [F.struct(F.lit(label).alias("test"), F.col(k).cast("string").alias("value")) for label, k in zip(labels, keys, strict=True)]
+    missing = {f"not null {table}.{c}": c for c in required}
+    named += [
+        F.struct(F.lit(label).alias("test"), F.when(F.col(c).isNull(), F.lit("missing")).alias("value"))
+        for label, c in missing.items()
+    ]
+    counted = (
+        df.select(F.inline(F.array(*named))).where(F.col("value").isNotNull()).groupBy("test", "value").agg(F.count(F.lit(1)).alias("_n"))
     )
+    if foreign:
+        known = stacked(
+            [
+                other.select(F.lit(f"fk {table}.{k}").alias("test"), F.col(name).cast("string").alias("value"))
+                for k, (other, name) in foreign.items()
+            ]
+        )
+        known = known.groupBy("test", "value").agg(F.lit(True).alias("_known"))
+        counted = counted.join(known, ["test", "value"], "left")
+    else:
+        counted = counted.withColumn("_known", F.lit(None).cast("boolean"))
+
+    def result(label: str) -> Column:
+        mine = F.col("test") == label
+        if label.startswith("pk "):
+            return F.count_if(mine & (F.col("_n") > 1))
+        return F.coalesce(F.sum(F.when(mine & F.col("_known").isNull(), F.col("_n"))), F.lit(0))
+
+    every = [*labels, *missing]
+    totals = counted.agg(*[result(label).alias(f"_{i}") for i, label in enumerate(every)])
+    pairs = [F.struct(F.lit(label).alias("test"), F.col(f"_{i}").alias("resultado")) for i, label in enumerate(every)]
+    return totals.select(F.inline(F.array(*pairs)))
 
 
 def with_verdict(checks: DataFrame) -> DataFrame:

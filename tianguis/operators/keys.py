@@ -8,18 +8,21 @@ from pyspark.sql import functions as F
 KEY_BUCKETS = 65_536
 
 
-def first_by_key(df: DataFrame, key: str) -> DataFrame:
+def _bucketed(df: DataFrame, key: str, buckets: int) -> DataFrame:
+    """Rows with the hash bucket of their key."""
+    return df.withColumn("_bucket", F.pmod(F.xxhash64(key), F.lit(buckets)))
+
+
+def first_by_key(df: DataFrame, key: str, buckets: int = KEY_BUCKETS) -> DataFrame:
     """One row per key, the smallest over the remaining columns.
 
-    An aggregate rather than a ``row_number`` window: copies of a hot key collapse before the
-    shuffle instead of being sorted in one task.
+    Spark keeps one row per key and task before the shuffle (a limit on the row number is applied on both
+    sides), so copies of a hot key do not travel.
     """
     others = [name for name in df.columns if name != key]
-    return (
-        df.groupBy(key)
-        .agg(F.min(F.struct(*others)).alias("_kept"))
-        .select(key, *[F.col("_kept")[name].alias(name) for name in others])
-    )
+    order = Window.partitionBy("_bucket", key).orderBy(*[F.col(c).asc_nulls_first() for c in others] or [F.col(key)])
+    ranked = _bucketed(df, key, buckets).withColumn("_nth", F.row_number().over(order))
+    return ranked.where(F.col("_nth") == 1).select(*df.columns)
 
 
 def with_surrogate_key(df: DataFrame, key: str, name: str, buckets: int = KEY_BUCKETS) -> DataFrame:
@@ -29,12 +32,27 @@ def with_surrogate_key(df: DataFrame, key: str, name: str, buckets: int = KEY_BU
     is interleaved, ``(n - 1) * buckets + bucket + 1``. No bucket needs to know the size of
     another, so there is no global sort and no second pass over the input.
     """
-    numbered = df.withColumn("_bucket", F.pmod(F.xxhash64(key), F.lit(buckets)))
+    numbered = _bucketed(df, key, buckets)
     position = F.row_number().over(Window.partitionBy("_bucket").orderBy(key))
     surrogate = (position.cast("long") - 1) * buckets + F.col("_bucket") + 1
     return numbered.select(surrogate.alias(name), *df.columns)
 
 
+def keyed_first(df: DataFrame, key: str, name: str, buckets: int = KEY_BUCKETS) -> DataFrame:
+    """B1 and B3 in one shuffle: the smallest row of each key, numbered as ``with_surrogate_key`` would.
+
+    Rows are dealt out by bucket once. Inside a bucket they are ordered by key and then by the other columns: the
+    dense rank of the key is its number, and the first row of a key is the one kept.
+    """
+    others = [c for c in df.columns if c != key]
+    dealt = _bucketed(df, key, buckets).repartition("_bucket")
+    within = Window.partitionBy("_bucket").orderBy(key)
+    first = Window.partitionBy("_bucket", key).orderBy(*[F.col(c).asc_nulls_first() for c in others] or [F.col(key)])
+    numbered = dealt.withColumns({"_key": F.dense_rank().over(within), "_nth": F.row_number().over(first)})
+    surrogate = (F.col("_key").cast("long") - 1) * buckets + F.col("_bucket") + 1
+    return numbered.where(F.col("_nth") == 1).select(surrogate.alias(name), *df.columns)
+
+
 def with_arrival_key(df: DataFrame, name: str) -> DataFrame:
     """B1 for facts: a unique integer given as rows are written.
 

@@ -1,112 +1,118 @@
 """Global order without a single-task window (G0; F2, F3, F6, F8, F9, F11).
 
-An un-partitioned window sends every row to one task. That is right for months, states or
-categories, but not for a table whose size follows the number of sellers or orders. These
-operators take a frame that may be of either size:
-
-* up to ``SINGLE_TASK_ROWS`` (a measured count, never a guess) they use the plain window;
-* beyond it they range-partition the rows, write the result with its partition number to the
-  shared checkpoint folder, and add per-partition offsets to partition-local windows.
-
-The partition number is stored, not recomputed, so losing an executor cannot move a boundary.
+An un-partitioned window sends every row to one task. That is right for months, states or segments, but not
+for a table whose size follows the number of sellers or orders. Here one lazy plan serves every size: borders
+of the leading measure are taken from the data by a scalar subquery, rows are dealt out by the range they fall
+in, numbered and summed inside it, and the totals of the ranges before are added. Nothing runs while a plan is
+built.
+
+The borders, the ranges' totals and the rows are three readings of one frame. Each of them reads every column of
+it (``_read_whole``), so their plans agree below that point and Spark computes the frame's exchange once.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tianguis.session import use_checkpoint_folder
+#: Borders of the measure, and of the second column inside a value that many rows share.
+RANGES, TIE_RANGES = 200, 40
+#: Leading bytes of a text that decide its tie range.
+PREFIX_BYTES = 7
 
-SINGLE_TASK_ROWS = 1_000_000
 
+def _read_whole(df: DataFrame) -> Column:
+    return F.max(F.xxhash64(*df.columns)).alias("_whole")
 
-@dataclass(frozen=True)
-class Sized:
-    """A frame and whether one task may hold all of it."""
 
-    df: DataFrame
-    fits_one_task: bool
+def _sort(order: list[tuple[str, bool]]) -> list[Column]:
+    return [F.col(name).desc() if descending else F.col(name).asc() for name, descending in order]
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """Compute once and cut the lineage with a reliable checkpoint."""
-    use_checkpoint_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+def _border_list(count: int) -> list[float]:
+    return [i / count for i in range(1, count)]
 
 
-def sized(df: DataFrame, at_most: DataFrame | None = None, limit: int | None = None) -> Sized:
-    """Measure ``df``.
+def _at_or_below(borders: Column, value: Column) -> Column:
+    return F.coalesce(F.size(F.filter(borders, lambda b: b <= value)), F.lit(0))
 
-    ``at_most`` is a stored frame with at least as many rows, such as the dimension ``df`` is
-    keyed by; counting it reads no column data. Without it, or when it is too large to decide,
-    ``df`` is stored first so that measuring does not compute it twice.
-    """
-    limit = SINGLE_TASK_ROWS if limit is None else limit
-    if at_most is not None and at_most.count() <= limit:
-        return Sized(df, True)
-    kept = stored(df)
-    return Sized(kept, kept.count() <= limit)
 
+def _tie_number(df: DataFrame, name: str) -> Column | None:
+    """A number that never falls as the column rises, or None where there is no such rule."""
+    kind = df.schema[name].dataType
+    if isinstance(kind, T.NumericType):
+        return F.col(name).cast("double")
+    if isinstance(kind, T.StringType):
+        digits = F.rpad(F.substring(F.hex(name), 1, 2 * PREFIX_BYTES), 2 * PREFIX_BYTES, "0")
+        return F.conv(digits, 16, 10).cast("double")
+    return None
 
-def _sort(order: list[tuple[str, bool]]) -> list[Column]:
-    return [F.col(name).desc() if descending else F.col(name).asc() for name, descending in order]
+
+def _with_range(df: DataFrame, order: list[tuple[str, bool]]) -> DataFrame:
+    """Add ``_range``: rows of a lower range come before those of a higher one in the order.
+
+    A value that is itself a border has a range of its own, so that the rows that share it can be split by the
+    second column of the order. NULLs are a range too.
+    """
+    (first, descending), second = order[0], order[1] if len(order) > 1 else None
+    tie = _tie_number(df, second[0]) if second else None
+    found = [F.percentile_approx(first, _border_list(RANGES), 20 * RANGES).alias("at")]
+    if tie is not None:
+        found.append(F.percentile_approx(tie, _border_list(TIE_RANGES), 20 * TIE_RANGES).alias("tie"))
+    names = ["at", "tie"][: len(found)]
+    borders = df.agg(*found, _read_whole(df)).where(F.col("_whole").isNotNull()).select(F.struct(*names)).scalar()
+    df = df.withColumn("_borders", borders)
+
+    value = F.col(first)
+    own = F.coalesce(F.array_contains("_borders.at", value), F.lit(False))
+    place = F.when(value.isNull(), -1).otherwise(2 * _at_or_below(F.col("_borders.at"), value) - own.cast("int"))
+    place = -place if descending else place
+    inside = F.lit(0)
+    if tie is not None:
+        inside = F.when(own | value.isNull(), _at_or_below(F.col("_borders.tie"), tie)).otherwise(0)
+        inside = F.when(F.lit(second[1]), TIE_RANGES - inside).otherwise(inside)
+    return df.withColumn("_range", place * (TIE_RANGES + 1) + inside).drop("_borders")
 
 
 def running(
-    frame: Sized,
+    df: DataFrame,
     order: list[tuple[str, bool]],
     *,
+    within: str | None = None,
     position: str | None = None,
     count: str | None = None,
     sums: dict[str, tuple[str, str]] | None = None,
 ) -> DataFrame:
     """Add positions and running sums over a total order.
 
-    ``order`` is a list of (column, descending) whose columns together are unique. ``position``
-    names the 1-based row number, ``count`` the number of rows, and ``sums`` maps a column to
-    the names of its (running sum up to and including the row, grand total).
+    ``order`` is a list of (column, descending) whose columns together are unique; the first is a number.
+    ``position`` names the 1-based row number, ``count`` the number of rows, and ``sums`` maps a column to
+    the names of its (running sum up to and including the row, grand total). ``within`` names a column whose
+    values are ordered, counted and summed each by itself; none of its values needs to fit one task.
     """
     sums = sums or {}
-    if frame.fits_one_task:
-        return _running_one_task(frame.df, order, position, count, sums)
-    return _running_by_range(frame.df, order, position, count, sums)
-
-
-def _running_one_task(df, order, position, count, sums):
-    ordered = Window.orderBy(*_sort(order)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    everything = Window.partitionBy()
-    added = []
-    if position:
-        added.append(F.row_number().over(Window.orderBy(*_sort(order))).cast("long").alias(position))
-    if count:
-        added.append(F.count(F.lit(1)).over(everything).alias(count))
-    for column, (upto, total) in sums.items():
-        added.append(F.sum(column).over(ordered).alias(upto))
-        added.append(F.sum(column).over(everything).alias(total))
-    return df.select("*", *added)
-
-
-def _running_by_range(df, order, position, count, sums):
-    ranged = stored(df.repartitionByRange(*_sort(order)).withColumn("_part", F.spark_partition_id()))
-
-    # One row per partition: a bounded frame, so its window and its broadcast are too.
-    parts = ranged.groupBy("_part").agg(
-        F.count(F.lit(1)).alias("_n"), *[F.sum(c).alias(f"_sum_{c}") for c in sums]
+    groups = [within] if within else []
+    ranged = _with_range(df, order).repartition(*groups, "_range")
+
+    # One row per range: a bounded frame, so its window and its broadcast are too (by group: not broadcast by hint).
+    parts = (
+        ranged.groupBy(*groups, "_range")
+        .agg(F.count(F.lit(1)).alias("_n"), *[F.sum(c).alias(f"_sum_{c}") for c in sums], _read_whole(ranged))
+        .where(F.col("_whole").isNotNull())
     )
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    everything = Window.partitionBy()
+    before = Window.partitionBy(*groups).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    everything = Window.partitionBy(*groups)
     offsets = parts.select(
-        "_part",
+        *groups,
+        "_range",
         F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_n_before"),
         F.sum("_n").over(everything).alias("_n_all"),
         *[F.sum(f"_sum_{c}").over(before).alias(f"_before_{c}") for c in sums],
         *[F.sum(f"_sum_{c}").over(everything).alias(f"_all_{c}") for c in sums],
     )
 
-    inside = Window.partitionBy("_part").orderBy(*_sort(order))
+    inside = Window.partitionBy(*groups, "_range").orderBy(*_sort(order))
     upto_row = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = ranged.select(
         "*",
@@ -119,47 +125,44 @@ def _running_by_range(df, order, position, count, sums):
     if count:
         added.append(F.col("_n_all").alias(count))
     for column, (upto, total) in sums.items():
-        # Either part may be NULL (no earlier partition, or only NULLs so far).
+        # Either part may be NULL (no earlier range, or only NULLs so far).
         local_sum, earlier = F.col(f"_local_{column}"), F.col(f"_before_{column}")
         added.append(F.coalesce(local_sum + earlier, local_sum, earlier).alias(upto))
         added.append(F.col(f"_all_{column}").alias(total))
-    return local.join(F.broadcast(offsets), "_part").select(*df.columns, *added)
-
-
-def with_rank(
-    frame: Sized, measure: str, name: str, descending: bool = True, upto: str | None = None, total: str | None = None
-) -> Sized:
-    """``RANK()`` over a measure with any number of ties.
+    placed = local.join(offsets if within else F.broadcast(offsets), [*groups, "_range"])
+    return placed.select(*df.columns, *added)
 
-    ``upto`` and ``total`` also add the running sum of the measure, in which equal values share
-    one result (F2, the RANGE frame), and its grand total.
 
-    The large form ranks the *distinct values* (ties collapse before the shuffle) and joins
-    the ranks back, so a value shared by a third of the rows stays one row while ordering.
-    """
-    if frame.fits_one_task:
-        by_measure = Window.orderBy(*_sort([(measure, descending)]))
-        added = [F.rank().over(by_measure).cast("long").alias(name)]
-        if upto:
-            ties_together = by_measure.rangeBetween(Window.unboundedPreceding, Window.currentRow)
-            added.append(F.sum(measure).over(ties_together).alias(upto))
-        if total:
-            added.append(F.sum(measure).over(Window.partitionBy()).alias(total))
-        return Sized(frame.df.select("*", *added), True)
-    values = frame.df.groupBy(F.col(measure).alias("_ranked_value")).agg(
-        F.count(F.lit(1)).alias("_n"), F.sum(measure).alias("_sum")
-    )
-    ordered = running(
-        sized(values), [("_ranked_value", descending)], sums={"_n": ("_n_upto", "_n_all"), "_sum": ("_upto", "_all")}
+def ranks(df: DataFrame, measure: str, name: str, descending: bool, upto: str | None, total: str | None) -> DataFrame:
+    """One row per distinct value of ``measure``: (_ranked_value, rank, optional running sum and grand total)."""
+    values = df.groupBy(F.col(measure).alias("_ranked_value")).agg(
+        F.count(F.lit(1)).alias("_n"), F.sum(measure).alias("_sum"), _read_whole(df)
     )
-    ranks = ordered.select(
+    ordered = running(values, [("_ranked_value", descending)], sums={"_n": ("_n_upto", "_n_all"), "_sum": ("_upto", "_all")})
+    return ordered.where(F.col("_whole").isNotNull()).select(
         "_ranked_value",
         (F.col("_n_upto") - F.col("_n") + 1).cast("long").alias(name),
         *([F.col("_upto").alias(upto)] if upto else []),
         *([F.col("_all").alias(total)] if total else []),
     )
-    joined = frame.df.join(ranks, F.col(measure).eqNullSafe(F.col("_ranked_value")), "inner").drop("_ranked_value")
-    return Sized(joined, False)
+
+
+def with_ranks(
+    df: DataFrame, names: dict[str, str], descending: bool = True, upto: str | None = None, total: str | None = None
+) -> DataFrame:
+    """``RANK()`` over each measure of ``names`` (measure to rank column), with any number of ties.
+
+    ``upto`` and ``total`` also add the running sum of the (only) measure, in which equal values share one
+    result (F2, the RANGE frame), and its grand total. The *distinct values* are ranked (ties collapse before
+    the shuffle) and joined back, so a value shared by a third of the rows stays one row while ordering; Spark
+    splits it in the join.
+    """
+    out = df
+    for measure, name in names.items():
+        out = out.join(
+            ranks(df, measure, name, descending, upto, total), F.col(measure).eqNullSafe(F.col("_ranked_value")), "inner"
+        ).drop("_ranked_value")
+    return out
 
 
 def tile_of(position: Column, count: Column, tiles: int) -> Column:

@@ -17,14 +17,15 @@ def _total(columns: list[Column]) -> Column:
 def table_profile(name: str, df: DataFrame) -> DataFrame:
     """Rows, columns, percentage of empty cells and surplus copies of whole rows.
 
-    Equal rows are counted together, so one pass answers all four and copies collapse before
-    the shuffle.
+    Equal rows are counted together under a 256-bit digest of their typed values, so long texts stay where they
+    are, one pass answers all four, and copies collapse before the shuffle.
     """
-    nulls = _total([F.col(c).isNull().cast("int") for c in df.columns])
-    distinct = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
+    nulls = _total([F.col(c).isNull().cast("int") for c in df.columns]).alias("_row_nulls")
+    digest = F.sha2(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}), 256).alias("_digest")
+    distinct = df.select(digest, nulls).groupBy("_digest", "_row_nulls").agg(F.count(F.lit(1)).alias("_n"))
     sums = distinct.agg(
         F.coalesce(F.sum("_n"), F.lit(0)).alias("filas"),
-        F.sum(F.col("_n") * nulls).alias("_nulls"),
+        F.sum(F.col("_n") * F.col("_row_nulls")).alias("_nulls"),
         F.count(F.lit(1)).alias("_distinct"),
     )
     width = len(df.columns)

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tianguis.operators.ordering import Sized, running, sized
+from tianguis.operators.ordering import running
 
 
 def counted_values(df: DataFrame, value: str, by: list[str] | None = None) -> DataFrame:
@@ -35,7 +35,7 @@ def _pick(value: str, fraction: tuple[int, int]) -> Column:
     return (low + (high - low) * weight.cast("decimal(8,6)")).cast("decimal(24,6)")
 
 
-def exact_quantiles(counted: Sized, value: str, fractions: dict[str, tuple[int, int]]) -> DataFrame:
+def exact_quantiles(counted: DataFrame, value: str, fractions: dict[str, tuple[int, int]]) -> DataFrame:
     """One row with the named quantiles plus the count, sum, minimum and maximum."""
     ordered = running(counted, [(value, False)], sums={"n": ("upto", "total")})
     return ordered.agg(
@@ -49,31 +49,34 @@ def exact_quantiles(counted: Sized, value: str, fractions: dict[str, tuple[int,
 
 def quantiles_of(df: DataFrame, value: str, fractions: dict[str, tuple[int, int]]) -> DataFrame:
     """``exact_quantiles`` for a column whose number of distinct values is not known."""
-    return exact_quantiles(sized(counted_values(df, value)), value, fractions)
+    return exact_quantiles(counted_values(df, value), value, fractions)
 
 
 def box_statistics(df: DataFrame, by: str, value: str) -> DataFrame:
     """Count, quartiles and 1.5 IQR whiskers per group.
 
-    All groups share one global order by (group, value); what lies before a group is then
-    subtracted. A group that holds most of the rows is spread over tasks like any other rows.
+    Values are ordered within their group by ranges, so a group that holds most of the rows is spread over
+    tasks. The groups are the labels of an axis: their quartiles, one entry each, come back to the counted values
+    as a map instead of shuffling the values on a handful of keys.
     """
-    counted = sized(counted_values(df.where(F.col(by).isNotNull()), value, [by]))
-    ordered = running(counted, [(by, False), (value, False)], sums={"n": ("_upto", "_all")})
-    groups = ordered.groupBy(by).agg(
-        F.min(F.col("_upto") - F.col("n")).alias("_before"), F.sum("n").alias("total")
-    )
-    placed = ordered.join(groups, by).withColumn("upto", F.col("_upto") - F.col("_before"))
-    quartiles = placed.groupBy(by).agg(
+    counted = counted_values(df.where(F.col(by).isNotNull()), value, [by])
+    ordered = running(counted, [(value, False)], within=by, sums={"n": ("upto", "total")})
+    quartiles = ordered.groupBy(by).agg(
         F.sum("n").alias("n"),
         _pick(value, (1, 4)).alias("q1"),
         _pick(value, (1, 2)).alias("mediana"),
         _pick(value, (3, 4)).alias("q3"),
     )
     spread = (F.col("q3") - F.col("q1")) * F.lit(1.5).cast("decimal(2,1)")
-    inside = counted.df.join(quartiles.drop("n"), by).groupBy(by).agg(
-        F.min(F.when(F.col(value) >= F.col("q1") - spread, F.col(value))).alias("_low"),
-        F.max(F.when(F.col(value) <= F.col("q3") + spread, F.col(value))).alias("_high"),
+    fences = quartiles.agg(
+        F.map_from_entries(
+            F.collect_list(F.struct(by, F.struct((F.col("q1") - spread).alias("low"), (F.col("q3") + spread).alias("high"))))
+        )
+    ).scalar()
+    fence = F.element_at(fences, F.col(by))
+    inside = counted.groupBy(by).agg(
+        F.min(F.when(F.col(value) >= fence["low"], F.col(value))).alias("_low"),
+        F.max(F.when(F.col(value) <= fence["high"], F.col(value))).alias("_high"),
     )
     # A fence can leave no value beyond the box; the whisker then ends at the box.
     return quartiles.join(inside, by).select(

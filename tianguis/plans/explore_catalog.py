@@ -8,27 +8,39 @@ from pyspark.sql import functions as F
 from tianguis.functions.numbers import exact_mean, share
 from tianguis.operators.checks import stacked
 from tianguis.operators.histogram import equal_width
-from tianguis.operators.ordering import running, sized
+from tianguis.operators.ordering import running
 
 UNKNOWN = "unknown"
 
 
-def category_stats(frames, single_task_rows: int | None = None) -> DataFrame:
-    """Revenue, items and orders per category (English, else the raw name, else unknown)."""
+def category_totals(frames) -> DataFrame:
+    """Revenue, items and orders per category (English, else the raw name, else unknown).
+
+    Items are reduced to (product, order) before products are joined, and to (category, order) before orders are
+    counted, so neither a hot product nor a hot category meets the join or the count row by row.
+    """
     label = F.coalesce("product_category_name_english", "product_category_name", F.lit(UNKNOWN))
     products = frames.products.select("product_id", "product_category_name")
-    categorised = (
-        frames.order_items.select("order_id", "order_item_id", "product_id", "price")
-        .join(products.join(frames.translation, "product_category_name", "left"), "product_id", "left")
-        .groupBy(label.alias("category"))
+    per_pair = frames.order_items.groupBy("product_id", "order_id").agg(
+        F.sum("price").alias("revenue"), F.count("order_item_id").alias("n_items")
+    )
+    return (
+        per_pair.join(products.join(frames.translation, "product_category_name", "left"), "product_id", "left")
+        .groupBy(label.alias("category"), "order_id")
+        .agg(F.sum("revenue").alias("revenue"), F.sum("n_items").alias("n_items"))
+        .groupBy("category")
         .agg(
-            F.coalesce(F.sum("price"), F.lit(0)).alias("revenue"),
-            F.count("order_item_id").alias("n_items"),
-            F.count_distinct("order_id").alias("n_orders"),
+            F.coalesce(F.sum("revenue"), F.lit(0)).cast("decimal(20,2)").alias("revenue"),
+            F.sum("n_items").alias("n_items"),
+            F.count("order_id").alias("n_orders"),
         )
     )
+
+
+def category_stats(frames) -> DataFrame:
+    """Categories by revenue with share, running share and position."""
     ordered = running(
-        sized(categorised, at_most=frames.products, limit=single_task_rows),
+        category_totals(frames),
         [("revenue", True), ("category", False)],
         position="rank",
         sums={"revenue": ("_upto", "_total")},
@@ -100,10 +112,10 @@ def seller_totals(frames) -> DataFrame:
     )
 
 
-def seller_stats(frames, single_task_rows: int | None = None) -> DataFrame:
+def seller_stats(frames) -> DataFrame:
     """Sellers by revenue with share, running share and position."""
     ordered = running(
-        sized(seller_totals(frames), limit=single_task_rows),
+        seller_totals(frames),
         [("revenue", True), ("seller_id", False)],
         position="rank",
         sums={"revenue": ("_upto", "_total")},
@@ -133,10 +145,10 @@ def revenue_log_histogram(frames, bins: int = 40) -> DataFrame:
     return equal_width(logs, "log_revenue", bins)
 
 
-def lorenz_curve(frames, single_task_rows: int | None = None) -> DataFrame:
+def lorenz_curve(frames) -> DataFrame:
     """Running share of revenue against the share of sellers, poorest first."""
     ordered = running(
-        sized(seller_revenue(frames), limit=single_task_rows),
+        seller_revenue(frames),
         [("revenue", False), ("seller_id", False)],
         position="posicion",
         count="_sellers",
@@ -151,14 +163,14 @@ def lorenz_curve(frames, single_task_rows: int | None = None) -> DataFrame:
     )
 
 
-def seller_concentration(frames, single_task_rows: int | None = None) -> DataFrame:
+def seller_concentration(frames) -> DataFrame:
     """How few sellers make half of the revenue, how many have under ten orders, and the
     mean and median revenue. The median is read off the positions already computed."""
     totals = frames.order_items.where(F.col("seller_id").isNotNull()).groupBy("seller_id").agg(
         F.coalesce(F.sum("price"), F.lit(0)).alias("revenue"), F.count_distinct("order_id").alias("n_ordenes")
     )
     ordered = running(
-        sized(totals, limit=single_task_rows),
+        totals,
         [("revenue", True), ("seller_id", False)],
         position="_rank",
         count="_sellers",

@@ -8,9 +8,8 @@ from pyspark.sql import functions as F
 from tianguis.functions.dates import elapsed_days_floored
 from tianguis.functions.numbers import clip, exact_mean, right_closed_bin, share, traffic_light, true_share
 from tianguis.operators.histogram import equal_width
-from tianguis.operators.ordering import Sized
 from tianguis.operators.quantiles import counted_values, exact_quantiles
-from tianguis.plans.explore_catalog import category_stats
+from tianguis.plans.explore_catalog import category_totals
 from tianguis.plans.explore_orders import order_revenue, orders_by_state, orders_enriched
 
 # The two sets of delivery bins.
@@ -79,8 +78,7 @@ def slowest_states(by_state: DataFrame, n: int) -> DataFrame:
 
 def delivery_overall(frames) -> DataFrame:
     """Mean and median days to deliver over all delivered orders."""
-    # Whole days: the counted values are bounded by the span of the calendar.
-    counted = Sized(counted_values(delivery_days(frames), "dias_entrega"), True)
+    counted = counted_values(delivery_days(frames), "dias_entrega")
     return exact_quantiles(counted, "dias_entrega", {"mediana": (1, 2)}).select(
         (F.col("sum").cast("double") / F.nullif("n", F.lit(0))).alias("promedio"),
         F.col("mediana").cast("double").alias("mediana"),
@@ -169,7 +167,7 @@ def executive_summary(frames) -> DataFrame:
     days = delivery_days(frames).agg(
         F.struct(mean("dias_entrega").alias("mean"), true_share(F.col("dias_vs_estimado") >= 0).alias("on_time"))
     ).scalar()
-    category = category_stats(frames).where(F.col("rank") == 1).select("category").scalar()
+    category = category_totals(frames).orderBy(F.desc("revenue"), "category").limit(1).select("category").scalar()
     state = orders_by_state(orders_enriched(frames)).where(F.col("posicion") == 1).select("customer_state").scalar()
     return per_order.select(
         "*",

@@ -9,13 +9,12 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tianguis.functions.dates import month_key, period_label
 from tianguis.functions.display import money_text
 from tianguis.functions.numbers import exact_mean, growth
-from tianguis.operators.ordering import stored
 from tianguis.plans.reporting import review_summary
 from tianguis.sources.warehouse import read_snapshots, upsert_snapshots
 
@@ -34,13 +33,22 @@ def validate_period(year: int, month: int) -> None:
         raise InvalidParameter(f"year {year} is not between 2000 and 2100")
 
 
-def month_spine(spark: SparkSession, first: tuple[int, int], last: tuple[int, int]) -> DataFrame:
-    """One row per month: (periodo, inicio, fin)."""
-    start, end = dt.date(*first, 1), dt.date(*last, 1)
-    months = F.explode(F.sequence(F.lit(start), F.lit(end), F.expr("interval 1 month")))
+Month = tuple[int, int]
+
+
+def month_spine(dim_date: DataFrame, first: Month | None, last: Month | None) -> DataFrame:
+    """One row per month: (periodo, inicio, fin). Without a range, the months of the calendar."""
+    if first and last:
+        ends = dim_date.sparkSession.range(1).select(
+            F.lit(dt.date(*first, 1)).alias("low"), F.lit(dt.date(*last, 1)).alias("high")
+        )
+    else:
+        ends = dim_date.agg(
+            F.trunc(F.min("full_date"), "month").alias("low"), F.trunc(F.max("full_date"), "month").alias("high")
+        )
+    months = F.explode(F.sequence("low", "high", F.expr("interval 1 month")))
     return (
-        spark.range(1)
-        .select(months.alias("inicio"))
+        ends.select(months.alias("inicio"))
         .select(F.date_format("inicio", "yyyy-MM").alias("periodo"), "inicio", F.last_day("inicio").alias("fin"))
     )
 
@@ -65,17 +73,46 @@ def comparison_days(spine: DataFrame) -> DataFrame:
     )
 
 
-def daily_totals(star, low_key: int, high_key: int) -> DataFrame:
-    """Per calendar day: revenue, items, orders, and review scores weighted by items."""
-    per_order = (
-        star.fact_order_items.where(F.col("date_sk").between(low_key, high_key))
+def months_of(first: tuple[int, int], last: tuple[int, int]) -> list[int]:
+    """Month keys (yyyymm) of a range."""
+    low, high = first[0] * 12 + first[1] - 1, last[0] * 12 + last[1] - 1
+    return [n // 12 * 100 + n % 12 + 1 for n in range(low, high + 1)]
+
+
+def with_comparisons(months: list[int]) -> list[int]:
+    """The months themselves, the one before each, and the same one a year earlier."""
+    before = [m - 1 if m % 100 > 1 else m - 89 for m in months]
+    return sorted({*months, *before, *[m - 100 for m in months]})
+
+
+def items_of(star, months: list[int] | None) -> DataFrame:
+    """The item fact of some months, or all: by its partition column where it is stored with one, so that other
+    months are not opened, and by the first and last day."""
+    fact = star.fact_order_items
+    if months is None:
+        return fact
+    rows = fact.where(F.col("date_sk").between(months[0] * 100 + 1, months[-1] * 100 + 31))
+    month = F.col("purchase_month") if "purchase_month" in fact.columns else month_key(F.col("date_sk"))
+    return rows.where(month.isin(months))
+
+
+def daily_totals(star, months: list[int] | None) -> DataFrame:
+    """Per calendar day of ``months`` and of the months they are compared with: revenue, items and orders; of
+    ``months`` alone also review scores weighted by items (T18), from the reviews of their orders."""
+    # An order has one purchase date.
+    orders = (
+        items_of(star, with_comparisons(months) if months else None)
         .groupBy("order_id")
-        # An order has one purchase date.
         .agg(F.min("date_sk").alias("date_sk"), F.sum("total_value").alias("revenue"), F.count(F.lit(1)).alias("items"))
     )
+    reviews = star.fact_reviews
+    if months:
+        current = orders.where(month_key(F.col("date_sk")).isin(months)).select("order_id")
+        reviews = reviews.join(current, "order_id", "left_semi")
+    summary = review_summary(reviews).select("order_id", "reviews", "score_sum")
     items = F.col("items")
     per_day = (
-        per_order.join(review_summary(star).select("order_id", "reviews", "score_sum"), "order_id", "left")
+        orders.join(summary, "order_id", "left")
         .groupBy("date_sk")
         .agg(
             F.sum("revenue").alias("revenue"),
@@ -102,20 +139,20 @@ def _as_columns(best: DataFrame, name: str, prefix: str) -> DataFrame:
     )
 
 
-def _per_month(star, key: str, low_key: int, high_key: int) -> DataFrame:
+def _per_month(star, key: str, months: list[int] | None) -> DataFrame:
     return (
-        star.fact_order_items.where(F.col("date_sk").between(low_key, high_key))
+        items_of(star, months)
         .groupBy(month_key(F.col("date_sk")).alias("_month"), key)
         .agg(F.sum("total_value").alias("revenue"))
         .select(period_label(F.col("_month")).alias("periodo"), key, "revenue")
     )
 
 
-def top_categories(star, low_key: int, high_key: int) -> DataFrame:
+def top_categories(star, months: list[int] | None) -> DataFrame:
     label = F.coalesce("product_category_name_english", "product_category_name", F.lit(NO_CATEGORY))
     products = star.dim_products.select("product_sk", label.alias("categoria"))
     per_month = (
-        _per_month(star, "product_sk", low_key, high_key)
+        _per_month(star, "product_sk", months)
         .join(products, "product_sk")
         .groupBy("periodo", "categoria")
         .agg(F.sum("revenue").alias("revenue"))
@@ -123,20 +160,19 @@ def top_categories(star, low_key: int, high_key: int) -> DataFrame:
     return _as_columns(_best_three(per_month, "categoria"), "categoria", "top_categoria")
 
 
-def top_sellers(star, low_key: int, high_key: int) -> DataFrame:
+def top_sellers(star, months: list[int] | None) -> DataFrame:
     """Sellers are looked up for the three winners of a month only; equal revenue is decided by
     the surrogate key."""
-    best = _best_three(_per_month(star, "seller_sk", low_key, high_key), "seller_sk")
+    best = _best_three(_per_month(star, "seller_sk", months), "seller_sk")
     named = best.join(star.dim_sellers.select("seller_sk", "seller_id"), "seller_sk")
     return _as_columns(named, "seller_id", "top_vendedor")
 
 
-def month_figures(star, first: tuple[int, int], last: tuple[int, int]) -> DataFrame:
-    """Every month from ``first`` to ``last``, also those without a sale."""
-    spark = star.fact_order_items.sparkSession
-    spine = month_spine(spark, first, last)
-    month_low, month_high = first[0] * 10_000 + first[1] * 100 + 1, last[0] * 10_000 + last[1] * 100 + 31
-    daily = daily_totals(star, month_low - 10_000, month_high)
+def month_figures(star, first: Month | None, last: Month | None) -> DataFrame:
+    """Every month from ``first`` to ``last``, or of the calendar, also those without a sale."""
+    spine = month_spine(star.dim_date, first, last)
+    months = months_of(first, last) if first and last else None
+    daily = daily_totals(star, months)
 
     def over(window: str, column: str):
         return F.sum(F.when(F.col("tramo") == window, F.col(column)))
@@ -157,8 +193,8 @@ def month_figures(star, first: tuple[int, int], last: tuple[int, int]) -> DataFr
         )
     )
     return (
-        figures.join(top_categories(star, month_low, month_high), "periodo", "left")
-        .join(top_sellers(star, month_low, month_high), "periodo", "left")
+        figures.join(top_categories(star, months), "periodo", "left")
+        .join(top_sellers(star, months), "periodo", "left")
         .withColumns(
             {
                 "ticket": F.coalesce(exact_mean(F.col("ingresos"), F.col("_items")), F.lit(0)),
@@ -199,33 +235,38 @@ def _snapshot_columns(figures: DataFrame) -> DataFrame:
     )
 
 
-def report_rows(star, first: tuple[int, int], last: tuple[int, int]) -> DataFrame:
-    """The report columns for every month of a range."""
+def report_rows(star, first: Month | None = None, last: Month | None = None) -> DataFrame:
+    """The report columns for every month of a range, by default the calendar's."""
     return _report_columns(month_figures(star, first, last))
 
 
 def monthly_report(star, year: int, month: int) -> DataFrame:
-    """The report for one month; the filter on the date key prunes the fact."""
+    """The report for one month. Of a stored fact it opens the partitions of three months."""
     validate_period(year, month)
     return report_rows(star, (year, month), (year, month))
 
 
-def monthly_snapshots(star, first: tuple[int, int], last: tuple[int, int]) -> DataFrame:
-    """Snapshot rows for every month of a range."""
+def monthly_snapshots(star, first: Month | None = None, last: Month | None = None) -> DataFrame:
+    """Snapshot rows for every month of a range, by default the calendar's."""
     return _snapshot_columns(month_figures(star, first, last))
 
 
 def generate_monthly_report(star, folder: str, year: int, month: int) -> DataFrame:
-    """K1: store the month's snapshot and return its report, from one computation."""
+    """K1: store the month's snapshot and return its report, from one computation: a single row."""
     validate_period(year, month)
-    figures = stored(month_figures(star, (year, month), (year, month)))
+    figures = month_figures(star, (year, month), (year, month))
+    figures = figures.sparkSession.createDataFrame(figures.collect(), figures.schema)
     upsert_snapshots(_snapshot_columns(figures), folder)
     return _report_columns(figures)
 
 
 def refresh_snapshots(star, folder: str, first: tuple[int, int], last: tuple[int, int]) -> int:
     """Recompute the months of a range, replace their stored rows, and return how many of
-    them had revenue."""
+    them had revenue.
+
+    All months are one job. If it fails, no stored month has changed; the range can be run again, whole or in
+    parts, since each run replaces just the periods it computed.
+    """
     validate_period(*first)
     validate_period(*last)
     upsert_snapshots(monthly_snapshots(star, first, last), folder)

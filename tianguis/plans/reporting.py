@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tianguis.functions.dates import elapsed_days_truncated
 from tianguis.functions.numbers import exact_mean, growth, percent
-from tianguis.operators.ordering import Sized, sized, with_rank
+from tianguis.operators.ordering import with_ranks
 
 NO_CATEGORY = "Sin categoría"
 
@@ -48,7 +48,7 @@ def monthly_revenue(star) -> DataFrame:
     )
 
 
-def category_pareto(star, single_task_rows: int | None = None) -> DataFrame:
+def category_pareto(star) -> DataFrame:
     """L2: categories by revenue with their running share (ties share one value)."""
     per_product = star.fact_order_items.groupBy("product_sk").agg(
         F.sum("total_value").alias("revenue"), F.count(F.lit(1)).alias("total_items")
@@ -61,8 +61,7 @@ def category_pareto(star, single_task_rows: int | None = None) -> DataFrame:
             F.coalesce("product_category_name_english", F.lit(NO_CATEGORY)).alias("categoria"), "revenue", "total_items"
         )
     )
-    frame = sized(per_category, at_most=star.dim_products, limit=single_task_rows)
-    ranked = with_rank(frame, "revenue", "ranking", upto="_upto", total="_total").df.withColumns(
+    ranked = with_ranks(per_category, {"revenue": "ranking"}, upto="_upto", total="_total").withColumns(
         {c: F.col(c).cast("decimal(24,2)") for c in ("_upto", "_total")}
     )
     return ranked.select(
@@ -78,16 +77,34 @@ def category_pareto(star, single_task_rows: int | None = None) -> DataFrame:
 
 
 def seller_totals(star) -> DataFrame:
-    """Per seller key: revenue, items, distinct orders and distinct products."""
-    return star.fact_order_items.groupBy("seller_sk").agg(
-        F.sum("total_value").alias("revenue_total"),
+    """Per seller key: revenue, items, distinct orders, distinct products and first and last sale.
+
+    Two distinct counts in one aggregate would expand every fact row threefold. Instead the fact is reduced to
+    (seller, order), then to sellers with the count of orders; products are counted from their own distinct pairs.
+    """
+    per_order = star.fact_order_items.groupBy("seller_sk", "order_id").agg(
+        F.sum("total_value").alias("revenue"),
         F.count("total_value").alias("_n"),
-        F.count_distinct("order_id").alias("total_ordenes"),
-        F.count_distinct("product_sk").alias("productos_distintos"),
+        F.min("date_sk").alias("_first"),
+        F.max("date_sk").alias("_last"),
+    )
+    sales = per_order.groupBy("seller_sk").agg(
+        F.sum("revenue").cast("decimal(20,2)").alias("revenue_total"),
+        F.sum("_n").alias("_n"),
+        F.count("order_id").alias("total_ordenes"),
+        F.min("_first").alias("_first"),
+        F.max("_last").alias("_last"),
     )
+    products = (
+        star.fact_order_items.select("seller_sk", "product_sk")
+        .distinct()
+        .groupBy("seller_sk")
+        .agg(F.count("product_sk").alias("productos_distintos"))
+    )
+    return sales.join(products, "seller_sk")
 
 
-def seller_ranking(star, single_task_rows: int | None = None) -> DataFrame:
+def seller_ranking(star) -> DataFrame:
     """L3: sellers with independent ranks by revenue, orders and rounded ticket."""
     metrics = (
         seller_totals(star)
@@ -102,11 +119,11 @@ def seller_ranking(star, single_task_rows: int | None = None) -> DataFrame:
             "productos_distintos",
         )
     )
-    ranked: Sized = sized(metrics, at_most=star.dim_sellers, limit=single_task_rows)
-    ranked = with_rank(ranked, "revenue_total", "ranking_revenue")
-    ranked = with_rank(ranked, "total_ordenes", "ranking_ordenes")
-    ranked = with_rank(ranked, "ticket_promedio", "ranking_ticket")
-    return ranked.df.withColumn("revenue_total", F.round("revenue_total", 2))
+    ranked = with_ranks(
+        metrics,
+        {"revenue_total": "ranking_revenue", "total_ordenes": "ranking_ordenes", "ticket_promedio": "ranking_ticket"},
+    )
+    return ranked.withColumn("revenue_total", F.round("revenue_total", 2))
 
 
 def delivery_by_state(star) -> DataFrame:
@@ -148,10 +165,10 @@ def delivery_by_state(star) -> DataFrame:
     )
 
 
-def review_summary(star) -> DataFrame:
+def review_summary(reviews: DataFrame) -> DataFrame:
     """Per order: how many scored reviews and what they add up to."""
     score = F.col("review_score")
-    return star.fact_reviews.where(score.isNotNull()).groupBy("order_id").agg(
+    return reviews.where(score.isNotNull()).groupBy("order_id").agg(
         F.count(F.lit(1)).alias("reviews"),
         F.sum(score.cast("int")).alias("score_sum"),
         F.sum(F.when(score >= 4, 1).otherwise(0)).alias("positive"),
@@ -159,7 +176,7 @@ def review_summary(star) -> DataFrame:
     )
 
 
-def category_satisfaction(star, min_rows: int = 50, single_task_rows: int | None = None) -> DataFrame:
+def category_satisfaction(star, min_rows: int = 50) -> DataFrame:
     """Every (item, review) pair of an order counts once, per category.
 
     The pairs are never produced: reviews are summed per order first, and an item adds its
@@ -167,7 +184,7 @@ def category_satisfaction(star, min_rows: int = 50, single_task_rows: int | None
     """
     per_product = (
         star.fact_order_items.select("order_id", "product_sk", "total_value")
-        .join(review_summary(star), "order_id")
+        .join(review_summary(star.fact_reviews), "order_id")
         .groupBy("product_sk")
         .agg(
             F.sum("reviews").alias("_pairs"),
@@ -185,8 +202,7 @@ def category_satisfaction(star, min_rows: int = 50, single_task_rows: int | None
         .where(F.col("_pairs") >= min_rows)
         .withColumn("_mean", exact_mean(F.col("_score"), F.col("_pairs")))
     )
-    frame = sized(per_category, at_most=star.dim_products, limit=single_task_rows)
-    return with_rank(frame, "_mean", "ranking_satisfaccion").df.select(
+    return with_ranks(per_category, {"_mean": "ranking_satisfaccion"}).select(
         "categoria",
         F.round("_mean", 2).alias("score_promedio"),
         F.col("_pairs").alias("total_reviews"),

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from tianguis.functions.display import money_text
 from tianguis.functions.numbers import exact_mean, percent
-from tianguis.operators.ordering import running, sized, tile_of
+from tianguis.operators.ordering import running, tile_of
+from tianguis.plans.reporting import seller_totals
 from tianguis.sources.warehouse import read_segments, rewrite_segments
 
 # Segment letters and their descriptions.
@@ -23,34 +24,26 @@ class NoActiveSellers(LookupError):
     """K4: there is no sale to segment by."""
 
 
-def segment_sellers(star, single_task_rows: int | None = None) -> DataFrame:
+def segment_sellers(star) -> DataFrame:
     """Sellers with their metrics and quartile letter.
 
     ``segment_sk`` is the position by revenue, the order in which rows used to be inserted.
     Sales are summed per seller before the seller's attributes and dates are looked up.
     """
-    totals = star.fact_order_items.groupBy("seller_sk").agg(
-        F.sum("total_value").alias("ingresos_total"),
-        F.count("total_value").alias("_n"),
-        F.count_distinct("order_id").cast("int").alias("total_ordenes"),
-        F.count_distinct("product_sk").cast("int").alias("productos_distintos"),
-        F.min("date_sk").alias("_first"),
-        F.max("date_sk").alias("_last"),
-    )
+    totals = seller_totals(star)
     metrics = totals.join(star.dim_sellers, "seller_sk").select(
         "seller_sk",
         "seller_id",
         F.col("seller_city").alias("ciudad"),
         F.col("seller_state").alias("estado"),
-        "ingresos_total",
-        "total_ordenes",
-        "productos_distintos",
-        F.round(exact_mean(F.col("ingresos_total"), F.col("_n")), 2).alias("ticket_promedio"),
+        F.col("revenue_total").alias("ingresos_total"),
+        F.col("total_ordenes").cast("int").alias("total_ordenes"),
+        F.col("productos_distintos").cast("int").alias("productos_distintos"),
+        F.round(exact_mean(F.col("revenue_total"), F.col("_n")), 2).alias("ticket_promedio"),
         F.to_date(F.col("_first").cast("string"), "yyyyMMdd").alias("primera_venta"),
         F.to_date(F.col("_last").cast("string"), "yyyyMMdd").alias("ultima_venta"),
     )
-    frame = sized(metrics, at_most=star.dim_sellers, limit=single_task_rows)
-    placed = running(frame, [("ingresos_total", True), ("seller_id", False)], position="segment_sk", count="_sellers")
+    placed = running(metrics, [("ingresos_total", True), ("seller_id", False)], position="segment_sk", count="_sellers")
     tile = tile_of(F.col("segment_sk"), F.col("_sellers"), len(SEGMENTS))
     letter = F.element_at(F.array(*[F.lit(s) for s in SEGMENTS]), tile)
     return placed.withColumn("segmento", letter).select("segment_sk", *metrics.columns, "segmento")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tianguis.functions.dates import date_key, sunday_zero
 from tianguis.functions.numbers import MONEY
 from tianguis.functions.text import blank_to_null, clean_city, clean_state
-from tianguis.operators.keys import first_by_key, lookup, with_arrival_key, with_surrogate_key
+from tianguis.operators.keys import first_by_key, keyed_first, lookup, with_arrival_key, with_surrogate_key
 from tianguis.schemas import FACT_KEYS, STAR_COLUMNS, conform
 from tianguis.sources.warehouse import Star, read_star, write_dimension, write_fact
 
@@ -48,18 +48,18 @@ def dim_date(staging: Mapping[str, DataFrame]) -> DataFrame:
 
 def dim_customers(staging: Mapping[str, DataFrame]) -> DataFrame:
     """L12."""
-    kept = first_by_key(staging["customers"], "customer_id").withColumns(
+    kept = keyed_first(staging["customers"], "customer_id", "customer_sk").withColumns(
         {"customer_city": clean_city("customer_city"), "customer_state": clean_state("customer_state")}
     )
-    return conform(with_surrogate_key(kept, "customer_id", "customer_sk"), STAR_COLUMNS["dim_customers"])
+    return conform(kept, STAR_COLUMNS["dim_customers"])
 
 
 def dim_sellers(staging: Mapping[str, DataFrame]) -> DataFrame:
     """L12."""
-    kept = first_by_key(staging["sellers"], "seller_id").withColumns(
+    kept = keyed_first(staging["sellers"], "seller_id", "seller_sk").withColumns(
         {"seller_city": clean_city("seller_city"), "seller_state": clean_state("seller_state")}
     )
-    return conform(with_surrogate_key(kept, "seller_id", "seller_sk"), STAR_COLUMNS["dim_sellers"])
+    return conform(kept, STAR_COLUMNS["dim_sellers"])
 
 
 def dim_products(staging: Mapping[str, DataFrame]) -> DataFrame:
@@ -85,10 +85,10 @@ def dim_products(staging: Mapping[str, DataFrame]) -> DataFrame:
 
 def dim_orders(staging: Mapping[str, DataFrame]) -> DataFrame:
     """L14."""
-    kept = first_by_key(staging["orders"].drop("customer_id"), "order_id").withColumns(
+    kept = keyed_first(staging["orders"].drop("customer_id"), "order_id", "order_sk").withColumns(
         {c: blank_to_null(c).cast("timestamp_ntz") for c in ORDER_TIMESTAMPS}
     )
-    return conform(with_surrogate_key(kept, "order_id", "order_sk"), STAR_COLUMNS["dim_orders"])
+    return conform(kept, STAR_COLUMNS["dim_orders"])
 
 
 def fact_order_items(staging: Mapping[str, DataFrame], dims: Mapping[str, DataFrame]) -> DataFrame:

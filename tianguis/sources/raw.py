@@ -16,25 +16,30 @@ def read_raw(
     folder: str,
     tables: list[str] | None = None,
     files: Mapping[str, str] | None = None,
-    single_line: Collection[str] = (),
+    multi_line: Collection[str] = ("order_reviews",),
 ) -> dict[str, DataFrame]:
     """A1: one all-text frame per CSV file under ``folder`` (local, ``s3a://``, ``hdfs://`` ...).
 
-    ``files`` maps a table to its file or folder name; the default is ``<table>.csv``. Fields
-    may hold line breaks and doubled quotes (T8). A file that may hold line breaks is read by
-    one task, so a large table should arrive as many files in one folder, or be named in
-    ``single_line`` when its fields are known to hold none; then its files are split.
+    ``files`` maps a table to its file or folder name; the default is ``<table>.csv``. Fields may hold doubled
+    quotes, and those of the tables in ``multi_line`` line breaks too (T8): such a file is read by one task, so a
+    large one should arrive as many files in one folder. All other files are split.
+
+    Reading is strict: a row with a field too many or too few, and a file whose header is not the table's
+    columns in their order, raise. That also holds when one column or none is asked for, since rows are parsed
+    whole.
     """
     files = files or {}
     return {
-        table: spark.read.csv(
+        table: spark.read.option("columnPruning", False).csv(
             f"{folder}/{files.get(table, table + '.csv')}",
             schema=text_schema(table),
             header=True,
             encoding="UTF-8",
-            multiLine=table not in single_line,
+            multiLine=table in multi_line,
             quote='"',
             escape='"',
+            mode="FAILFAST",
+            enforceSchema=False,
         )
         for table in (tables or RAW_COLUMNS)
     }

@@ -39,8 +39,8 @@ def write_dimension(name: str, df: DataFrame, folder: str) -> None:
 def write_fact(name: str, df: DataFrame, folder: str) -> None:
     """A4: rebuild one fact from rows without a key.
 
-    The item fact is laid out by purchase month and sorted by day, so a one-month report reads
-    one partition. The rebalance hint lets adaptive execution split a month that holds most of
+    The item fact is laid out by purchase month and sorted by day, so a one-month report opens the partitions of
+    the month and of the two it is compared with. The rebalance hint lets adaptive execution split a month that holds most of
     the rows and merge the small ones.
     """
     by_month = name == "fact_order_items"
@@ -108,6 +108,10 @@ def publish_tables(spark: SparkSession, database: str, folder: str, names: list[
 
 
 def register_views(views: Mapping[str, DataFrame]) -> None:
-    """Make frames queryable by name from SQL."""
+    """Make frames queryable by name from SQL.
+
+    A view keeps the files its frame was planned over. After a table has been rebuilt in place its views must be
+    registered again: ``plans.publish.rebuild`` does both.
+    """
     for name, df in views.items():
         df.createOrReplaceTempView(name)
