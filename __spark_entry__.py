@@ -49,6 +49,10 @@ def _built_star(s: StandIn):
     return star_plans.plan_star(s.staging)
 
 
+def _soiled_star(s: StandIn):
+    return star_plans.plan_star(s.soiled)
+
+
 def _fact_by_natural_keys(s: StandIn) -> DataFrame:
     """The item fact with its surrogate keys translated back, which also proves the keys."""
     star = _built_star(s)
@@ -166,6 +170,18 @@ PLANS: dict[str, Callable[[StandIn], DataFrame]] = {
     "fact_payments": lambda s: _with_matched_order(_built_star(s), "fact_payments", "payment_sk"),
     "fact_reviews": lambda s: _with_matched_order(_built_star(s), "fact_reviews", "review_sk"),
     "surrogate_keys": _surrogate_keys,
+    # Reports over the star that is built from text staging, clean and soiled.
+    "built_monthly_revenue": lambda s: reporting.monthly_revenue(_built_star(s)),
+    "built_category_pareto": lambda s: reporting.category_pareto(_built_star(s)),
+    "built_seller_ranking": lambda s: reporting.seller_ranking(_built_star(s)),
+    "built_delivery_by_state": lambda s: reporting.delivery_by_state(_built_star(s)),
+    "built_category_satisfaction": lambda s: reporting.category_satisfaction(_built_star(s)),
+    "built_segment_summary": lambda s: segments.segment_summary(segments.segment_sellers(_built_star(s))),
+    "soiled_monthly_revenue": lambda s: reporting.monthly_revenue(_soiled_star(s)),
+    "soiled_dq_info": lambda s: quality.star_info(_soiled_star(s)),
+    "soiled_dq_checks": lambda s: quality.star_checks(_soiled_star(s)),
+    "soiled_fk_coverage": lambda s: quality.fk_coverage(_soiled_star(s)),
+    "soiled_fact_amounts": lambda s: quality.fact_amounts(_soiled_star(s)),
     # Quality.
     "staging_counts": lambda s: quality.staging_counts(s.staging),
     "file_manifest": lambda s: manifest(quality.staging_counts(s.staging)),

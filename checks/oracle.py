@@ -97,6 +97,24 @@ CTES: dict[str, tuple[list[str], str]] = {
         ["ord", "item"],
         "SELECT i.*, o.customer_id, o.day FROM item i JOIN ord o ON i.order_id = o.order_id",
     ),
+    # The same tables with the faults of ``StandIn.soiled``.
+    "sfact": (
+        ["ord", "item"],
+        """SELECT i.order_id, i.order_item_id, i.product_id, i.seller_id, i.shipping_limit_date,
+            CASE WHEN i.order_id % 80 = 9 THEN -price_c ELSE price_c END AS price_c, freight_c,
+            CASE WHEN i.order_id % 80 = 9 THEN -price_c ELSE price_c END + freight_c AS total_c, o.customer_id, o.day
+            FROM item i JOIN (SELECT * FROM ord UNION ALL SELECT * FROM ord WHERE order_id % 100 = 1) o
+            ON i.order_id = o.order_id WHERE o.order_id % 150 <> 2 AND i.order_id % 200 <> 7""",
+    ),
+    "spay": (
+        ["pay"],
+        "SELECT order_id FROM pay UNION ALL SELECT -order_id FROM pay WHERE order_id % 40 = 3",
+    ),
+    "srev": (
+        ["rev"],
+        """SELECT order_id, score FROM rev
+            UNION ALL SELECT -order_id, 7 FROM rev WHERE order_id % 60 = 5 AND review_id = order_id || '-1'""",
+    ),
     "calendar": (
         ["ord"],
         """SELECT CAST(unnest(generate_series(min(day), max(day), INTERVAL 1 DAY)) AS DATE) AS full_date FROM ord""",
@@ -288,10 +306,7 @@ def _views() -> dict[str, str]:
     return {
         "monthly_revenue": on_views("SELECT * FROM v_month"),
         "category_pareto": on_views("SELECT * FROM v_pareto"),
-        "category_pareto_by_range": on_views("SELECT * FROM v_pareto"),
-        "category_satisfaction_by_range": on_views("SELECT * FROM v_score"),
         "seller_ranking": on_views("SELECT * FROM v_seller"),
-        "seller_ranking_by_range": on_views("SELECT * FROM v_seller"),
         "delivery_by_state": on_views("SELECT * FROM v_state"),
         "category_satisfaction": on_views("SELECT * FROM v_score"),
         "category_satisfaction_binding": query(base, satisfaction(2200), pairs=pairs),
@@ -354,7 +369,6 @@ def _segments(base: list[str], sellers: str) -> dict[str, str]:
         FROM tiled"""
     return {
         "seller_segments": on(segments),
-        "seller_segments_by_range": on(segments),
         "segment_summary": on(
             f"""SELECT segmento, CASE segmento WHEN 'A' THEN 'Alto rendimiento' WHEN 'B' THEN 'Medio-alto'
             WHEN 'C' THEN 'Medio-bajo' WHEN 'D' THEN 'Bajo rendimiento' END AS descripcion, n AS total_vendedores,
@@ -597,6 +611,12 @@ def _star() -> dict[str, str]:
         ]
         + [f"SELECT 'not null {n}', count(*) FROM {t} WHERE {k} IS NULL" for n, t, k in required]
     )
+    coverage = """SELECT tabla, filas, sin_order_sk, pct_resuelto, CASE WHEN pct_resuelto >= 99 THEN 'PASS' ELSE 'FAIL' END AS estado
+        FROM (SELECT *, CAST(filas - sin_order_sk AS DOUBLE) / filas * 100 AS pct_resuelto FROM (
+            SELECT 'fact_payments' AS tabla, count(*) AS filas,
+                count(*) FILTER (order_id NOT IN (SELECT order_id FROM ord)) AS sin_order_sk FROM {0}
+            UNION ALL SELECT 'fact_reviews', count(*),
+                count(*) FILTER (order_id NOT IN (SELECT order_id FROM ord)) FROM {1}))"""
     every = ["fact", "cust", "sell", "prod", "rev", "pay", "calendar"]
     one = "CAST({0} AS DOUBLE) AS {1}".format
     return {
@@ -702,13 +722,8 @@ def _star() -> dict[str, str]:
                 zero(f"SELECT '{label}' AS test, count(*) AS resultado FROM fact WHERE {p}" for label, p in negative.items())
             ),
         ),
-        "fk_coverage": query(
-            ["pay", "rev"],
-            """SELECT *, CASE WHEN pct_resuelto >= 99 THEN 'PASS' ELSE 'FAIL' END AS estado FROM (
-            SELECT 'fact_payments' AS tabla, count(*) AS filas, CAST(0 AS BIGINT) AS sin_order_sk,
-              100::DOUBLE AS pct_resuelto FROM pay
-            UNION ALL SELECT 'fact_reviews', count(*), 0, 100::DOUBLE FROM rev)""",
-        ),
+        "fk_coverage": query(["pay", "rev", "ord"], coverage.format("pay", "rev")),
+        # No key in the source leads to another order, so what is counted is that none was resolved wrongly.
         "sk_integrity": query(
             ["pay", "ord"],
             checks.format(
@@ -716,6 +731,31 @@ def _star() -> dict[str, str]:
                 "FROM pay p JOIN ord o ON p.order_id = o.order_id"
             ),
         ),
+        "soiled_dq_info": query(
+            [*every, "ord", "sfact"],
+            """SELECT 'INFO' AS tipo, '01 | fact_order_items' AS tabla, count(*) AS filas FROM sfact
+            UNION ALL SELECT 'INFO', '02 | dim_customers', count(*) FROM cust
+            UNION ALL SELECT 'INFO', '03 | dim_products', count(*) FROM prod
+            UNION ALL SELECT 'INFO', '04 | dim_sellers', count(*) FROM sell
+            UNION ALL SELECT 'INFO', '05 | dim_orders', count(*) FROM ord
+            UNION ALL SELECT 'INFO', '06 | dim_date', datediff('day', min(day), max(day)) + 1 FROM ord WHERE order_id % 150 <> 2""",
+        ),
+        "soiled_dq_checks": query(
+            [*every, "sfact", "srev"],
+            checks.format(
+                zero(
+                    f"SELECT '{label}' AS test, ({sql.replace('FROM fact', 'FROM sfact').replace('FROM rev', 'FROM srev')}) AS resultado"
+                    for label, sql in star_checks
+                )
+            ),
+        ),
+        "soiled_fk_coverage": query(["spay", "srev", "ord"], coverage.format("spay", "srev")),
+        "soiled_fact_amounts": query(
+            ["sfact"],
+            checks.format(
+                zero(f"SELECT '{label}' AS test, count(*) AS resultado FROM sfact WHERE {p}" for label, p in negative.items())
+            ),
+        ),
         "calendar_gaps": query(
             ["calendar"],
             checks.format(
@@ -952,7 +992,6 @@ def _catalog() -> dict[str, str]:
     on_items = ["item", "sell"]
     return {
         "eda_category_stats": query(["item", "prod"], cat_stats, cats=cats),
-        "eda_category_stats_by_range": query(["item", "prod"], cat_stats, cats=cats),
         "categories_for_80": query(
             ["item", "prod"], "SELECT count(*) FILTER (revenue_acum <= 80) AS n_categorias FROM s", cats=cats, s=cat_stats
         ),
@@ -962,12 +1001,10 @@ def _catalog() -> dict[str, str]:
         "category_satisfaction_eda": query(["rev", "item", "prod"], scores.format(100)),
         "category_best_worst": query(["rev", "item", "prod"], best, s=scores.format(100)),
         "eda_seller_stats": query(on_items, seller_stats, sellers=sellers),
-        "eda_seller_stats_by_range": query(on_items, seller_stats, sellers=sellers),
         "seller_revenue_log_histogram": query(
             on_items, log_hist, sellers=sellers, h=f"SELECT log10({money('r')} + 1) AS v FROM sellers"
         ),
         "lorenz_curve": query(on_items, lorenz, sellers=sellers),
-        "lorenz_curve_by_range": query(on_items, lorenz, sellers=sellers),
         "seller_concentration": query(on_items, concentration, sellers=sellers),
         "seller_state_top10": query(
             on_items,
@@ -1067,5 +1104,16 @@ def _service() -> dict[str, str]:
     }
 
 
+def _built(plain: dict[str, str]) -> dict[str, str]:
+    """The reports over the star built from text, where ids are text, and over the soiled one."""
+    names = "monthly_revenue category_pareto seller_ranking delivery_by_state category_satisfaction segment_summary".split()
+    built = {f"built_{name}": plain[name] for name in names}
+    ranking = built["built_seller_ranking"]
+    built["built_seller_ranking"] = f"SELECT * REPLACE (CAST(seller_id AS VARCHAR) AS seller_id) FROM ({ranking})"
+    soiled = plain["monthly_revenue"].replace(f"fact AS ({CTES['fact'][1]})", f"fact AS ({CTES['sfact'][1]})")
+    return built | {"soiled_monthly_revenue": soiled}
+
+
 def statements() -> dict[str, str]:
-    return {**_views(), **_monthly(), **_star(), **_orders(), **_catalog(), **_service()}
+    plain = {**_views(), **_monthly(), **_star(), **_orders(), **_catalog(), **_service()}
+    return plain | _built(plain)

@@ -221,6 +221,32 @@ class StandIn:
         )
         return text
 
+    @cached_property
+    def soiled(self) -> dict[str, DataFrame]:
+        """``staging`` with the faults raw files have, by fixed rules on keys, so that checks have something to find:
+        repeated customers and orders, payments and reviews of unknown orders, scores out of range, unknown products,
+        missing purchase timestamps and negative prices."""
+        out = dict(self.staging)
+        key = F.col("order_id").cast("bigint")
+        customers, orders = out["customers"], out["orders"]
+        again = customers.where(F.col("customer_id").cast("bigint") % 50 == 0)
+        out["customers"] = customers.unionByName(again.withColumn("customer_unique_id", F.lit("zzz")))
+        bought = F.when(key % 150 == 2, F.lit("")).otherwise(F.col("order_purchase_timestamp"))
+        orders = orders.withColumn("order_purchase_timestamp", bought)
+        out["orders"] = orders.unionByName(orders.where(key % 100 == 1).withColumn("order_status", F.lit("unavailable")))
+        payments, reviews, items = out["order_payments"], out["order_reviews"], out["order_items"]
+        unknown = F.concat(F.lit("-"), F.col("order_id"))
+        out["order_payments"] = payments.unionByName(payments.where(key % 40 == 3).withColumn("order_id", unknown))
+        lost = reviews.where((key % 60 == 5) & F.col("review_id").endswith("-1"))
+        out["order_reviews"] = reviews.unionByName(lost.withColumns({"order_id": unknown, "review_score": F.lit("7")}))
+        out["order_items"] = items.withColumns(
+            {
+                "product_id": F.when(key % 200 == 7, F.lit("unknown")).otherwise(F.col("product_id")),
+                "price": F.when(key % 80 == 9, F.concat(F.lit("-"), F.col("price"))).otherwise(F.col("price")),
+            }
+        )
+        return out
+
     @cached_property
     def star(self) -> StandInStar:
         return StandInStar(self)
