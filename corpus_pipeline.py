@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tianguis.llm import language, mixing, packing, simhash, suffix_array
-from tianguis.llm.common import small_batches, stored
+from tianguis.llm.common import discard, small_batches, stored
 
 #: Part of a text's letters that its language must have; documents below it, and texts without letters, go.
 LEAST_SHARE = 0.5
@@ -81,7 +81,10 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages applied to documents."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, given = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for _, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir))
+        if given is not None:
+            discard(given)
+        given = docs
     return STAGES[-1][1](spark, docs, sf_dir)

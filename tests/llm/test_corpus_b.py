@@ -59,7 +59,7 @@ URLS = [
     None, "", "no scheme", "http://", "http://a.org", "http://a.org/", "https://X.Example.ORG/es/1?x#y", "https://example.org/en/12",
     "https://example.org/en/2", "https://badexample.org/es/", "ftp://b.com/fr/x", "http://b.com/de/", "http://com/de/://x", "a://b://c/d",
     "http://Österreich.com/de/ä\nb", "http://h?q/x", "http://h#f", "http://cheappills.net/buy", "http://freebets.net/", "http://www.spam-farm.net/en/3",
-    "http://gardenclub.net/roses", "http://" + "a" * 5000 + ".net/" + "b/" * 5000, "http://u:p@x.org:80/a",
+    "http://gardenclub.net/roses", "http://" + "a" * 5000 + ".net/" + "b/" * 5000, "x" * 200000, "y" * 100000 + "://z.org/" + "q" * 100000, "http://u:p@x.org:80/a",
 ]
 
 

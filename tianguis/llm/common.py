@@ -33,7 +33,16 @@ def stored(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{use_checkpoint_folder(spark).rstrip('/')}/stored-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Delete what ``stored`` wrote for a frame that nothing reads any more."""
+    context = df.sparkSession.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(df.stored_at)
+    path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def steps(lengths: np.ndarray | list[int], most: int = STEP_CHARS) -> Iterator[tuple[int, int]]:

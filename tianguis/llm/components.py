@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tianguis.llm.common import stored
+from tianguis.llm.common import discard, stored
 
 LINK = "a bigint, b bigint"
 #: Links that a task unites at a time; what it keeps from one portion to the next are spanning links.
@@ -70,7 +70,8 @@ def connected_components(links: DataFrame) -> DataFrame:
         large = large.where("a <> b").groupBy("a", "b").agg(F.lit(1)).select("a", "b")
         low = large.groupBy("a").agg(F.min("b").alias("low"))
         small = large.join(low, "a").select(F.explode(F.array(F.struct("a", "low"), F.struct(F.col("b").alias("a"), "low"))).alias("x"))
-        links = stored(small.selectExpr("x.a as a", "x.low as b").where("a <> b").distinct())
+        before, links = links, stored(small.selectExpr("x.a as a", "x.low as b").where("a <> b").distinct())
+        discard(before)
         new = links.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if new == state:
             break

@@ -56,13 +56,18 @@ PRIOR_BLOCK = 0.2
 TOKEN = re.compile(r"[^\W_]+")
 
 
+def _after_scheme(url: Column) -> Column:
+    """What follows the first ``://``, or nothing."""
+    at = F.instr(url, "://")
+    return F.when(at > 0, F.substring(url, at + 3, F.length(url))).otherwise("")
+
+
 def host_of(url: Column) -> Column:
-    found = F.regexp_extract(url, r"(?s)^(?:(?!://).)*://([^/?#]*)", 1)
-    return F.translate(F.coalesce(found, F.lit("")), UPPER, LOWER)
+    return F.translate(F.regexp_extract(_after_scheme(url), r"^([^/?#]*)", 1), UPPER, LOWER)
 
 
 def path_of(url: Column) -> Column:
-    return F.coalesce(F.regexp_extract(url, r"(?s)^(?:(?!://).)*://[^/?#]*([^?#]*)", 1), F.lit(""))
+    return F.regexp_extract(_after_scheme(url), r"^[^/?#]*([^?#]*)", 1)
 
 
 def matched(host: Column, path: Column, rules: list[tuple[str, str]]) -> tuple[Column, Column]:
