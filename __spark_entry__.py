@@ -195,6 +195,8 @@ PLANS: dict[str, Callable[[StandIn], DataFrame]] = {
     "calendar_gaps": lambda s: quality.calendar_gaps(s.star.dim_date),
     "dq_views": lambda s: quality.view_checks(reporting.reporting_views(s.star)),
     "dq_snapshots": lambda s: quality.snapshot_checks(_snapshots(s)),
+    "dq_segment_constraints": lambda s: quality.segment_constraints(segments.segment_sellers(s.star)),
+    "dq_snapshot_constraints": lambda s: quality.snapshot_constraints(_snapshots(s)),
     "dq_segments": lambda s: quality.segment_checks(segments.segment_sellers(s.star)),
     # Exploration: orders, months, values, states, payments.
     "dataset_profile": orders.dataset_profile,

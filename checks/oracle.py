@@ -396,6 +396,37 @@ def _segments(base: list[str], sellers: str) -> dict[str, str]:
         "segment_avg_revenue": on(
             f"SELECT segmento, {mean_money('sum(rev)', 'count(*)')} AS ingresos_promedio FROM tiled GROUP BY 1"
         ),
+        "dq_segment_constraints": on(
+            "SELECT test, resultado, CASE WHEN resultado = 0 THEN 'PASS' ELSE 'FAIL' END AS estado FROM ("
+            + " UNION ALL ".join(
+                [
+                    f"SELECT 'pk seller_segments.{c}' AS test, count(*) - count(DISTINCT {c}) AS resultado FROM tiled"
+                    for c in ("segment_sk", "seller_id")
+                ]
+                + [
+                    f"SELECT 'not null seller_segments.{c}', count(*) FILTER ({source} IS NULL) FROM tiled"
+                    for c, source in {
+                        "segment_sk": "segment_sk",
+                        "seller_sk": "seller_id",
+                        "seller_id": "seller_id",
+                        "ingresos_total": "rev",
+                        "total_ordenes": "n_orders",
+                        "productos_distintos": "n_products",
+                        "segmento": "segmento",
+                    }.items()
+                ]
+                + [
+                    f"SELECT 'largo seller_segments.{c}', count(*) FILTER (length(CAST({source} AS VARCHAR)) > {n}) FROM tiled"
+                    for c, source, n in (
+                        ("seller_id", "seller_id", 50),
+                        ("ciudad", "city", 100),
+                        ("estado", "state", 2),
+                        ("segmento", "segmento", 1),
+                    )
+                ]
+            )
+            + ")"
+        ),
         "dq_segments": on(
             """SELECT test, resultado, CASE WHEN resultado = 0 THEN 'PASS' ELSE 'FAIL' END AS estado FROM (
             SELECT 'segmento no válido' AS test, count(*) FILTER (segmento NOT IN ('A', 'B', 'C', 'D')) AS resultado
@@ -476,6 +507,17 @@ def _monthly() -> dict[str, str]:
         "snapshot_peak": query(
             base, "SELECT periodo, ingresos_totales FROM snap ORDER BY ingresos_totales DESC, periodo LIMIT 1", **everything
         ),
+        "dq_snapshot_constraints": query(
+            base,
+            "SELECT test, resultado, CASE WHEN resultado = 0 THEN 'PASS' ELSE 'FAIL' END AS estado FROM ("
+            "SELECT 'pk reporte_mensual_snapshot.periodo' AS test, count(*) - count(DISTINCT periodo) AS resultado FROM snap "
+            + "".join(
+                f"UNION ALL SELECT 'not null reporte_mensual_snapshot.{c}', count(*) FILTER ({c} IS NULL) FROM snap "
+                for c in ("periodo", "ingresos_totales", "total_ordenes", "ticket_promedio")
+            )
+            + "UNION ALL SELECT 'largo reporte_mensual_snapshot.periodo', count(*) FILTER (length(periodo) > 7) FROM snap)",
+            **everything,
+        ),
         "dq_snapshots": query(
             base,
             """SELECT test, resultado, CASE WHEN resultado = 0 THEN 'PASS' ELSE 'FAIL' END AS estado FROM (

@@ -242,6 +242,34 @@ def segment_checks(segments: DataFrame) -> DataFrame:
     )
 
 
+def segment_constraints(segments: DataFrame) -> DataFrame:
+    """Keys, NOT NULL columns and declared text lengths of the segment table."""
+    required = ["segment_sk", "seller_sk", "seller_id", "ingresos_total", "total_ordenes", "productos_distintos", "segmento"]
+    lengths = {"seller_id": 50, "ciudad": 100, "estado": 2, "segmento": 1}
+    return with_verdict(
+        stacked(
+            [
+                table_constraints("seller_segments", segments, ["segment_sk", "seller_id"], {}, required),
+                violations(segments, {f"largo seller_segments.{c}": F.length(c) > n for c, n in lengths.items()}),
+            ]
+        )
+    )
+
+
+def snapshot_constraints(snapshots: DataFrame) -> DataFrame:
+    """Key, NOT NULL columns and declared text length of the snapshot table."""
+    table = "reporte_mensual_snapshot"
+    required = ["periodo", "ingresos_totales", "total_ordenes", "ticket_promedio"]
+    return with_verdict(
+        stacked(
+            [
+                table_constraints(table, snapshots, ["periodo"], {}, required),
+                violations(snapshots, {f"largo {table}.periodo": F.length("periodo") > 7}),
+            ]
+        )
+    )
+
+
 def require(checks: DataFrame) -> None:
     """Stop when a check failed. Checks are a handful of rows."""
     failed = [row["test"] for row in checks.where(F.col("estado") != "PASS").select("test").collect()]
