@@ -27,7 +27,7 @@ ON_STAR = {
     "delivery_by_state": reporting.delivery_by_state,
     "category_satisfaction": reporting.category_satisfaction,
     "monthly_report_one": lambda star: monthly.monthly_report(star, 2001, 4),
-    "monthly_report_batch": lambda star: monthly.monthly_snapshots(star, (1995, 1), (2001, 12)),
+    "monthly_report_batch": lambda star: monthly.monthly_snapshots(star),
     "seller_segments": segments.segment_sellers,
     "segment_summary": lambda star: segments.segment_summary(segments.segment_sellers(star)),
     "dq_info": quality.star_info,

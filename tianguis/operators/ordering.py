@@ -18,6 +18,8 @@ from pyspark.sql import types as T
 
 #: Borders of the measure, and of the second column inside a value that many rows share.
 RANGES, TIE_RANGES = 200, 40
+#: Every so many borders, one is in the short list that is looked through first.
+STEP = 14
 #: Leading bytes of a text that decide its tie range.
 PREFIX_BYTES = 7
 
@@ -34,8 +36,19 @@ def _border_list(count: int) -> list[float]:
     return [i / count for i in range(1, count)]
 
 
-def _at_or_below(borders: Column, value: Column) -> Column:
-    return F.coalesce(F.size(F.filter(borders, lambda b: b <= value)), F.lit(0))
+def _every(borders: str) -> Column:
+    """Every STEP-th border, from the first."""
+    return F.transform(F.sequence(F.lit(1), F.greatest(F.size(borders), F.lit(1)), F.lit(STEP)), lambda i: F.get(borders, i - 1))
+
+
+def _at_or_below(borders: Column, few: Column, value: Column) -> Column:
+    """How many borders are at or below a value: first among the few, then among those that follow the last of these."""
+
+    def count(found: Column) -> Column:
+        return F.coalesce(F.size(F.filter(found, lambda b: b <= value)), F.lit(0))
+
+    skipped = F.greatest(count(few) - 1, F.lit(0)) * STEP
+    return skipped + count(F.slice(borders, skipped + 1, STEP))
 
 
 def _tie_number(df: DataFrame, name: str) -> Column | None:
@@ -61,18 +74,21 @@ def _with_range(df: DataFrame, order: list[tuple[str, bool]]) -> DataFrame:
     if tie is not None:
         found.append(F.percentile_approx(tie, _border_list(TIE_RANGES), 20 * TIE_RANGES).alias("tie"))
     names = ["at", "tie"][: len(found)]
-    borders = df.agg(*found, _read_whole(df)).where(F.col("_whole").isNotNull()).select(F.struct(*names)).scalar()
+    short = [_every(name).alias(f"{name}_few") for name in names]
+    borders = df.agg(*found, _read_whole(df)).where(F.col("_whole").isNotNull()).select(F.struct(*names, *short)).scalar()
     df = df.withColumn("_borders", borders)
 
     value = F.col(first)
-    own = F.coalesce(F.array_contains("_borders.at", value), F.lit(False))
-    place = F.when(value.isNull(), -1).otherwise(2 * _at_or_below(F.col("_borders.at"), value) - own.cast("int"))
+    df = df.withColumn("_below", _at_or_below(F.col("_borders.at"), F.col("_borders.at_few"), value))
+    own = F.coalesce(F.get("_borders.at", F.col("_below") - 1) == value, F.lit(False))
+    place = F.when(value.isNull(), -1).otherwise(2 * F.col("_below") - own.cast("int"))
     place = -place if descending else place
     inside = F.lit(0)
     if tie is not None:
-        inside = F.when(own | value.isNull(), _at_or_below(F.col("_borders.tie"), tie)).otherwise(0)
+        tied = _at_or_below(F.col("_borders.tie"), F.col("_borders.tie_few"), tie)
+        inside = F.when(own | value.isNull(), tied).otherwise(0)
         inside = F.when(F.lit(second[1]), TIE_RANGES - inside).otherwise(inside)
-    return df.withColumn("_range", place * (TIE_RANGES + 1) + inside).drop("_borders")
+    return df.withColumn("_range", place * (TIE_RANGES + 1) + inside).drop("_borders", "_below")
 
 
 def running(
