@@ -320,3 +320,15 @@ def test_top_k(spark, size, monkeypatch):
     assert found == brute_top(rows, 10, 10)
     few = topk.top_k(frame.where("vec_id < 4"), 10, 10)
     assert few.count() == 3 and topk.top_k(frame.limit(0)).count() == 0
+
+
+def test_vocabulary_and_labelled_urls_are_bounded(spark):
+    rows = [(f"site{i % 7}-{chr(97 + i % 26)}{chr(97 + i % 11)}x.net", "/" + "abcdefgh"[i % 8] * (2 + i % 5) + "/common") for i in range(400)]
+    urls = spark.createDataFrame(rows * 3, "host string, path string").repartition(4)
+    few = url_filter.learn_words(urls, vocabulary=3)
+    listed = {w for text in (*url_filter.WANTED, *url_filter.UNWANTED) for w in text.split("-")}
+    assert 1 <= len(set(few.logs) - listed) <= 3 and "common" in few.logs
+    everything = url_filter.learn_words(urls)
+    assert set(few.logs) <= set(everything.logs)
+    whole, part = url_filter.fit(urls, everything), url_filter.fit(urls, everything, labelled=10)
+    assert len(part.odds) < len(whole.odds) and part.prior == whole.prior

@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tianguis.llm.common import stored
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 ALLOW, BLOCK = "allow", "block"
 
@@ -140,6 +142,12 @@ def learn_words(urls: DataFrame, vocabulary: int = VOCABULARY) -> Words:
     apart = F.array_join(F.filter(F.split("host", r"\."), lambda part: F.rlike(part, F.lit(r"[^\p{L}]"))), "/")
     runs = F.explode(F.regexp_extract_all(F.lower(F.concat_ws("/", apart, "path")), F.lit(r"(\p{L}+)"), F.lit(1)))
     counts = urls.select(runs.alias("word")).where(F.length("word").between(2, WORD_LETTERS)).groupBy("word").agg(F.count("*").alias("n"))
+    counts = stored(counts)
+    words = counts.count()
+    if words > vocabulary:  # so that no task sends more than its part of the vocabulary
+        accuracy = min(1_000_000, 10_000 + 20 * words // vocabulary)
+        cut = counts.agg(F.percentile_approx("n", 1 - vocabulary / words, accuracy)).first()[0]
+        counts = counts.where(F.col("n") > cut)
     found = {r.word: float(r.n) for r in counts.orderBy(F.desc("n"), "word").limit(vocabulary).collect()}
     return word_model(found)
 
@@ -158,10 +166,13 @@ def fit(urls: DataFrame, model: Words, labelled: int = LABELLED) -> Bayes:
     """Naive Bayes from urls (host, path, verdict) that a rule or a listed word of the host labels.
 
     A host with an unwanted word is an example to block and any other one to allow; rules do not label, since they
-    hold for places and not for words. ``labelled`` urls are looked at, the first by hash of host and path, besides
-    the lists themselves, so the model and the work on the driver are bounded.
+    hold for places and not for words. ``labelled`` different urls are looked at, the first by hash of host and path,
+    besides the lists themselves, so the model and the work on the driver are bounded.
     """
-    rows = urls.select("host", "path").where("host <> ''").orderBy(F.xxhash64("host", "path"), "host", "path").limit(labelled).collect()
+    known = stored(urls.select("host", "path").where("host <> ''").distinct().withColumn("hash", F.xxhash64("host", "path")))
+    share = min(1.0, 1.2 * labelled / max(1, known.count()))  # of the range of hashes: holds a few more than needed
+    known = known.where(F.col("hash") <= int(-(2**63) + share * (2**64 - 2049)))
+    rows = known.orderBy("hash", "host", "path").limit(labelled).collect()
     bad = {w for listed in UNWANTED if "-" not in listed for w in [listed]}
     counts: dict[str, list[float]] = {}
     for listed, side in ((WANTED, 0), (UNWANTED, 1)):
