@@ -128,19 +128,22 @@ def placed(start, count, anchor):
     return (start << 15) | (count << 8) | anchor
 
 
+def _sent(held: list[np.ndarray]) -> pa.RecordBatch:
+    """RUNS rows. One whose name came before among them is a repeat whatever else there is: its place is complemented
+    and its key replaced, so that a text that all documents share does not fill one task."""
+    rows = np.concatenate(held, axis=1)
+    rows = rows[:, np.lexsort(rows[::-1])]
+    same = rows[:, 1:] == rows[:, :-1]
+    again = np.append(False, same[:2].all(axis=0) & ~same.all(axis=0))
+    rows[0, again] = (rows[2, again] * 1_000_003) ^ (rows[4, again] * 7_368_787)
+    rows[1, again] = rows[0, again]
+    rows[4, again] = ~rows[4, again]
+    return _batch(RUNS, *map(pa.array, rows))
+
+
 def _runs(length: int, gram: int):
     """(key, name, doc, twin, place) for each run of windows; place packs its first window, how many there are and
-    where its anchor is. A run that came before in the same batch is a repeat whatever else there is: its place
-    is complemented and its key replaced, so that a text that all documents share does not fill one task."""
-
-    def sent(held: list[np.ndarray]) -> pa.RecordBatch:
-        rows = np.concatenate(held, axis=1)
-        rows = rows[:, np.lexsort(rows[::-1])]
-        same = rows[:, 1:] == rows[:, :-1]
-        again = np.append(False, same[:2].all(axis=0) & ~same.all(axis=0))
-        rows[0, again] = (rows[2, again] * 1_000_003) ^ (rows[4, again] * 7_368_787)
-        rows[4, again] = ~rows[4, again]
-        return _batch(RUNS, *map(pa.array, rows))
+    where its anchor is."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -156,10 +159,10 @@ def _runs(length: int, gram: int):
                     held.append(np.stack([key, name, same * doc, same * twin, placed(part + lo, hi - lo + 1, at - lo)]))
                     size += len(lo)
                     if size > 1 << 17:
-                        yield sent(held)
+                        yield _sent(held)
                         held, size = [], 0
             if held:
-                yield sent(held)
+                yield _sent(held)
 
     return run
 
@@ -365,12 +368,15 @@ def _windows(length: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            held = []
             for doc, twin, start, data in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
                 parts = [data[i : i + length] for i in range(len(data) - length + 1)]
                 one = np.ones(len(parts), np.int64)
                 places = placed(start + np.arange(len(parts)), 1, 0)
                 key = _signed([xxhash.xxh64_intdigest(p) for p in parts])
-                yield _batch(RUNS, *map(pa.array, (key, _signed(list(map(_name, parts))), one * doc, one * twin, places)))
+                held.append(np.stack([key, _signed(list(map(_name, parts))), one * doc, one * twin, places]))
+            if held:
+                yield _sent(held)
 
     return run
 
