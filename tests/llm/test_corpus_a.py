@@ -120,6 +120,11 @@ def test_language_cases(spark):
     found = {r.doc_id: r for r in language.predict(frame, model, ["doc_id", "lang"]).collect()}
     assert [found[i].lang_pred for i in (0, 1, 2, 8)] == ["und"] * 4
     assert found[9].lang_pred == found[10].lang_pred == "en" and found[11].lang_pred == "de"
+    long = "the cat and the dog " * 40 + "der hund und die katze " * 40
+    for most in (7, 64, 10**6):
+        scores, length = language.text_scores(long, model, most)
+        whole, letters = language.word_scores(language.codes(long), model)
+        assert np.array_equal(scores, whole) and np.array_equal(length, letters)
     empty = language.fit(train.limit(0))
     assert {r.lang_pred for r in language.predict(frame, empty, ["doc_id"]).collect()} == {"und"}
     assert language.predict(frame.limit(0), model, ["doc_id"]).count() == 0

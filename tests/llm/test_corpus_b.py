@@ -171,6 +171,16 @@ def test_prefix_hashes():
         assert h.extension(i, h, j) == far
 
 
+def test_long_texts_are_hashed_in_parts(monkeypatch):
+    text = "".join(random.Random(6).choice("abc ") for _ in range(3000))
+    whole = fingerprint.Fingerprint(text)
+    monkeypatch.setattr(fingerprint, "PART", 64)
+    parts = fingerprint.Fingerprint(text)
+    assert parts.text == whole.text and np.array_equal(parts.windows, whole.windows)
+    edited, same = fingerprint.edited_text(text, text[500:])
+    assert parts.edited(fingerprint.codes(edited), same) == fingerprint.Fingerprint(edited).text
+
+
 def test_fingerprints_of_documents(spark):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{FOLDER}/documents.parquet").collect()]
     found = entry.op3_fingerprint(spark, FOLDER).collect()

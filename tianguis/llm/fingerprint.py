@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 WINDOW, KEPT = 24, 64
 #: Hex digits of a kept hash, from its high bits.
 DIGITS = 10
+#: Code points that are worked on at a time.
+PART = 1 << 19
 #: Documents of one range of ids, and ranges at most: with more documents, ranges are longer.
 RANGE_ROWS, RANGES = 500, 1 << 14
 
@@ -51,9 +53,13 @@ class PrefixHash:
         for which, p in enumerate(PRIMES):
             power, inverse = powers(which, len(code) + 1)
             start = like.sums[which][: same + 1] if like is not None else np.zeros(1, np.uint64)
-            first = len(start) - 1
-            terms = (code[first:].astype(np.uint64) + _U(1)) * power[first : len(code)] % _U(p)
-            self.sums.append(np.concatenate([start, (start[-1] + np.cumsum(terms, dtype=np.uint64)) % _U(p)]))
+            sums = np.empty(len(code) + 1, np.uint64)
+            sums[: len(start)] = start
+            for first in range(len(start) - 1, len(code), PART):
+                last = min(first + PART, len(code))
+                terms = (code[first:last].astype(np.uint64) + _U(1)) * power[first:last] % _U(p)
+                sums[first + 1 : last + 1] = (sums[first] + np.cumsum(terms, dtype=np.uint64)) % _U(p)
+            self.sums.append(sums)
             self.inverse.append(inverse)
 
     def spans(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
@@ -67,10 +73,13 @@ class PrefixHash:
         return int(self.spans(np.array([start]), np.array([end]))[0])
 
     def windows(self, width: int, first: int = 0) -> np.ndarray:
-        """Hashes of all windows from ``first`` on; a shorter text is one window."""
+        """Hashes of all windows from ``first`` on, spread over all 64 bits; a shorter text is one window."""
         last = max(self.length - width, 0)
-        start = np.arange(first, last + 1)
-        return self.spans(start, np.minimum(start + width, self.length))
+        out = np.empty(max(0, last + 1 - first), np.uint64)
+        for at in range(first, last + 1, PART):
+            start = np.arange(at, min(at + PART, last + 1))
+            out[at - first : at - first + len(start)] = mixed(self.spans(start, np.minimum(start + width, self.length)))
+        return out
 
     def extension(self, at: int, other: PrefixHash, other_at: int) -> int:
         """Length of the longest common extension from two places, by bisection."""
@@ -131,7 +140,7 @@ class Fingerprint:
     def __init__(self, text: str):
         self.code = codes(text)
         self.hash = PrefixHash(self.code)
-        self.windows = mixed(self.hash.windows(WINDOW)) if len(self.code) else np.zeros(0, np.uint64)
+        self.windows = self.hash.windows(WINDOW) if len(self.code) else np.zeros(0, np.uint64)
         self.text = written(self.hash.span(0, self.hash.length), smallest(self.windows))
 
     def edited(self, code: np.ndarray, same: int) -> str:
@@ -140,7 +149,7 @@ class Fingerprint:
             return written(0, self.windows[:0])
         whole = PrefixHash(code, self.hash, same)
         head = max(0, same - WINDOW + 1) if len(code) >= WINDOW <= len(self.code) else 0
-        rest = mixed(whole.windows(WINDOW, head))
+        rest = whole.windows(WINDOW, head)
         return written(whole.span(0, whole.length), smallest(np.concatenate([self.windows[:head], rest])))
 
 

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tianguis.llm.common import steps, texts_of
+from tianguis.llm.common import STEP_CHARS, steps, texts_of
 
 UNKNOWN = "und"
 #: Buckets that character trigrams are hashed to: the size of the model for each language.
@@ -126,6 +126,18 @@ def word_scores(code: np.ndarray, model: Model) -> tuple[np.ndarray, np.ndarray]
     return np.where(out, scores - 1000, scores), length
 
 
+def text_scores(text: str, model: Model, most: int = STEP_CHARS) -> tuple[np.ndarray, np.ndarray]:
+    """``word_scores`` of a text; a very long one is scored in parts that end between words."""
+    parts, start = [], 0
+    while start < len(text) or not parts:
+        end = min(start + most, len(text))
+        while end < len(text) and text[end].isalpha() and text[end - 1].isalpha():
+            end += 1
+        parts.append(word_scores(codes(text[start:end]), model))
+        start = end
+    return parts[0] if len(parts) == 1 else tuple(np.concatenate(x) for x in zip(*parts, strict=True))
+
+
 def viterbi(scores: list[np.ndarray], switch: float = SWITCH) -> list[np.ndarray]:
     """The best label of every word of every text. All texts advance together, longest first, a word a step."""
     order = sorted(range(len(scores)), key=lambda i: -len(scores[i]))
@@ -168,7 +180,7 @@ def viterbi(scores: list[np.ndarray], switch: float = SWITCH) -> list[np.ndarray
 
 def spans(text: str | None, model: Model, switch: float = SWITCH) -> list[tuple[str, int]]:
     """The text's words as maximal spans of one language: (language, words)."""
-    scores, _ = word_scores(codes(text or ""), model)
+    scores, _ = text_scores(text or "", model)
     label = viterbi([scores], switch)[0]
     cuts = np.flatnonzero(np.append(True, label[1:] != label[:-1])) if len(label) else []
     return [(model.languages[label[i]], int(j - i)) for i, j in zip(cuts, np.append(cuts[1:], len(label)), strict=True)] if len(label) else []
@@ -191,7 +203,7 @@ def predict(docs: DataFrame, model: Model, keep: list[str], switch: float = SWIT
             texts = texts_of(batch.column(batch.num_columns - 1))
             found: list[tuple[str, float]] = []
             for i, j in steps([len(t) for t in texts]):
-                scored = [word_scores(codes(t), model) for t in texts[i:j]]
+                scored = [text_scores(t, model) for t in texts[i:j]]
                 for (_, length), label in zip(scored, viterbi([s for s, _ in scored], switch) if model.languages else scored, strict=True):
                     if not len(length) or not model.languages:
                         found.append((UNKNOWN, 0.0))
