@@ -1,9 +1,11 @@
 """URL filter, document fingerprints, license scan, chat formatting and top-k against brute force."""
 
+import dataclasses
 import hashlib
 import random
 import re
 from collections import defaultdict
+from re import _parser as parser
 
 import numpy as np
 import pytest
@@ -250,6 +252,42 @@ def test_every_name_passes_the_gates(spark):
     assert not missing
 
 
+def written(pattern):
+    """Every text that a name or identifier of the tables stands for; a digit is 3."""
+    out = {""}
+    for op, value in pattern:
+        kind = str(op)
+        if kind == "LITERAL":
+            ways = {chr(value)}
+        elif kind == "IN":
+            ways = {chr(x) if str(o) == "LITERAL" else "3" for o, x in value}
+        elif kind == "BRANCH":
+            ways = set().union(*[written(p) for p in value[1]])
+        elif kind == "SUBPATTERN":
+            ways = written(value[-1])
+        else:
+            assert kind == "MAX_REPEAT" and tuple(value[:2]) == (0, 1)
+            ways = {""} | written(value[2])
+        out = {a + b for a in out for b in ways}
+    return out
+
+
+def test_every_alternative_is_found_as_without_keywords(spark):
+    rules = licenses.rules()
+    ungated = [dataclasses.replace(r, keyword="") for r in rules]
+    texts = ["Released under the Expat License", "see the Internet Systems Consortium License"]
+    for _, keyword, name, short in licenses.LICENSES:
+        for plain in sorted(written(parser.parse(name))):
+            assert keyword in plain, plain
+            texts += [f"x {plain}.", f"Released under the {plain}.", f"subject to the {plain}"]
+        texts += [f"SPDX-License-Identifier: {i}" for i in sorted(written(parser.parse(short))) if i]
+    found = {r.doc_id: tuple(r)[1:] for r in licenses.scan(docs(spark, texts)).collect()}
+    for i, text in enumerate(texts):
+        assert found[i] == brute_licenses(text, ungated), text
+        assert found[i][5], text
+    assert found[0][5] == "mit" and found[1][5] == "isc"
+
+
 def test_licenses_in_documents(spark):
     rules = licenses.rules()
     rows = {r.doc_id: r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()}

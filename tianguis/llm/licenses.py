@@ -20,13 +20,17 @@ RAW_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 # Phrases that are always counted, with their labels.
 PHRASES = [("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl")]
 
-# Licenses as label, keyword, name and short identifier; both as regular expressions over words.
+# Licenses as label, keyword, name and short identifier; both as regular expressions over words. Every
+# alternative of a name holds the keyword; names without it have a row of their own, which repeats no identifier.
 LICENSES = [
-    ("mit", "mit", r"mit license|expat license|mit expat license", r"mit"),
+    ("mit", "mit", r"mit license|mit expat license", r"mit"),
+    ("mit", "expat", r"expat license", ""),
     ("mit-0", "mit", r"mit no attribution(?: license)?|mit 0 license", r"mit 0"),
     ("x11", "x11", r"x11 license|mit x11 license", r"x11"),
-    ("isc", "isc", r"isc license|internet systems consortium license", r"isc"),
-    ("bsd", "bsd", r"bsd licen[cs]e|bsd style licen[cs]e|berkeley software distribution license", r"bsd"),
+    ("isc", "isc", r"isc license", r"isc"),
+    ("isc", "internet systems", r"internet systems consortium license", ""),
+    ("bsd", "bsd", r"bsd licen[cs]e|bsd style licen[cs]e", r"bsd"),
+    ("bsd", "berkeley", r"berkeley software distribution license", ""),
     ("bsd-2-clause", "bsd", r"(?:bsd 2 clause|2 clause bsd|simplified bsd|freebsd)(?: license)?", r"bsd 2 clause"),
     ("bsd-3-clause", "bsd", r"(?:bsd 3 clause|3 clause bsd|new bsd|modified bsd|revised bsd)(?: license)?", r"bsd 3 clause"),
     ("bsd-4-clause", "bsd", r"(?:bsd 4 clause|4 clause bsd|original bsd)(?: license)?", r"bsd 4 clause"),
@@ -88,7 +92,8 @@ LICENSES = [
     ("php-3.01", "php", r"php licen[cs]e", r"php 3 01"),
     ("ruby", "ruby", r"ruby licen[cs]e", r"ruby"),
     ("openssl", "openssl", r"openssl licen[cs]e", r"openssl"),
-    ("openrail", "rail", r"open ?rail(?: m)?(?: licen[cs]e)?|responsible ai licen[cs]e", r"openrail"),
+    ("openrail", "rail", r"open ?rail(?: m)?(?: licen[cs]e)?", r"openrail"),
+    ("openrail", "responsible ai", r"responsible ai licen[cs]e", ""),
     ("public-domain", "public domain", r"(?:dedicated to|released (?:in)?to|placed in(?:to)?|in) the public domain", r"public domain"),
     ("proprietary", "rights reserved", r"all rights reserved", r"proprietary"),
 ]
@@ -124,6 +129,8 @@ def rules() -> list[Rule]:
     out = []
     for label, keyword, name, short in LICENSES:
         for _, priority, confidence, kind, form in FORMS:
+            if kind == "id" and not short:
+                continue
             words = short.split(" ")[0].split("(")[0]
             needs = keyword if kind == "name" else words.rstrip("[123]") or keyword
             out.append(Rule(label, needs, " " + form.format(name if kind == "name" else short) + "(?= )", priority, confidence))
