@@ -14,19 +14,17 @@ from pyspark.sql import functions as F
 from tianguis.llm import language, mixing, packing, simhash, suffix_array
 from tianguis.llm.common import discard, small_batches, stored
 
-#: Part of a text's letters that its language must have; documents below it, and texts without letters, go.
-LEAST_SHARE = 0.5
-
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Learn languages from the documents that have a lang, label the spans of every text, and let those go that
-    have no letter or no main language. lang itself is left as it came."""
+    are null or have no letter. Texts of several languages stay whatever their shares, and texts with letters stay
+    where there is no labelled document to learn from. lang itself is left as it came."""
     small_batches(spark)
     model = language.fit(docs.where(language.learns()).select("lang", "text"))
     rows = docs.select(F.struct("*").alias("row"), "text")
-    found = language.predict(rows, model, ["row"])
-    kept = found.where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_SHARE))
-    return kept.select("row.*")
+    if not model.languages:
+        return language.lettered(docs)
+    return language.predict(rows, model, ["row"]).where(F.col("lang_pred") != language.UNKNOWN).select("row.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

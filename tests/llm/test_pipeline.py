@@ -120,6 +120,19 @@ def test_packed_pieces_hold_every_token_once(stages):
         assert at == room <= 2048
 
 
+def test_language_stage_keeps_mixed_texts_and_unlabelled_tables(spark):
+    learned = {"en": "the cat and the dog were here with that thing ", "de": "der hund und die katze sind nicht hier für das ding ",
+               "ru": "кошка и собака были здесь вместе с другими "}
+    rows = [(i, text * 20, lang, "s", 0) for i in range(30) for lang, text in learned.items()]
+    rows += [(101, "".join(text * 20 for text in learned.values()), None, "s", 0), (102, "12 !", None, "s", 0), (103, None, None, "s", 0), (104, "", None, "s", 0)]
+    given = frame(spark, rows)
+    whole = Counter(tuple(r) for r in corpus_pipeline.language_id(spark, given, FOLDER).collect())
+    assert whole == Counter(r for r in rows if r[0] < 102)
+    unlabelled = [(*r[:2], None, *r[3:]) for r in rows]
+    found = Counter(tuple(r) for r in corpus_pipeline.language_id(spark, frame(spark, unlabelled), FOLDER).collect())
+    assert found == Counter(r for r in unlabelled if r[0] < 102)
+
+
 def test_stages_on_empty_tables(spark):
     empty = frame(spark, [])
     for _, stage in corpus_pipeline.STAGES:

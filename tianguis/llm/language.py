@@ -217,6 +217,17 @@ def predict(docs: DataFrame, model: Model, keep: list[str], switch: float = SWIT
     return docs.select(*keep, F.col("text").alias("__text")).mapInArrow(run, schema)
 
 
+def lettered(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` (text; others are kept) whose text has a letter, by the same letters as ``predict``."""
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array([any(map(str.isalpha, t)) for t in texts_of(batch.column(at))], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def learns(doc_id: str = "doc_id"):
     """Whether a document may be learned from: crc32 of its id as text, modulo 3, is not 1."""
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 3 != 1
