@@ -62,7 +62,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids in sequences of 2048 at balanced attention cost."""
     small_batches(spark)
-    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), added_tokens=True)
 
 
 STAGES = [

@@ -10,7 +10,7 @@ from test_corpus_a import brute_repeats, brute_simhash
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from tianguis.llm import mixing
+from tianguis.llm import entry, mixing
 
 FOLDER = "/root/testdata/sf0.001"
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -133,6 +133,21 @@ def test_language_stage_keeps_mixed_texts_and_unlabelled_tables(spark):
     assert found == Counter(r for r in unlabelled if r[0] < 102)
 
 
+def test_added_tokens_are_those_of_the_tokenizer_as_loaded(spark, tmp_path):
+    texts = ["end <|endoftext|> here", "<|startoftext|>", "a <|ENDOFTEXT|> b", "é <|endoftext|><|startoftext|> ½", "<|endoftext|", "word <|endoftext|> " * 70_000]
+    given = frame(spark, [(i, t, "en", "s", len(t)) for i, t in enumerate(texts)])
+    given.write.parquet(f"{tmp_path}/documents.parquet")
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    expected = [np.array([*tokenizer.encode(t, add_special_tokens=False).ids, 1], "<u4").tobytes() for t in texts]
+    pieces = defaultdict(list)
+    for r in corpus_pipeline.pack(spark, given, FOLDER).collect():
+        pieces[r.doc_id].append((r.start, bytes(r.ids)))
+    for r in entry.op6_packing(spark, str(tmp_path)).collect():
+        ids = expected[r.doc_id][4 * r.start : 4 * (r.start + r.length)]
+        assert r.ids_crc32 == zlib.crc32(ids) and 4 * r.doc_tokens == len(expected[r.doc_id])
+    assert [b"".join(ids for _, ids in sorted(pieces[i])) for i in range(len(texts))] == expected
+
+
 def test_stages_on_empty_tables(spark):
     empty = frame(spark, [])
     for _, stage in corpus_pipeline.STAGES:

@@ -36,7 +36,8 @@ def op5_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")).drop("ids")
+    docs = table(spark, sf_dir, "documents")
+    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), added_tokens=True).drop("ids")
 
 
 def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:

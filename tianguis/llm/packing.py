@@ -63,12 +63,15 @@ class WordTokens:
     """Token ids of texts, as little-endian 32-bit integers: what the tokenizer gives, mostly from memory.
 
     Plain texts are lower-cased and parted at white space; each part is cut by the word pattern, and a word is given
-    to the tokenizer's own model. All other texts go through the tokenizer whole.
+    to the tokenizer's own model. All other texts go through the tokenizer whole. With ``added_tokens`` the tokenizer
+    is used as loaded, so the names of its added tokens are those tokens; texts that hold one go through it whole
+    too. Without, the names are text like any other.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, added_tokens: bool = False):
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not added_tokens
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()] if added_tokens else []
         self.letters = byte_letters()
         self.words = Ids(self.word)
         self.parts = Ids(self.part)
@@ -91,7 +94,7 @@ class WordTokens:
         return self.portion(text)
 
     def portion(self, text: str) -> bytes:
-        if PLAIN.fullmatch(text):
+        if PLAIN.fullmatch(text) and not any(name in text for name in self.added):
             return b"".join(map(self.parts.__getitem__, text.lower().split()))
         return self.whole(text)
 
@@ -156,9 +159,10 @@ def pack(lengths: list[int], sequence: int = SEQUENCE) -> list[tuple[int, int, i
 SCHEMA = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint, sequence_tokens bigint, ids binary"
 
 
-def pack_documents(docs: DataFrame, tokenizer_path: str, sequence: int = SEQUENCE) -> DataFrame:
+def pack_documents(docs: DataFrame, tokenizer_path: str, sequence: int = SEQUENCE, added_tokens: bool = False) -> DataFrame:
     """A row for each piece of each row of ``docs`` (doc_id, text; others are ignored), with its token ids as
-    little-endian unsigned 32-bit integers.
+    little-endian unsigned 32-bit integers. ``added_tokens`` tells whether names of added tokens in a text are these
+    tokens, as in the tokenizer as loaded, or text.
 
     Blocks of rows are packed inside their task, without a shuffle; a sequence id is the partition's number
     and a counter. A document that is longer than a block makes a block of its own with what came before it.
@@ -169,7 +173,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, sequence: int = SEQUENC
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not state:
-            state.append(WordTokens(tokenizer_path))
+            state.append(WordTokens(tokenizer_path, added_tokens))
         words, next_id = state[0], TaskContext.get().partitionId() << 33
         ids: list = []
         tokens: list[bytes] = []
