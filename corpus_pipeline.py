@@ -54,9 +54,12 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Bring the sources to target weights: every document stays, and small sources are repeated, at most twice
-    over, until the temperature found for that limit is met."""
+    over, until the temperature found for that limit is met. Rows come in the order of the mix: by block, and inside
+    it by slot, so that what is written and read again carries the permutation."""
     small_batches(spark)
-    return mixing.mix(docs).select(*docs.columns)
+    mixed = mixing.mix(docs).repartitionByRange("__block", "__slot")
+    mixed = mixed.sortWithinPartitions("__block", "__slot", "__epoch", "doc_id", "text")
+    return mixed.select(*docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

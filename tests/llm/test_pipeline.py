@@ -11,6 +11,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from tianguis.llm import entry, mixing
+from tianguis.llm.common import stored
 
 FOLDER = "/root/testdata/sf0.001"
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -133,6 +134,15 @@ def test_language_stage_keeps_mixed_texts_and_unlabelled_tables(spark):
     assert found == Counter(r for r in unlabelled if r[0] < 102)
 
 
+def test_mix_is_in_the_order_of_its_blocks(spark):
+    rows = [(i, "w " * 40, "en", "big" if i % 10 else "small", 80) for i in range(600)]
+    given = frame(spark, rows).repartition(3)
+    order = sorted(mixing.mix(given).collect(), key=lambda r: (r["__block"], r["__slot"]))
+    found = [r.doc_id for r in stored(corpus_pipeline.mix_sources(spark, given, FOLDER)).collect()]
+    assert found == [r.doc_id for r in order]
+    assert not any(a == b for a, b in zip(found, found[1:], strict=False))
+
+
 def test_added_tokens_are_those_of_the_tokenizer_as_loaded(spark, tmp_path):
     texts = ["end <|endoftext|> here", "<|startoftext|>", "a <|ENDOFTEXT|> b", "é <|endoftext|><|startoftext|> ½", "<|endoftext|", "word <|endoftext|> " * 70_000]
     given = frame(spark, [(i, t, "en", "s", len(t)) for i, t in enumerate(texts)])

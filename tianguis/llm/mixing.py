@@ -91,7 +91,7 @@ def weights(light: DataFrame, target: Target) -> DataFrame:
     (source_key, tokens): epochs is how often its stream is read, quota its budget of tokens, full the whole
     epochs and rest the tokens of the last one. Sources without tokens get one epoch and no weight."""
     sums = light.groupBy("source_key").agg(F.sum("tokens").alias("tokens"))
-    total = F.sum("tokens").over(Window.partitionBy())  # one row a source
+    total = light.agg(F.sum("tokens")).scalar()
     sources = stored(sums.withColumn("share", F.when(F.col("tokens") > 0, F.col("tokens") / total)))
     known = sources.where("tokens > 0")
     x = exponent(known, target)
