@@ -93,6 +93,36 @@ def test_url_filter_on_pages(spark):
         assert r.verdict == (verdict or ("block" if re.search("spam|pills|bets|adult", host) else "allow")), r
 
 
+def test_every_counted_word_splits_names(spark):
+    """More words seen once than any cap keeps: each still splits the host that runs it together with another."""
+    name = lambda i: "".join(chr(97 + (i * 7919 // 17**k) % 17) for k in range(5)) + "zz"
+    made = sorted({name(i) for i in range(60_000)})
+    assert len(made) > url_filter.VOCABULARY
+    rows = [(i, "http://h-1.net/" + "/".join(made[i : i + 50])) for i in range(0, len(made), 50)]
+    rows += [(-1, f"http://{made[5]}{made[-7]}.net/")]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string").repartition(3)
+    found = {r.page_id: r.words.split() for r in url_filter.judge(pages).where("page_id < 0").collect()}
+    assert found[-1][:2] == [made[5], made[-7]]
+
+
+def test_words_as_frequent_as_the_cut_stay(spark):
+    urls = spark.createDataFrame([("h-1.net", "/" + "/".join(f"w{a}{b}x" for a in "abcdefgh" for b in "abcdefgh"))], "host string, path string")
+    few = url_filter.learn_words(urls, vocabulary=10)
+    listed = {w for text in (*url_filter.WANTED, *url_filter.UNWANTED) for w in text.split("-")}
+    assert len(set(few.logs) - listed) == 10
+
+
+def test_split_of_long_runs_is_the_most_probable():
+    words = url_filter.word_model({"the": 90.0, "green": 4.0})
+    for name in ("z" * 40 + "green" + "q" * 30 + "the", "greenthe" * 12, "x" * 70):
+        best = [0.0]
+        for end in range(1, len(name) + 1):
+            best.append(max(best[i] + words.logs.get(name[i:end], words.floor - url_filter.LETTER * (end - i)) for i in range(end)))
+        got = words.split(name)
+        assert "".join(got) == name
+        assert sum(words.logs.get(w, words.floor - url_filter.LETTER * len(w)) for w in got) == pytest.approx(best[-1])
+
+
 def test_split_is_the_most_probable():
     words = url_filter.word_model({"the": 90.0, "green": 4.0})
 

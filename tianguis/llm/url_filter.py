@@ -9,10 +9,11 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,10 +42,12 @@ followers free-bets free-spins gambling get-rich hookup jackpot keygen levitra l
 pharmacy phishing pills pirated poker porn porno rolex-replica replica roulette scam seo-links sex slots spam spins
 torrent viagra warez webcam weight-loss-pills xanax xxx""".split()
 
-#: Words of the unigram model: the most frequent ones over all urls, and the lists; it is sent to every task.
+#: Words that ``learn_words`` brings to the driver; ``judge`` looks words up in all counts and has no such limit.
 VOCABULARY = 50_000
-#: Letters of a word at most; a longer run of letters or digits than LONGEST is left as it is.
-WORD_LETTERS, LONGEST = 24, 64
+#: Letters of a word at most.
+WORD_LETTERS = 24
+#: Urls and their characters that share one lookup; parts of words that a task holds before it passes them on.
+CHUNK_ROWS, CHUNK_CHARS, HELD_PARTS = 4096, 1 << 22, 200_000
 #: Urls of each class that the classifier is fitted on at most, by a hash of the url.
 LABELLED = 20_000
 #: Weight of each listed word, in seen ones; words of the overall distribution that each class is smoothed with.
@@ -93,15 +96,20 @@ class Words:
 
     def split(self, name: str) -> list[str]:
         """The most probable split of a run of letters and digits; on a tie, the one with the longer last word."""
-        if len(name) > LONGEST or name.isdigit():
+        if name.isdigit():
             return [name]
         known = self.memory.get(name)
         if known is not None:
             return known
         best: list[tuple[float, int]] = [(0.0, 0)]
+        far = (-math.inf, 0)  # the best start of a run that is too long for a word, so unknown
         for end in range(1, len(name) + 1):
             options = []
-            for start in range(max(0, end - WORD_LETTERS) if end != len(name) else 0, end):
+            if end > WORD_LETTERS:
+                start = end - WORD_LETTERS - 1
+                far = max(far, (best[start][0] + LETTER * start, -start))
+                options.append((far[0] + self.floor - LETTER * end, far[1]))
+            for start in range(max(0, end - WORD_LETTERS), end):
                 part = name[start:end]
                 log = self.logs.get(part, self.floor - LETTER * len(part))
                 options.append((best[start][0] + log, -start))
@@ -136,30 +144,113 @@ def words_of(host: str, path: str, model: Words) -> list[str]:
     return [w for t in (*tokens(host), *tokens(path)) for w in model.split(t)]
 
 
-def learn_words(urls: DataFrame, vocabulary: int = VOCABULARY) -> Words:
-    """Count the words that the paths of all ``urls`` (host, path) and the parts of their hosts write apart; a part that
-    is one run of letters may be a compound and doesn't count. The driver gets the ``vocabulary`` most frequent ones."""
+def word_counts(urls: DataFrame) -> DataFrame:
+    """(word, n) of the words that the paths of all ``urls`` (host, path) and the parts of their hosts write apart; a part
+    that is one run of letters may be a compound and doesn't count."""
     apart = F.array_join(F.filter(F.split("host", r"\."), lambda part: F.rlike(part, F.lit(r"[^\p{L}]"))), "/")
     runs = F.explode(F.regexp_extract_all(F.lower(F.concat_ws("/", apart, "path")), F.lit(r"(\p{L}+)"), F.lit(1)))
     counts = urls.select(runs.alias("word")).where(F.length("word").between(2, WORD_LETTERS)).groupBy("word").agg(F.count("*").alias("n"))
-    counts = stored(counts)
+    return stored(counts)
+
+
+def learn_words(urls: DataFrame, vocabulary: int = VOCABULARY) -> Words:
+    """The model of the ``vocabulary`` most frequent words of ``word_counts``, ties in order of the word, on the driver."""
+    counts = word_counts(urls)
     words = counts.count()
-    if words > vocabulary:  # so that no task sends more than its part of the vocabulary
+    if words > vocabulary:  # so that no task sends much more than its part of the vocabulary
         accuracy = min(1_000_000, 10_000 + 20 * words // vocabulary)
-        cut = counts.agg(F.percentile_approx("n", 1 - vocabulary / words, accuracy)).first()[0]
-        counts = counts.where(F.col("n") > cut)
+        cut = counts.agg(F.percentile_approx("n", max(0.0, 1 - vocabulary / words - 1 / accuracy), accuracy)).first()[0]
+        counts = counts.where(F.col("n") >= cut)
     found = {r.word: float(r.n) for r in counts.orderBy(F.desc("n"), "word").limit(vocabulary).collect()}
     return word_model(found)
 
 
-def word_model(found: dict[str, float]) -> Words:
-    """Counts enter by their root, so that the words of one large site do not crowd out the listed ones."""
+def word_model(found: dict[str, float], seen: float | None = None) -> Words:
+    """Counts enter by their root, so that the words of one large site do not crowd out the listed ones. ``seen`` is the
+    sum of the roots of all counts, if ``found`` has only those that are asked for."""
     counts = {w: math.sqrt(n) for w, n in found.items()}
+    seen = sum(counts.values()) if seen is None else seen
     for listed in (*WANTED, *UNWANTED):
         for w in listed.split("-"):
             counts[w] = counts.get(w, 0.0) + LISTED
-    total = sum(counts.values())
-    return Words({w: math.log(n / total) for w, n in counts.items()}, math.log(1 / total))
+            seen += LISTED
+    return Words({w: math.log(n / seen) for w, n in counts.items()}, math.log(1 / seen))
+
+
+def _chunked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows (page_id, host, path) with the number of their chunk: some neighbours inside a partition."""
+    chunk, rows, chars = TaskContext.get().partitionId() << 33, 0, 0
+    for batch in batches:
+        numbers = []
+        for host, path in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+            rows, chars = rows + 1, chars + len(host) + len(path)
+            numbers.append(chunk)
+            if rows >= CHUNK_ROWS or chars >= CHUNK_CHARS:
+                chunk, rows, chars = chunk + 1, 0, 0
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(numbers, pa.int64())], ["page_id", "host", "path", "chunk"])
+
+
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(chunk, word): every part of every run of the rows (host, path, chunk) that a count may exist for. Runs and parts
+    that a chunk repeats are mostly named once."""
+    held: set[str] = set()
+    runs: set[str] = set()
+    at = None
+
+    def out():
+        found = pa.RecordBatch.from_arrays([pa.array([at] * len(held), pa.int64()), pa.array(list(held), pa.string())], ["chunk", "word"])
+        held.clear()
+        return found
+
+    for batch in batches:
+        for host, path, chunk in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+            if chunk != at:
+                if held:
+                    yield out()
+                runs.clear()
+                at = chunk
+            for name in (*tokens(host), *tokens(path)):
+                if name in runs or name.isdigit():
+                    continue
+                runs.add(name)
+                for start in range(len(name) - 1):
+                    held.update([name[start:end] for end in range(start + 2, min(start + WORD_LETTERS, len(name)) + 1)])
+                    if len(held) > HELD_PARTS:
+                        yield out()
+    if held:
+        yield out()
+
+
+def segmented(urls: DataFrame) -> DataFrame:
+    """``urls`` (page_id, host, path) with host_words and path_words, the most probable splits under the counts of all
+    words of all urls.
+
+    The counts are never gathered: the parts of the runs of a chunk of rows meet them in a join by word, and the counts
+    that a chunk needs come to it by its number. So a word is looked up once a chunk, however common it is.
+    """
+    counts = word_counts(urls)
+    root = F.sqrt("n").cast("decimal(28,12)")  # its sum does not depend on the order
+    seen = float(counts.agg(F.sum(root)).first()[0] or 0)
+    kind = urls.schema["page_id"].dataType.simpleString()
+    rows = stored(urls.select("page_id", "host", "path").mapInArrow(_chunked, f"page_id {kind}, host string, path string, chunk bigint"))
+    parts = rows.select("host", "path", "chunk").mapInArrow(_parts, "chunk bigint, word string")
+    known = parts.join(counts, "word").select("chunk", "word", "n")
+
+    def split(rows: pa.Table, known: pa.Table) -> pa.Table:
+        model = word_model(dict(zip(known["word"].to_pylist(), known["n"].to_pylist(), strict=True)), seen)
+        words = [pa.array([words_of(t, "", model) for t in rows[c].to_pylist()], pa.list_(pa.string())) for c in ("host", "path")]
+        return pa.table([*(rows[c] for c in ("page_id", "host", "path")), *words], ["page_id", "host", "path", "host_words", "path_words"])
+
+    schema = f"page_id {kind}, host string, path string, host_words array<string>, path_words array<string>"
+    return rows.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInArrow(split, schema)
+
+
+def examples(urls: DataFrame, labelled: int) -> DataFrame:
+    """The first ``labelled`` different rows of ``urls`` (host, path, and what follows from them) by hash."""
+    known = stored(urls.where("host <> ''").distinct().withColumn("hash", F.xxhash64("host", "path")))
+    share = min(1.0, 1.2 * labelled / max(1, known.count()))  # of the range of hashes: holds a few more than needed
+    known = known.where(F.col("hash") <= int(-(2**63) + share * (2**64 - 2049)))
+    return known.orderBy("hash", "host", "path").limit(labelled)
 
 
 def fit(urls: DataFrame, model: Words, labelled: int = LABELLED) -> Bayes:
@@ -169,20 +260,21 @@ def fit(urls: DataFrame, model: Words, labelled: int = LABELLED) -> Bayes:
     hold for places and not for words. ``labelled`` different urls are looked at, the first by hash of host and path,
     besides the lists themselves, so the model and the work on the driver are bounded.
     """
-    known = stored(urls.select("host", "path").where("host <> ''").distinct().withColumn("hash", F.xxhash64("host", "path")))
-    share = min(1.0, 1.2 * labelled / max(1, known.count()))  # of the range of hashes: holds a few more than needed
-    known = known.where(F.col("hash") <= int(-(2**63) + share * (2**64 - 2049)))
-    rows = known.orderBy("hash", "host", "path").limit(labelled).collect()
+    rows = examples(urls.select("host", "path"), labelled).collect()
+    return fit_words((words_of(r.host, "", model), words_of("", r.path, model)) for r in rows)
+
+
+def fit_words(rows: Iterable[tuple[list[str], list[str]]]) -> Bayes:
+    """``fit`` on the words of host and path of each url."""
     bad = {w for listed in UNWANTED if "-" not in listed for w in [listed]}
     counts: dict[str, list[float]] = {}
     for listed, side in ((WANTED, 0), (UNWANTED, 1)):
         for text in listed:
             for w in text.split("-"):
                 counts.setdefault(w, [0.0, 0.0])[side] += LISTED / 10 if "-" not in text else 1.0
-    for r in rows:
-        words = words_of(r.host, r.path, model)
-        side = 1 if bad & set(words_of(r.host, "", model)) else 0
-        for w in words:
+    for host_words, path_words in rows:
+        side = 1 if bad & set(host_words) else 0
+        for w in (*host_words, *path_words):
             counts.setdefault(w, [0.0, 0.0])[side] += 1.0
     totals = [sum(c[side] for c in counts.values()) for side in (0, 1)]
     odds = {}
@@ -197,26 +289,26 @@ def judge(pages: DataFrame, rules: list[tuple[str, str]] | None = None) -> DataF
     ignored): the verdict is that of the longest rule that fits, else the model's; score is the model's log odds
     for block, words what host and path were split into.
 
-    A null url, and one without ``://``, has an empty host and path, no rule, no words, and is allowed. Very long
-    runs of letters stay whole. Ids may be null or repeat; an empty table gives an empty result.
+    A null url, and one without ``://``, has an empty host and path, no rule, no words, and is allowed. Runs of
+    letters of any length are split. Ids may be null or repeat; an empty table gives an empty result.
     """
     host, path = host_of(F.col("url")), path_of(F.col("url"))
     urls = pages.select("page_id", host.alias("host"), path.alias("path"))
-    words = learn_words(urls)
-    bayes = fit(urls, words)
-    sent = pages.sparkSession.sparkContext.broadcast((words, bayes))
+    urls = stored(segmented(urls))
+    learned = examples(urls.select("host", "path", "host_words", "path_words"), LABELLED).select("host_words", "path_words")
+    sent = pages.sparkSession.sparkContext.broadcast(fit_words(map(tuple, learned.collect())))
     rule, verdict = matched(F.col("host"), F.col("path"), RULES if rules is None else rules)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, bayes = sent.value
+        bayes = sent.value
         for batch in batches:
-            found = [words_of(h, p, words) for h, p in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
+            found = [[*h, *p] for h, p in zip(batch.column(5).to_pylist(), batch.column(6).to_pylist(), strict=True)]
             scores = [bayes.score(w) if w else bayes.prior for w in found]
-            columns = [*batch.columns, pa.array(scores, pa.float64()), pa.array([" ".join(w) for w in found], pa.string())]
+            columns = [*batch.columns[:5], pa.array(scores, pa.float64()), pa.array([" ".join(w) for w in found], pa.string())]
             yield pa.RecordBatch.from_arrays(columns, ["page_id", "host", "path", "rule", "verdict", "score", "words"])
 
     kind = urls.schema["page_id"].dataType.simpleString()
-    scored = urls.select("page_id", "host", "path", rule.alias("rule"), verdict.alias("verdict")).mapInArrow(
+    scored = urls.select("page_id", "host", "path", rule.alias("rule"), verdict.alias("verdict"), "host_words", "path_words").mapInArrow(
         run, f"page_id {kind}, host string, path string, rule string, verdict string, score double, words string"
     )
     model = F.when(F.col("score") > THRESHOLD, BLOCK).otherwise(ALLOW)
