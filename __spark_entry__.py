@@ -100,8 +100,10 @@ def _surrogate_keys(s: StandIn) -> DataFrame:
                 F.count(F.lit(1)).alias("filas"),
                 F.count_distinct(key).alias("claves"),
                 F.count_if(F.col(key).isNull()).alias("nulas"),
+                F.min(key).alias("menor"),
+                F.max(key).alias("mayor"),
             )
-            .select(F.lit(table).alias("tabla"), "filas", "claves", "nulas")
+            .select(F.lit(table).alias("tabla"), "filas", "claves", "nulas", "menor", "mayor")
             for table, key in keys.items()
         ]
     )

@@ -716,7 +716,7 @@ def _star() -> dict[str, str]:
         "surrogate_keys": query(
             ["cust", "sell", "prod", "ord", "fact", "pay", "rev"],
             zero(
-                f"SELECT '{name}' AS tabla, count(*) AS filas, count(*) AS claves, {big('0')} AS nulas FROM {src}"
+                f"SELECT '{name}' AS tabla, count(*) AS filas, count(*) AS claves, {big('0')} AS nulas, {big('1')} AS menor, count(*) AS mayor FROM {src}"
                 for name, src in (
                     ("dim_customers", "cust"),
                     ("dim_sellers", "sell"),

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-KEY_BUCKETS = 65_536
+#: Hash buckets whose sizes are counted to place the keys of each.
+KEY_BUCKETS = 16_384
 
 
 def _bucketed(df: DataFrame, key: str, buckets: int) -> DataFrame:
@@ -25,43 +26,66 @@ def first_by_key(df: DataFrame, key: str, buckets: int = KEY_BUCKETS) -> DataFra
     return ranked.where(F.col("_nth") == 1).select(*df.columns)
 
 
+def _numbered(dealt: DataFrame, counts: DataFrame, position: Column, name: str, columns: list[str]) -> DataFrame:
+    """Number the rows of each bucket after those of the buckets before.
+
+    ``counts`` has one row (_bucket, _n) for each bucket: a bounded frame, so its window and its broadcast are too.
+    """
+    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    placed = dealt.join(F.broadcast(offsets), "_bucket")
+    return placed.select((F.col("_before") + position).cast("long").alias(name), *columns)
+
+
+def _whole(columns: list[str]) -> Column:
+    """Makes a reading need every column, so that counting and numbering share one exchange."""
+    return F.max(F.xxhash64(*columns)).alias("_whole")
+
+
 def with_surrogate_key(df: DataFrame, key: str, name: str, buckets: int = KEY_BUCKETS) -> DataFrame:
-    """B1: a unique, never-null integer that is the same on every run over the same rows.
+    """B1: dense keys 1..n over the (unique) natural key, the same on every run over the same rows.
 
-    Rows are numbered inside hash buckets of their (unique) natural key and the bucket number
-    is interleaved, ``(n - 1) * buckets + bucket + 1``. No bucket needs to know the size of
-    another, so there is no global sort and no second pass over the input.
+    Rows are dealt into hash buckets and counted there; a key is the number of rows in the buckets before plus the
+    place in its own. There is no global sort and no window over more than a bucket.
     """
-    numbered = _bucketed(df, key, buckets)
-    position = F.row_number().over(Window.partitionBy("_bucket").orderBy(key))
-    surrogate = (position.cast("long") - 1) * buckets + F.col("_bucket") + 1
-    return numbered.select(surrogate.alias(name), *df.columns)
+    return keyed_first(df, key, name, buckets)
 
 
 def keyed_first(df: DataFrame, key: str, name: str, buckets: int = KEY_BUCKETS) -> DataFrame:
-    """B1 and B3 in one shuffle: the smallest row of each key, numbered as ``with_surrogate_key`` would.
+    """B1 and B3 in one shuffle: the smallest row of each key, numbered densely from 1.
 
     Rows are dealt out by bucket once. Inside a bucket they are ordered by key and then by the other columns: the
-    dense rank of the key is its number, and the first row of a key is the one kept.
+    dense rank of the key is its place, and the first row of a key is the one kept.
     """
     others = [c for c in df.columns if c != key]
     dealt = _bucketed(df, key, buckets).repartition("_bucket")
+    counts = (
+        dealt.groupBy("_bucket", key)
+        .agg(_whole(df.columns))
+        .groupBy("_bucket")
+        .agg(F.count(F.lit(1)).alias("_n"), F.max("_whole").alias("_whole"))
+        .where(F.col("_whole").isNotNull())
+    )
     within = Window.partitionBy("_bucket").orderBy(key)
-    first = Window.partitionBy("_bucket", key).orderBy(*[F.col(c).asc_nulls_first() for c in others] or [F.col(key)])
-    numbered = dealt.withColumns({"_key": F.dense_rank().over(within), "_nth": F.row_number().over(first)})
-    surrogate = (F.col("_key").cast("long") - 1) * buckets + F.col("_bucket") + 1
-    return numbered.where(F.col("_nth") == 1).select(surrogate.alias(name), *df.columns)
+    order = [F.col(c).asc_nulls_first() for c in others] or [F.col(key)]
+    first = Window.partitionBy("_bucket", key).orderBy(*order, F.xxhash64(*df.columns))
+    ranked = dealt.withColumns({"_key": F.dense_rank().over(within), "_nth": F.row_number().over(first)})
+    return _numbered(ranked.where(F.col("_nth") == 1), counts, F.col("_key"), name, df.columns)
 
 
-def with_arrival_key(df: DataFrame, name: str) -> DataFrame:
-    """B1 for facts: a unique integer given as rows are written.
+def with_row_key(df: DataFrame, name: str, buckets: int = KEY_BUCKETS) -> DataFrame:
+    """B1 for facts: dense keys 1..n over whole rows, the same on every run over the same rows.
 
-    Nothing refers to a fact row by its key, so a dense number would buy a sort of the largest
-    table for a value nobody reads. It must be the last step before a write: within the writing
-    task a repeated attempt replaces its whole output, while a shuffle after this step could mix
-    the keys of two attempts. Values are fixed once the table is written.
+    The bucket and the place in it come from the hash of the row, ties from its columns; copies of a row are
+    neighbours and get neighbouring keys. A row that a third of the table repeats is one bucket, which is sorted with
+    spilling and numbered as a stream.
     """
-    return df.select(F.monotonically_increasing_id().alias(name), *df.columns)
+    hashed = df.withColumn("_hash", F.xxhash64(*df.columns))
+    dealt = hashed.withColumn("_bucket", F.pmod("_hash", F.lit(buckets))).repartition("_bucket")
+    counts = dealt.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"), _whole(df.columns)).where(F.col("_whole").isNotNull())
+    order = Window.partitionBy("_bucket").orderBy("_hash", *[F.col(c).asc_nulls_first() for c in df.columns])
+    placed = dealt.withColumn("_key", F.row_number().over(order))
+    return _numbered(placed, counts, F.col("_key"), name, df.columns)
 
 
 def lookup(df: DataFrame, dimension: DataFrame, natural: str, surrogate: str, how: str = "inner") -> DataFrame:

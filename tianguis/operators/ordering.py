@@ -1,10 +1,14 @@
-"""Global order without a single-task window (G0; F2, F3, F6, F8, F9, F11).
+"""Global order without a single-task window (G0; F3, F6, F9, F11, and F2, F8 over large tables).
 
-An un-partitioned window sends every row to one task. That is right for months, states or segments, but not
-for a table whose size follows the number of sellers or orders. Here one lazy plan serves every size: borders
-of the leading measure are taken from the data by a scalar subquery, rows are dealt out by the range they fall
-in, numbered and summed inside it, and the totals of the ranges before are added. Nothing runs while a plan is
-built.
+An un-partitioned window sends every row to one task. That is right for months, states or categories, but not
+for a table whose size follows the number of sellers or orders. Here one lazy plan serves every size: borders of the
+whole order tuple are taken from a sample of the rows by a scalar subquery, rows are dealt out by the range they fall
+in, numbered and summed inside it, and the totals of the ranges before are added. Nothing runs while a plan is built.
+
+The sample is drawn by content: of the rows whose hash falls into one of so many slots, the one with the least hash.
+Two evaluations of the subquery therefore give the same borders, whatever the partitions, and a value that many rows
+share is cut by the columns that follow it in the order. There are as many ranges as the session's shuffle partitions
+ask for.
 
 The borders, the ranges' totals and the rows are three readings of one frame. Each of them reads every column of
 it (``_read_whole``), so their plans agree below that point and Spark computes the frame's exchange once.
@@ -16,84 +20,66 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Borders of the measure, and of the second column inside a value that many rows share.
-RANGES, TIE_RANGES = 200, 40
-#: Every so many borders, one is in the short list that is looked through first.
-STEP = 14
-#: Leading bytes of a text that decide its tie range.
-PREFIX_BYTES = 7
+Order = list[tuple[str, bool]]
+
+#: Ranges for each shuffle partition, so many that hashing them deals them out evenly, and sampled rows for each range.
+RANGES_EACH, SAMPLES_EACH = 16, 8
 
 
 def _read_whole(df: DataFrame) -> Column:
     return F.max(F.xxhash64(*df.columns)).alias("_whole")
 
 
-def _sort(order: list[tuple[str, bool]]) -> list[Column]:
-    return [F.col(name).desc() if descending else F.col(name).asc() for name, descending in order]
-
-
-def _border_list(count: int) -> list[float]:
-    return [i / count for i in range(1, count)]
-
-
-def _every(borders: str) -> Column:
-    """Every STEP-th border, from the first."""
-    return F.transform(F.sequence(F.lit(1), F.greatest(F.size(borders), F.lit(1)), F.lit(STEP)), lambda i: F.get(borders, i - 1))
-
-
-def _at_or_below(borders: Column, few: Column, value: Column) -> Column:
-    """How many borders are at or below a value: first among the few, then among those that follow the last of these."""
-
-    def count(found: Column) -> Column:
-        return F.coalesce(F.size(F.filter(found, lambda b: b <= value)), F.lit(0))
-
-    skipped = F.greatest(count(few) - 1, F.lit(0)) * STEP
-    return skipped + count(F.slice(borders, skipped + 1, STEP))
-
+def _place(df: DataFrame, order: Order) -> Column:
+    """The order of a row as one ascending value. NULLs come first in an ascending column, last in a descending one."""
+    fields = []
+    for n, (name, descending) in enumerate(order):
+        value, kind = F.col(name), df.schema[name].dataType
+        if descending and isinstance(kind, T.IntegralType):
+            fields += [value.isNull(), F.bitwise_not(value)]  # like a minus, without overflow
+        elif descending and isinstance(kind, T.NumericType):
+            fields += [value.isNull(), -value]
+        elif descending:
+            raise TypeError(f"{name}: only numbers can be ordered from the largest")
+        else:
+            fields += [value.isNotNull(), value]
+    return F.struct(*[field.alias(f"_{n}") for n, field in enumerate(fields)])
+
+
+def _at_or_below(borders: Column, most: int, value: Column) -> Column:
+    """How many of at most ``most`` sorted borders are at or below a value, by halving."""
+    strides = F.array(*[F.lit(1 << b) for b in reversed(range(most.bit_length()))])
+    return F.aggregate(
+        strides, F.lit(0), lambda low, stride: F.when(F.get(borders, low + stride - 1) <= value, low + stride).otherwise(low)
+    )
 
-def _tie_number(df: DataFrame, name: str) -> Column | None:
-    """A number that never falls as the column rises, or None where there is no such rule."""
-    kind = df.schema[name].dataType
-    if isinstance(kind, T.NumericType):
-        return F.col(name).cast("double")
-    if isinstance(kind, T.StringType):
-        digits = F.rpad(F.substring(F.hex(name), 1, 2 * PREFIX_BYTES), 2 * PREFIX_BYTES, "0")
-        return F.conv(digits, 16, 10).cast("double")
-    return None
 
+def _with_range(df: DataFrame, order: Order) -> DataFrame:
+    """Add ``_range``: rows of a lower range come before those of a higher one in the order."""
+    ranges = RANGES_EACH * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    place, hashed = _place(df, order), F.xxhash64(*[name for name, _ in order])
+    sample = (
+        df.groupBy(F.pmod(hashed, F.lit(ranges * SAMPLES_EACH)))
+        .agg(F.min(F.struct(hashed.alias("hash"), place.alias("at"))).alias("_first"), _read_whole(df))
+        .where(F.col("_whole").isNotNull())
+        .agg(F.sort_array(F.collect_list("_first.at")).alias("_all"))
+    )
+    picked = F.transform(
+        F.sequence(F.lit(1), F.lit(ranges - 1)), lambda i: F.get("_all", F.floor(i * F.size("_all") / ranges).cast("int"))
+    )
+    borders = sample.select(F.array_compact(picked)).scalar()
+    placed = df.withColumns({"_borders": borders, "_place": place})
+    found = _at_or_below(F.col("_borders"), ranges - 1, F.col("_place"))
+    return placed.withColumn("_range", found).drop("_borders", "_place")
 
-def _with_range(df: DataFrame, order: list[tuple[str, bool]]) -> DataFrame:
-    """Add ``_range``: rows of a lower range come before those of a higher one in the order.
 
-    A value that is itself a border has a range of its own, so that the rows that share it can be split by the
-    second column of the order. NULLs are a range too.
-    """
-    (first, descending), second = order[0], order[1] if len(order) > 1 else None
-    tie = _tie_number(df, second[0]) if second else None
-    found = [F.percentile_approx(first, _border_list(RANGES), 20 * RANGES).alias("at")]
-    if tie is not None:
-        found.append(F.percentile_approx(tie, _border_list(TIE_RANGES), 20 * TIE_RANGES).alias("tie"))
-    names = ["at", "tie"][: len(found)]
-    short = [_every(name).alias(f"{name}_few") for name in names]
-    borders = df.agg(*found, _read_whole(df)).where(F.col("_whole").isNotNull()).select(F.struct(*names, *short)).scalar()
-    df = df.withColumn("_borders", borders)
-
-    value = F.col(first)
-    df = df.withColumn("_below", _at_or_below(F.col("_borders.at"), F.col("_borders.at_few"), value))
-    own = F.coalesce(F.get("_borders.at", F.col("_below") - 1) == value, F.lit(False))
-    place = F.when(value.isNull(), -1).otherwise(2 * F.col("_below") - own.cast("int"))
-    place = -place if descending else place
-    inside = F.lit(0)
-    if tie is not None:
-        tied = _at_or_below(F.col("_borders.tie"), F.col("_borders.tie_few"), tie)
-        inside = F.when(own | value.isNull(), tied).otherwise(0)
-        inside = F.when(F.lit(second[1]), TIE_RANGES - inside).otherwise(inside)
-    return df.withColumn("_range", place * (TIE_RANGES + 1) + inside).drop("_borders", "_below")
+def _sort(order: Order) -> list[Column]:
+    return [F.col(name).desc() if descending else F.col(name).asc() for name, descending in order]
 
 
 def running(
     df: DataFrame,
-    order: list[tuple[str, bool]],
+    order: Order,
     *,
     within: str | None = None,
     position: str | None = None,
@@ -102,14 +88,14 @@ def running(
 ) -> DataFrame:
     """Add positions and running sums over a total order.
 
-    ``order`` is a list of (column, descending) whose columns together are unique; the first is a number.
+    ``order`` is a list of (column, descending) whose columns together are unique; descending ones are numbers.
     ``position`` names the 1-based row number, ``count`` the number of rows, and ``sums`` maps a column to
     the names of its (running sum up to and including the row, grand total). ``within`` names a column whose
     values are ordered, counted and summed each by itself; none of its values needs to fit one task.
     """
     sums = sums or {}
     groups = [within] if within else []
-    ranged = _with_range(df, order).repartition(*groups, "_range")
+    ranged = _with_range(df, [(g, False) for g in groups] + order).repartition("_range")
 
     # One row per range: a bounded frame, so its window and its broadcast are too (by group: not broadcast by hint).
     parts = (
@@ -128,7 +114,8 @@ def running(
         *[F.sum(f"_sum_{c}").over(everything).alias(f"_all_{c}") for c in sums],
     )
 
-    inside = Window.partitionBy(*groups, "_range").orderBy(*_sort(order))
+    # The order is unique already; the hash makes this reading need every column too, whatever is asked of the result.
+    inside = Window.partitionBy(*groups, "_range").orderBy(*_sort(order), F.xxhash64(*df.columns))
     upto_row = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = ranged.select(
         "*",
@@ -149,36 +136,67 @@ def running(
     return placed.select(*df.columns, *added)
 
 
-def ranks(df: DataFrame, measure: str, name: str, descending: bool, upto: str | None, total: str | None) -> DataFrame:
-    """One row per distinct value of ``measure``: (_ranked_value, rank, optional running sum and grand total)."""
-    values = df.groupBy(F.col(measure).alias("_ranked_value")).agg(
-        F.count(F.lit(1)).alias("_n"), F.sum(measure).alias("_sum"), _read_whole(df)
-    )
-    ordered = running(values, [("_ranked_value", descending)], sums={"_n": ("_n_upto", "_n_all"), "_sum": ("_upto", "_all")})
-    return ordered.where(F.col("_whole").isNotNull()).select(
-        "_ranked_value",
-        (F.col("_n_upto") - F.col("_n") + 1).cast("long").alias(name),
-        *([F.col("_upto").alias(upto)] if upto else []),
-        *([F.col("_all").alias(total)] if total else []),
-    )
+def _common(df: DataFrame, measures: list[str]) -> list[Column]:
+    """The measures in one type that holds each of them exactly."""
+    kinds = [df.schema[m].dataType for m in measures]
+    if all(kind == kinds[0] for kind in kinds):
+        return [F.col(m) for m in measures]
+    scales = [k.scale if isinstance(k, T.DecimalType) else 0 for k in kinds]
+    digits = [k.precision - k.scale if isinstance(k, T.DecimalType) else 19 for k in kinds]
+    if any(isinstance(k, (T.DoubleType, T.FloatType)) for k in kinds) or max(scales) + max(digits) > 38:
+        raise TypeError("these measures have no common exact type")
+    return [F.col(m).cast(T.DecimalType(max(scales) + max(digits), max(scales))) for m in measures]
 
 
-def with_ranks(
-    df: DataFrame, names: dict[str, str], descending: bool = True, upto: str | None = None, total: str | None = None
-) -> DataFrame:
+def with_ranks(df: DataFrame, key: str, names: dict[str, str], descending: bool = True) -> DataFrame:
     """``RANK()`` over each measure of ``names`` (measure to rank column), with any number of ties.
 
-    ``upto`` and ``total`` also add the running sum of the (only) measure, in which equal values share one
-    result (F2, the RANGE frame), and its grand total. The *distinct values* are ranked (ties collapse before
-    the shuffle) and joined back, so a value shared by a third of the rows stays one row while ordering; Spark
-    splits it in the join.
+    ``key`` is unique and not NULL. Every row goes out once for each measure, under its number, and all measures are
+    ordered together: one set of borders, one exchange, one row of totals for each range. Ties are cut by the key; a
+    range that begins with the value the range before ended with takes back the rows of that value counted so far.
+    The ranks of a row meet again by its key, where the row itself comes along with the first measure.
     """
-    out = df
-    for measure, name in names.items():
-        out = out.join(
-            ranks(df, measure, name, descending, upto, total), F.col(measure).eqNullSafe(F.col("_ranked_value")), "inner"
-        ).drop("_ranked_value")
-    return out
+    whole = F.struct(*df.columns)
+    none = F.lit(None).cast(df.select(whole.alias("_row")).schema["_row"].dataType)
+    each = [
+        F.struct(F.lit(n).alias("_measure"), value.alias("_value"), (none if n else whole).alias("_row"))
+        for n, value in enumerate(_common(df, list(names)))
+    ]
+    rows = df.select(F.col(key).alias("_key"), F.inline(F.array(*each)))
+    ranged = _with_range(rows, [("_measure", False), ("_value", descending), ("_key", False)])
+    ranged = ranged.withColumn("_at", _place(rows, [("_value", descending)])).repartition("_range")
+
+    by_value = ranged.groupBy("_measure", "_range", "_at").agg(F.count(F.lit(1)).alias("_n"), _read_whole(ranged))
+    parts = (
+        by_value.groupBy("_measure", "_range")
+        .agg(
+            F.sum("_n").alias("_n"),
+            F.min("_at").alias("_first"),
+            F.max("_at").alias("_last"),
+            F.max_by("_n", "_at").alias("_n_last"),
+            F.max("_whole").alias("_whole"),
+        )
+        .where(F.col("_whole").isNotNull())
+    )
+    by_range = Window.partitionBy("_measure").orderBy("_range")
+    same_last = Window.partitionBy("_measure", "_last").orderBy("_range").rowsBetween(Window.unboundedPreceding, 0)
+    totals = parts.withColumns(
+        {
+            "_before": F.coalesce(F.sum("_n").over(by_range.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
+            "_of_last": F.sum("_n_last").over(same_last),
+        }
+    )
+    carried = F.when(F.lag("_last").over(by_range) == F.col("_first"), F.lag("_of_last").over(by_range)).otherwise(0)
+    offsets = totals.select("_measure", "_range", "_before", "_first", carried.alias("_carried"))
+
+    inside = F.rank().over(Window.partitionBy("_measure", "_range").orderBy("_at"))
+    placed = ranged.withColumn("_inside", inside).join(F.broadcast(offsets), ["_measure", "_range"])
+    rank = F.col("_before") + F.col("_inside") - F.when(F.col("_at") == F.col("_first"), F.col("_carried")).otherwise(0)
+    gathered = placed.groupBy("_key").agg(
+        F.first("_row", ignorenulls=True).alias("_row"),
+        *[F.max(F.when(F.col("_measure") == n, rank)).cast("long").alias(name) for n, name in enumerate(names.values())],
+    )
+    return gathered.select("_row.*", *names.values())
 
 
 def tile_of(position: Column, count: Column, tiles: int) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tianguis.functions.numbers import exact_mean, share
@@ -39,11 +39,14 @@ def category_totals(frames) -> DataFrame:
 
 def category_stats(frames) -> DataFrame:
     """Categories by revenue with share, running share and position."""
-    ordered = running(
-        category_totals(frames),
-        [("revenue", True), ("category", False)],
-        position="rank",
-        sums={"revenue": ("_upto", "_total")},
+    # One row per category: a bounded set of labels.
+    by_revenue = Window.orderBy(F.col("revenue").desc(), "category")
+    ordered = category_totals(frames).withColumns(
+        {
+            "rank": F.row_number().over(by_revenue).cast("long"),
+            "_upto": F.sum("revenue").over(by_revenue.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
+            "_total": F.sum("revenue").over(Window.partitionBy()),
+        }
     )
     return ordered.select(
         "category",

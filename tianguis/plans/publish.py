@@ -12,10 +12,8 @@ from tianguis.sources.warehouse import Star, register_views
 
 
 def rebuild(spark: SparkSession, staging: Mapping[str, DataFrame], folder: str) -> Star:
-    """Write the star, forget what Spark remembers of the folder, and register the reporting views over the new
-    files, so the same view names give the new totals."""
-    build_star(spark, staging, folder)
-    spark.catalog.refreshByPath(folder)
-    star = Star(**{name: spark.read.parquet(f"{folder}/{name}") for name in Star.__dataclass_fields__})
+    """Write the star and register the reporting views over the new build, so the same view names give the new totals.
+    A view that was planned before keeps reading the build it was planned over."""
+    star = build_star(spark, staging, folder)
     register_views(reporting_views(star))
     return star

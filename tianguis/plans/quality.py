@@ -15,7 +15,7 @@ from tianguis.operators.checks import (
     violations,
     with_verdict,
 )
-from tianguis.schemas import MAX_LENGTHS, REQUIRED_STAR_COLUMNS
+from tianguis.schemas import MAX_LENGTHS, REQUIRED_STAR_COLUMNS, ROW_RULES
 
 
 PRIMARY_KEYS = {
@@ -71,22 +71,14 @@ def star_info(star) -> DataFrame:
 
 def star_checks(star) -> DataFrame:
     """Nine checks; the item fact is read once for its five."""
-    score = F.col("review_score")
     # The labels.
     return with_verdict(
         stacked(
             [
-                violations(
-                    star.fact_order_items,
-                    {
-                        "07 | fact_order_items — customer_sk NULL": F.col("customer_sk").isNull(),
-                        "08 | fact_order_items — product_sk NULL": F.col("product_sk").isNull(),
-                        "09 | fact_order_items — seller_sk NULL": F.col("seller_sk").isNull(),
-                        "10 | fact_order_items — date_sk NULL": F.col("date_sk").isNull(),
-                        "11 | fact_order_items — price negativo": F.col("price") < 0,
-                    },
-                ),
-                violations(star.fact_reviews, {"12 | fact_reviews — score fuera de 1-5": ~score.between(1, 5)}),
+                *[
+                    violations(getattr(star, table), {label: F.expr(rule) for label, rule in rules.items()})
+                    for table, rules in ROW_RULES.items()
+                ],
                 duplicate_keys(star.dim_customers, ["customer_id"], "13 | dim_customers — IDs duplicados"),
                 duplicate_keys(star.dim_products, ["product_id"], "14 | dim_products  — IDs duplicados"),
                 duplicate_keys(star.dim_sellers, ["seller_id"], "15 | dim_sellers   — IDs duplicados"),

@@ -61,8 +61,14 @@ def category_pareto(star) -> DataFrame:
             F.coalesce("product_category_name_english", F.lit(NO_CATEGORY)).alias("categoria"), "revenue", "total_items"
         )
     )
-    ranked = with_ranks(per_category, {"revenue": "ranking"}, upto="_upto", total="_total").withColumns(
-        {c: F.col(c).cast("decimal(24,2)") for c in ("_upto", "_total")}
+    # One row per category: a bounded set of labels. The default frame gives equal values one running sum.
+    by_revenue = Window.orderBy(F.col("revenue").desc())
+    ranked = per_category.withColumns(
+        {
+            "ranking": F.rank().over(by_revenue).cast("long"),
+            "_upto": F.sum("revenue").over(by_revenue).cast("decimal(24,2)"),
+            "_total": F.sum("revenue").over(Window.partitionBy()).cast("decimal(24,2)"),
+        }
     )
     return ranked.select(
         "categoria",
@@ -79,29 +85,30 @@ def category_pareto(star) -> DataFrame:
 def seller_totals(star) -> DataFrame:
     """Per seller key: revenue, items, distinct orders, distinct products and first and last sale.
 
-    Two distinct counts in one aggregate would expand every fact row threefold. Instead the fact is reduced to
-    (seller, order), then to sellers with the count of orders; products are counted from their own distinct pairs.
+    E3: both distinct counts come from one reading of the fact. A row goes out once with its order and its amounts,
+    once with its product alone; the pairs collapse inside the task, then in one exchange, and are counted.
     """
-    per_order = star.fact_order_items.groupBy("seller_sk", "order_id").agg(
+    fact = star.fact_order_items
+    blank = {f.name: F.lit(None).cast(f.dataType) for f in fact.schema if f.name in ("order_id", "product_sk", "total_value", "date_sk")}
+
+    def out(*names: str):
+        return F.struct(*[(F.col(n) if n in names else blank[n]).alias(n) for n in blank])
+
+    both = fact.select("seller_sk", F.inline(F.array(out("order_id", "total_value", "date_sk"), out("product_sk"))))
+    pairs = both.groupBy("seller_sk", "order_id", "product_sk").agg(
         F.sum("total_value").alias("revenue"),
         F.count("total_value").alias("_n"),
         F.min("date_sk").alias("_first"),
         F.max("date_sk").alias("_last"),
     )
-    sales = per_order.groupBy("seller_sk").agg(
+    return pairs.groupBy("seller_sk").agg(
         F.sum("revenue").cast("decimal(20,2)").alias("revenue_total"),
         F.sum("_n").alias("_n"),
         F.count("order_id").alias("total_ordenes"),
+        F.count("product_sk").alias("productos_distintos"),
         F.min("_first").alias("_first"),
         F.max("_last").alias("_last"),
     )
-    products = (
-        star.fact_order_items.select("seller_sk", "product_sk")
-        .distinct()
-        .groupBy("seller_sk")
-        .agg(F.count("product_sk").alias("productos_distintos"))
-    )
-    return sales.join(products, "seller_sk")
 
 
 def seller_ranking(star) -> DataFrame:
@@ -121,6 +128,7 @@ def seller_ranking(star) -> DataFrame:
     )
     ranked = with_ranks(
         metrics,
+        "seller_id",
         {"revenue_total": "ranking_revenue", "total_ordenes": "ranking_ordenes", "ticket_promedio": "ranking_ticket"},
     )
     return ranked.withColumn("revenue_total", F.round("revenue_total", 2))
@@ -202,7 +210,8 @@ def category_satisfaction(star, min_rows: int = 50) -> DataFrame:
         .where(F.col("_pairs") >= min_rows)
         .withColumn("_mean", exact_mean(F.col("_score"), F.col("_pairs")))
     )
-    return with_ranks(per_category, {"_mean": "ranking_satisfaccion"}).select(
+    by_mean = Window.orderBy(F.col("_mean").desc())  # one row per category
+    return per_category.withColumn("ranking_satisfaccion", F.rank().over(by_mean).cast("long")).select(
         "categoria",
         F.round("_mean", 2).alias("score_promedio"),
         F.col("_pairs").alias("total_reviews"),

@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
+from functools import partial
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tianguis.functions.dates import date_key, sunday_zero
 from tianguis.functions.numbers import MONEY
 from tianguis.functions.text import blank_to_null, clean_city, clean_state
-from tianguis.operators.keys import first_by_key, keyed_first, lookup, with_arrival_key, with_surrogate_key
+from tianguis.operators.keys import first_by_key, keyed_first, lookup, with_row_key, with_surrogate_key
 from tianguis.schemas import FACT_KEYS, STAR_COLUMNS, conform
+from tianguis.sources.builds import new_build, publish
 from tianguis.sources.warehouse import Star, read_star, write_dimension, write_fact
 
 ORDER_TIMESTAMPS = [
@@ -161,17 +165,33 @@ def plan_star(staging: Mapping[str, DataFrame]) -> Star:
     """All eight tables as lazy plans."""
     dims = {name: build(staging) for name, build in DIMENSIONS.items()}
     facts = {
-        name: conform(with_arrival_key(build(staging, dims), FACT_KEYS[name]), STAR_COLUMNS[name])
+        name: conform(with_row_key(build(staging, dims), FACT_KEYS[name]), STAR_COLUMNS[name])
         for name, build in FACTS.items()
     }
     return Star(**dims, **facts)
 
 
+def _at_once(tasks: dict[str, Callable[[], dict[str, int]]]) -> dict[str, dict[str, int]]:
+    """Submit independent writes together; the first failure is raised when all have ended."""
+    with ThreadPoolExecutor(len(tasks)) as pool:
+        running = {name: pool.submit(inheritable_thread_target(task)) for name, task in tasks.items()}
+    return {name: done.result() for name, done in running.items()}
+
+
+def write_star(spark: SparkSession, staging: Mapping[str, DataFrame], folder: str) -> tuple[Star, dict[str, dict[str, int]]]:
+    """A4: build the star, and return it with the counts of its tables (A5, M1-M4), taken while they were written.
+
+    The dimensions are written, then the facts against the stored dimensions, into a build of its own. Readers of
+    ``folder`` see the new tables all at once when the last one is complete; a failure leaves the old ones as they were.
+    """
+    build = new_build(folder)
+    counts = _at_once({name: partial(write_dimension, name, plan(staging), build) for name, plan in DIMENSIONS.items()})
+    dims = {name: spark.read.parquet(f"{build}/{name}") for name in DIMENSIONS}
+    counts |= _at_once({name: partial(write_fact, name, plan(staging, dims), build) for name, plan in FACTS.items()})
+    publish(spark, folder, build)
+    return read_star(spark, folder), counts
+
+
 def build_star(spark: SparkSession, staging: Mapping[str, DataFrame], folder: str) -> Star:
-    """A4: write the dimensions, then the facts against the stored dimensions, and read back."""
-    for name, build in DIMENSIONS.items():
-        write_dimension(name, build(staging), folder)
-    dims = {name: spark.read.parquet(f"{folder}/{name}") for name in DIMENSIONS}
-    for name, build in FACTS.items():
-        write_fact(name, build(staging, dims), folder)
-    return read_star(spark, folder)
+    """A4: ``write_star`` without the counts."""
+    return write_star(spark, staging, folder)[0]

@@ -201,6 +201,38 @@ SEGMENT_COLUMNS = (
     "primera_venta date, ultima_venta date, segmento string, fecha_segmentacion timestamp"
 )
 
+# M2-M4: what is counted while a table is written. The labels.
+ROW_RULES: dict[str, dict[str, str]] = {
+    "fact_order_items": {
+        "07 | fact_order_items — customer_sk NULL": "customer_sk IS NULL",
+        "08 | fact_order_items — product_sk NULL": "product_sk IS NULL",
+        "09 | fact_order_items — seller_sk NULL": "seller_sk IS NULL",
+        "10 | fact_order_items — date_sk NULL": "date_sk IS NULL",
+        "11 | fact_order_items — price negativo": "price < 0",
+    },
+    "fact_reviews": {"12 | fact_reviews — score fuera de 1-5": "NOT review_score BETWEEN 1 AND 5"},
+}
+
+# Rules of the snapshot and segment tables: NOT NULL columns, text lengths, checks.
+SNAPSHOT_CHECKS = {
+    "required": ["periodo", "fecha_generacion", "ingresos_totales", "total_ordenes", "ticket_promedio"],
+    "longest": {"periodo": 7},
+    "checks": {"periodo": r"periodo RLIKE '^[0-9]{4}-[0-9]{2}$'"},
+}
+SEGMENT_CHECKS = {
+    "required": [
+        "seller_sk",
+        "seller_id",
+        "ingresos_total",
+        "total_ordenes",
+        "productos_distintos",
+        "segmento",
+        "fecha_segmentacion",
+    ],
+    "longest": {"seller_id": 50, "segmento": 1},
+    "checks": {"segmento": "segmento IN ('A', 'B', 'C', 'D')"},
+}
+
 # Number of rows each raw file of the published data set has.
 PUBLISHED_ROWS: dict[str, int] = {
     "customers": 99_441,

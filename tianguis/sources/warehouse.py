@@ -9,8 +9,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tianguis.functions.dates import month_key
-from tianguis.operators.keys import with_arrival_key
-from tianguis.schemas import FACT_KEYS, SEGMENT_COLUMNS, SNAPSHOT_COLUMNS, STAR_COLUMNS, conform
+from tianguis.operators.keys import with_row_key
+from tianguis.operators.rules import counted, enforced
+from tianguis.schemas import (
+    FACT_KEYS,
+    MAX_LENGTHS,
+    REQUIRED_STAR_COLUMNS,
+    ROW_RULES,
+    SEGMENT_CHECKS,
+    SEGMENT_COLUMNS,
+    SNAPSHOT_CHECKS,
+    SNAPSHOT_COLUMNS,
+    STAR_COLUMNS,
+    conform,
+)
+from tianguis.sources.builds import current, new_build, publish
 
 
 @dataclass(frozen=True)
@@ -31,32 +44,44 @@ def star_tables(star) -> dict[str, DataFrame]:
     return {f.name: getattr(star, f.name) for f in fields(Star)}
 
 
-def write_dimension(name: str, df: DataFrame, folder: str) -> None:
-    """A4: rebuild one dimension."""
-    conform(df, STAR_COLUMNS[name]).write.mode("overwrite").parquet(f"{folder}/{name}")
+def _guarded(name: str, df: DataFrame) -> DataFrame:
+    """NOT NULL columns and declared text lengths, enforced by the write itself."""
+    return enforced(df, name, REQUIRED_STAR_COLUMNS[name], MAX_LENGTHS[name])
 
 
-def write_fact(name: str, df: DataFrame, folder: str) -> None:
-    """A4: rebuild one fact from rows without a key.
+def write_dimension(name: str, df: DataFrame, folder: str) -> dict[str, int]:
+    """A4: write one dimension, and return its counts (``ROW_RULES``)."""
+    out, seen = counted(_guarded(name, conform(df, STAR_COLUMNS[name])), name, ROW_RULES.get(name, {}))
+    out.write.mode("overwrite").parquet(f"{folder}/{name}")
+    return seen.get
+
+
+def write_fact(name: str, df: DataFrame, folder: str) -> dict[str, int]:
+    """A4: write one fact from rows without a key, and return its counts (``ROW_RULES``).
 
     The item fact is laid out by purchase month and sorted by day, so a one-month report opens the partitions of
     the month and of the two it is compared with. The rebalance hint lets adaptive execution split a month that holds most of
     the rows and merge the small ones.
     """
     by_month = name == "fact_order_items"
+    keyed = with_row_key(df, FACT_KEYS[name])
     if by_month:
         month = month_key(F.col("date_sk"))
-        df = df.withColumn("purchase_month", month).hint("rebalance", "purchase_month")
-        df = df.sortWithinPartitions("purchase_month", "date_sk")
+        keyed = keyed.withColumn("purchase_month", month).hint("rebalance", "purchase_month")
+        keyed = keyed.sortWithinPartitions("purchase_month", "date_sk")
     columns = STAR_COLUMNS[name] + (", purchase_month int" if by_month else "")
-    writer = conform(with_arrival_key(df, FACT_KEYS[name]), columns).write.mode("overwrite")
+    out, seen = counted(_guarded(name, conform(keyed, columns)), name, ROW_RULES.get(name, {}))
+    writer = out.write.mode("overwrite")
     if by_month:
         writer = writer.partitionBy("purchase_month")
     writer.parquet(f"{folder}/{name}")
+    return seen.get
 
 
 def read_star(spark: SparkSession, folder: str) -> Star:
-    return Star(**{name: spark.read.parquet(f"{folder}/{name}") for name in STAR_COLUMNS})
+    """The current build of a star."""
+    build = current(spark, folder)
+    return Star(**{name: spark.read.parquet(f"{build}/{name}") for name in STAR_COLUMNS})
 
 
 def upsert_snapshots(snapshots: DataFrame, folder: str) -> None:
@@ -68,7 +93,7 @@ def upsert_snapshots(snapshots: DataFrame, folder: str) -> None:
         }
     )
     (
-        conform(with_defaults, SNAPSHOT_COLUMNS)
+        enforced(conform(with_defaults, SNAPSHOT_COLUMNS), "reporte_mensual_snapshot", **SNAPSHOT_CHECKS)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("periodo")
@@ -83,22 +108,29 @@ def read_snapshots(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def rewrite_segments(segments: DataFrame, folder: str) -> None:
-    """Replace the whole table with one set-based job."""
+    """Replace the whole table with one set-based job; readers see the old rows until all new ones are there."""
     stamped = segments.withColumns(
         {
             "fecha_segmentacion": F.current_timestamp(),
             **{c: F.coalesce(c, F.lit(0)) for c in ("ingresos_total", "total_ordenes", "productos_distintos")},
         }
     )
-    conform(stamped, SEGMENT_COLUMNS).write.mode("overwrite").parquet(folder)
+    spark, build = segments.sparkSession, new_build(folder)
+    rows = enforced(conform(stamped, SEGMENT_COLUMNS), "seller_segments", **SEGMENT_CHECKS)
+    rows.write.parquet(build)
+    publish(spark, folder, build)
 
 
 def read_segments(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.read.schema(SEGMENT_COLUMNS).parquet(folder)
+    return spark.read.schema(SEGMENT_COLUMNS).parquet(current(spark, folder))
 
 
 def publish_tables(spark: SparkSession, database: str, folder: str, names: list[str]) -> None:
-    """Make stored tables selectable as ``database.table`` from SQL."""
+    """Make the tables of the current build selectable as ``database.table`` from SQL.
+
+    A table is dropped and created anew; where readers must never meet that gap, use ``publish_views``.
+    """
+    folder = current(spark, folder)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     for name in names:
         spark.sql(f"DROP TABLE IF EXISTS {database}.{name}")
@@ -107,6 +139,14 @@ def publish_tables(spark: SparkSession, database: str, folder: str, names: list[
             spark.catalog.recoverPartitions(f"{database}.{name}")
 
 
+def publish_views(spark: SparkSession, database: str, folder: str, names: list[str]) -> None:
+    """Make ``database.table`` a view over the current build, each replaced in one step."""
+    folder = current(spark, folder)
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    for name in names:
+        spark.sql(f"CREATE OR REPLACE VIEW {database}.{name} AS SELECT * FROM parquet.`{folder}/{name}`")
+
+
 def register_views(views: Mapping[str, DataFrame]) -> None:
     """Make frames queryable by name from SQL.
 
