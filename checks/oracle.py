@@ -1158,4 +1158,6 @@ def _built(plain: dict[str, str]) -> dict[str, str]:
 
 def statements() -> dict[str, str]:
     plain = {**_views(), **_monthly(), **_star(), **_orders(), **_catalog(), **_service()}
-    return plain | _built(plain)
+    by_function = {f"{name}_function": plain[name] for name in ("segment_summary",)}
+    by_function["monthly_report_function"] = plain["monthly_report_one"]
+    return plain | _built(plain) | by_function

@@ -5,7 +5,7 @@ from decimal import Decimal
 
 from conftest import rows
 
-from tianguis.operators.keys import first_by_key, with_surrogate_key
+from tianguis.operators.keys import first_by_key, keyed_first, with_row_key, with_surrogate_key
 from tianguis.plans.star import dim_customers, plan_star
 
 
@@ -88,11 +88,28 @@ def test_keys_do_not_depend_on_the_order_of_rows(spark, raw):
     assert rows(dim_customers(raw), "customer_id") == rows(dim_customers(shuffled), "customer_id")
 
 
-def test_surrogate_keys_are_unique_and_positive(spark):
-    df = spark.range(5000).selectExpr("concat('k', id) AS k")
-    keys = [r[0] for r in with_surrogate_key(df, "k", "sk", buckets=16).select("sk").collect()]
-    assert len(set(keys)) == 5000 and min(keys) >= 1
-    assert max(keys) < 5000 * 1.5
+def test_surrogate_keys_are_dense(spark):
+    df = spark.range(5000).selectExpr("concat('k', id) AS k", "id AS v")
+    keyed = with_surrogate_key(df, "k", "sk", buckets=16)
+    assert sorted(r[0] for r in keyed.select("sk").collect()) == list(range(1, 5001))
+    twice = keyed_first(df.unionByName(df.selectExpr("k", "v + 1 AS v")), "k", "sk", buckets=16)
+    assert {tuple(r) for r in twice.collect()} == {tuple(r) for r in keyed.collect()}
+    assert keyed_first(df.limit(0), "k", "sk").count() == 0
+
+
+def test_row_keys_are_dense_and_repeatable(many_partitions):
+    df = many_partitions.range(3000).selectExpr("id % 1000 AS a", "CASE WHEN id < 900 THEN 'hot' ELSE concat('k', id % 7) END AS b")
+    first = rows(with_row_key(df, "sk", buckets=8), "sk")
+    again = rows(with_row_key(df.repartition(11, "b"), "sk", buckets=8), "sk")
+    assert first == again and [r["sk"] for r in first] == list(range(1, 3001))
+
+
+def test_no_window_over_all_rows_gives_keys(star):
+    for name in ("fact_order_items", "fact_reviews", "dim_orders"):
+        plan = getattr(star, name)._jdf.queryExecution().executedPlan().toString()
+        assert "monotonically_increasing_id" not in plan
+        windows = [line for line in plan.splitlines() if "Window [" in line and "windowspecdefinition(_bucket" not in line]
+        assert all("sum(_n" in line for line in windows)  # one row for each bucket
 
 
 def test_first_row_per_key_with_a_hot_key(spark):

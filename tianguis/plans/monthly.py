@@ -8,6 +8,7 @@ everything after that works on at most one row per calendar day.
 from __future__ import annotations
 
 import datetime as dt
+import warnings
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -16,7 +17,7 @@ from tianguis.functions.dates import month_key, period_label
 from tianguis.functions.display import money_text
 from tianguis.functions.numbers import exact_mean, growth
 from tianguis.plans.reporting import review_summary
-from tianguis.sources.warehouse import read_snapshots, upsert_snapshots
+from tianguis.sources.warehouse import upsert_snapshots
 
 NO_CATEGORY = "Sin Categoría"
 CURRENT, LAST_MONTH, LAST_YEAR = "actual", "mes_anterior", "anio_anterior"
@@ -260,19 +261,57 @@ def generate_monthly_report(star, folder: str, year: int, month: int) -> DataFra
     return _report_columns(figures)
 
 
-def refresh_snapshots(star, folder: str, first: tuple[int, int], last: tuple[int, int]) -> int:
-    """Recompute the months of a range, replace their stored rows, and return how many of
-    them had revenue.
+def snapshot_status(figures: DataFrame) -> DataFrame:
+    """K6: snapshot columns, and ``error``: what keeps a month from being stored, NULL if nothing does.
 
-    All months are one job. If it fails, no stored month has changed; the range can be run again, whole or in
-    parts, since each run replaces just the periods it computed.
+    A figure that its column cannot hold is an error of its month alone, not of the job.
+    """
+    limits = {
+        "ingresos_totales": ("ingresos", "decimal(15,2)"),
+        "ticket_promedio": ("ticket", "decimal(10,2)"),
+        "score_satisfaccion": ("score", "decimal(4,2)"),
+    }
+    fitted = {name: F.col(source).try_cast(kind) for name, (source, kind) in limits.items()}
+    faults = [
+        F.when(F.col(source).isNotNull() & fitted[name].isNull(), F.lit(f"{name} does not fit {kind}"))
+        for name, (source, kind) in limits.items()
+    ]
+    return figures.select(
+        "periodo",
+        fitted["ingresos_totales"].alias("ingresos_totales"),
+        F.col("ordenes").cast("bigint").alias("total_ordenes"),
+        fitted["ticket_promedio"].alias("ticket_promedio"),
+        *[f"top_categoria_{k}" for k in (1, 2, 3)],
+        *[f"top_vendedor_{k}" for k in (1, 2, 3)],
+        fitted["score_satisfaccion"].alias("score_satisfaccion"),
+        F.nullif(F.concat_ws("; ", *faults), F.lit("")).alias("error"),
+    )
+
+
+def refresh_months(star, folder: str, first: tuple[int, int], last: tuple[int, int]) -> DataFrame:
+    """Recompute the months of a range in one job, replace the stored rows of those without an error, and
+    return (periodo, ingresos_totales, error) for every month. The stored row of a month with an error stays as it was.
+
+    The figures are one row for each month, at most 1,212 by the range of the parameters.
     """
     validate_period(*first)
     validate_period(*last)
-    upsert_snapshots(monthly_snapshots(star, first, last), folder)
-    low, high = (f"{year:04d}-{month:02d}" for year, month in (first, last))
-    snapshots = read_snapshots(star.fact_order_items.sparkSession, folder)
-    return months_with_revenue(snapshots.where(F.col("periodo").between(low, high))).first()[0]
+    status = snapshot_status(month_figures(star, first, last))
+    status = status.sparkSession.createDataFrame(status.collect(), status.schema)
+    upsert_snapshots(status.where(F.col("error").isNull()).drop("error"), folder)
+    return status.select("periodo", "ingresos_totales", "error")
+
+
+def refresh_snapshots(star, folder: str, first: tuple[int, int], last: tuple[int, int]) -> int:
+    """``refresh_months``, with a warning for each month that had an error; returns how many of the months
+    had revenue. The range can be run again, whole or in parts, since each run replaces just the periods it computed.
+    """
+    months = refresh_months(star, folder, first, last).cache()
+    for row in months.where(F.col("error").isNotNull()).collect():
+        warnings.warn(f"{row['periodo']}: {row['error']}", stacklevel=2)
+    found = months_with_revenue(months.where(F.col("error").isNull())).first()[0]
+    months.unpersist()
+    return found
 
 
 def months_with_revenue(snapshots: DataFrame) -> DataFrame:
