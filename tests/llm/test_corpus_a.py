@@ -9,6 +9,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
@@ -240,24 +241,47 @@ def test_packing_documents(spark, tokenizer):
     check_pieces(entry.op6_packing(spark, FOLDER).collect(), texts, tokenizer)
 
 
-def test_packing_balances_cost():
+def plain_pack(lengths, rooms, cheapest):
+    """The rule of the packing with a search through all sequences; else each to the first with room, in order."""
+    left, spent, out = list(rooms), [0.0] * len(rooms), []
+    waiting = [(min(2048, n - at), d, at) for d, n in enumerate(lengths) for at in range(0, n, 2048)]
+    while waiting:
+        if cheapest:
+            waiting.sort(key=lambda w: (-w[0], w[1], w[2]))
+        n, d, at = waiting.pop(0)
+        fits = [s for s, room in enumerate(left) if room >= n]
+        usable = fits or [s for s, room in enumerate(left) if room]
+        s = min(usable, key=lambda s: (spent[s], s)) if cheapest else usable[0]
+        put = min(n, left[s])
+        out.append((d, at, put, s, rooms[s] - left[s], bool(fits)))
+        left[s] -= put
+        spent[s] += packing.cost(put)
+        if put < n:
+            waiting.append((n - put, d, at + put))
+    return out
+
+
+def test_packing_takes_the_cheapest_sequence_and_cuts_only_for_want_of_room():
     rng = random.Random(8)
     lengths = [int(rng.lognormvariate(5.5, 1)) + 1 for _ in range(2000)]
+    rooms = packing.capacities(sum(lengths))
     pieces = packing.pack(lengths)
-    room = packing.capacities(sum(lengths))
-    full = [0.0] * len(room)
-    for _, _, n, s, _ in pieces:
-        full[s] += packing.cost(n)
-    costs = [c for c, r in zip(full, room, strict=True) if r == 2048]
-    in_order, at = [0.0], 0
-    for n in lengths:  # the same documents one after the other
-        while n:
-            part = min(n, 2048 - at)
-            in_order[-1] += packing.cost(part)
-            at, n = (at + part) % 2048, n - part
-            if not at:
-                in_order.append(0.0)
-    assert np.std(costs) < 0.6 * np.std(in_order[:-1])
+    plain = plain_pack(lengths, rooms, cheapest=True)
+    assert pieces == [p[:5] for p in plain]
+    cut = {d for d, at, n, *_, whole in plain if not whole}
+    assert all(len([p for p in pieces if p[0] == d]) == 1 for d, n in enumerate(lengths) if n <= 2048 and d not in cut)
+
+    def costs(found, skip=()):
+        full = [0.0] * len(rooms)
+        for p in found:
+            full[p[3]] += packing.cost(p[2])
+        return np.std([c for s, (c, r) in enumerate(zip(full, rooms, strict=True)) if r == 2048 and s not in skip])
+
+    in_order = plain_pack(lengths, rooms, cheapest=False)
+    assert costs(pieces) < costs(in_order)
+    # A document over half a sequence makes its sequence dear whatever is put beside it; the others are nearly equal.
+    long = [{p[3] for p in found if p[2] > 1024} for found in (pieces, in_order)]
+    assert costs(pieces, long[0]) < 0.5 * costs(in_order, long[1])
     assert list(steps([5, 5, 5, 100, 1], 10)) == [(0, 2), (2, 3), (3, 4), (4, 5)]
 
 
@@ -297,6 +321,40 @@ def test_mixing(spark):
         total = sum(used.values())
         for s in mass:
             assert used[s] / total == pytest.approx(weight[s], abs=0.01)
-        assert len(blocks) == max(1, round(total / 2000)) and all(b["big"] > 0 for b in blocks.values())
+        assert len(blocks) == max(1, round(total / 2000))
+        for s, m in mass.items():
+            for b in range(len(blocks)) if m else ():
+                assert abs(blocks[b][s] - round(epochs[s] * m) / len(blocks)) <= longest
     assert mixing.mix(frame.limit(0)).count() == 0
     assert isinstance(mixing.mix(frame).schema["weight"].dataType, T.StringType)
+
+
+def test_mixing_places_every_row_by_brute_force(spark):
+    """Epochs and blocks of every use, from the permutation keys alone."""
+    rng = random.Random(4)
+    rows = [(i % 70, "w " * rng.randint(0, 9), rng.choice(["a", "a", "a", "b", None])) for i in range(400)]
+    rows += [(7, "same text here", "c")] * 300 + [(8, "other", "d")]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, source string").repartition(5)
+    target = mixing.Target(repeats=1.5, block_tokens=100)
+    keys = frame.select("source", "doc_id", "text", mixing.permutation_key().alias("pick"), F.xxhash64("text").alias("hash")).collect()
+    streams = defaultdict(list)
+    for k in sorted(keys, key=lambda k: (k.pick, k.doc_id, k.hash)):
+        streams[k.source].append((k.doc_id, k.text, len(k.text.split())))
+    found = mixing.mix(frame, target).collect()
+    epochs = {r.source: r["__epochs"] for r in found}
+    assert max(epochs.values()) == pytest.approx(1.5)
+    mass = {s: sum(n for *_, n in rows) for s, rows in streams.items()}
+    quota = {s: int(epochs[s] * m + 0.5) for s, m in mass.items()}
+    blocks = max(1, round(sum(quota.values()) / 100))
+    expected = Counter()
+    for s, stream in streams.items():
+        for epoch in range(1, quota[s] // mass[s] + 2):
+            before = 0
+            for doc_id, text, n in stream:
+                place = (epoch - 1) * mass[s] + before
+                if epoch <= quota[s] // mass[s] or place < quota[s]:
+                    expected[s, doc_id, text, epoch, min(place * blocks // quota[s], blocks - 1)] += 1
+                before += n
+    assert Counter((r.source, r.doc_id, r.text, r["__epoch"], r["__block"]) for r in found) == expected
+    copies = sum(r.source == "c" for r in found)
+    assert 0 <= 3 * copies - quota["c"] < 3  # equal rows are used up to the quota, no further

@@ -99,7 +99,7 @@ class Formatted:
     loss_chars: int = 0
     turns: object = field(default_factory=hashlib.sha256)
     loss: object = field(default_factory=hashlib.sha256)
-    spans: list[tuple[int, int]] = field(default_factory=list)
+    spans: list[tuple[int, int]] | None = field(default_factory=list)
 
     def add(self, role: str, text: str) -> str:
         rendered, back = render_turn(role, text)
@@ -108,16 +108,15 @@ class Formatted:
         if back.role == LOSS_ROLE:
             self.loss.update(back.text.encode())
             self.loss_chars += len(back.text)
-            self.spans.append((self.chars + back.start, self.chars + back.end))
+            if self.spans is not None:
+                self.spans.append((self.chars + back.start, self.chars + back.end))
         self.chars += len(rendered)
         return rendered
 
 
 PARTS = "conv_id bigint, part bigint, rendered string"
-DIGESTS = (
-    "conv_id bigint, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, formatted_chars bigint,"
-    " loss_spans array<struct<start: bigint, end: bigint>>"
-)
+DIGESTS = "conv_id bigint, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, formatted_chars bigint"
+SPANS = ", loss_spans array<struct<start: bigint, end: bigint>>"
 
 
 def _ordered(rows: DataFrame) -> DataFrame:
@@ -126,15 +125,15 @@ def _ordered(rows: DataFrame) -> DataFrame:
     return rows.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text").select("conv_id", "role", "text")
 
 
-def digest_conversations(rows: DataFrame) -> DataFrame:
+def digest_conversations(rows: DataFrame, spans: bool = True) -> DataFrame:
     """A row for each conv_id of ``rows`` (conv_id, turn, role, text; others are ignored): digests of the turns
-    and of the text under the loss mask, both read back from the rendered turns, the rendered length, and the
-    mask as spans of code points of the rendered conversation.
+    and of the text under the loss mask, both read back from the rendered turns, the rendered length, and, with
+    ``spans``, the mask as spans of code points of the rendered conversation.
 
     Turns go in the order of turn, then role, then text; a null turn comes first, null roles and texts count
     as empty, a null conv_id is a conversation of its own, and repeated rows are turns of their own. A task
-    streams over turns: of a conversation it holds digests and spans, never the texts. An empty table gives
-    an empty result.
+    streams over turns: of a conversation it holds digests, never the texts; with ``spans`` also a span for each turn
+    under the mask. An empty table gives an empty result.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -142,7 +141,6 @@ def digest_conversations(rows: DataFrame) -> DataFrame:
         done: list[Formatted] = []
 
         def out():
-            spans = [[{"start": a, "end": b} for a, b in f.spans] for f in done]
             kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
             columns = [
                 pa.array([f.conv_id for f in done], pa.int64()),
@@ -151,9 +149,11 @@ def digest_conversations(rows: DataFrame) -> DataFrame:
                 pa.array([f.loss_chars for f in done], pa.int64()),
                 pa.array([f.loss.hexdigest() for f in done], pa.string()),
                 pa.array([f.chars for f in done], pa.int64()),
-                pa.array(spans, kind),
             ]
-            names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars", "loss_spans"]
+            names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
+            if spans:
+                columns.append(pa.array([[{"start": a, "end": b} for a, b in f.spans] for f in done], kind))
+                names.append("loss_spans")
             return pa.RecordBatch.from_arrays(columns, names)
 
         for batch in batches:
@@ -161,7 +161,7 @@ def digest_conversations(rows: DataFrame) -> DataFrame:
                 if current is None or conv_id != current.conv_id:
                     if current is not None:
                         done.append(current)
-                    current = Formatted(conv_id)
+                    current = Formatted(conv_id, spans=[] if spans else None)
                 current.add(role, text)
             if done:
                 yield out()
@@ -170,7 +170,7 @@ def digest_conversations(rows: DataFrame) -> DataFrame:
             done.append(current)
             yield out()
 
-    return _ordered(rows).mapInArrow(run, DIGESTS)
+    return _ordered(rows).mapInArrow(run, DIGESTS + SPANS * spans)
 
 
 def format_conversations(rows: DataFrame) -> DataFrame:

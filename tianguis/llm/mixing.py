@@ -3,7 +3,7 @@
 Every source has a share p of the tokens. Its weight in the mix is p ** x over the sum of these, where x is
 found by bisection: 1 keeps the shares, 0 makes all sources equal. The target is an entropy of the mix (as a
 part of the largest possible), or a limit on how often a source is repeated. The weights become budgets of
-tokens, and the budgets become blocks: each block is a permutation of a part of every source's stream.
+tokens, and the budgets become blocks: each block is a permutation of an equal part of every source's stream.
 """
 
 from __future__ import annotations
@@ -106,49 +106,55 @@ def weights(light: DataFrame, target: Target) -> DataFrame:
     return stored(out.withColumn("rest", F.col("quota") - F.col("full") * F.col("tokens")))
 
 
+def permutation_key(seed: int = SEED):
+    """The place of a row in the permutation of its source."""
+    return F.xxhash64(F.lit(seed), "doc_id", F.coalesce(F.col("source"), F.lit("")), F.length("text"))
+
+
 def mix(docs: DataFrame, target: Target | None = None, seed: int = SEED) -> DataFrame:
     """The columns of ``docs`` (doc_id, text and source needed) for every use of a row in the mix, with
     __source_weight, __epochs, __epoch, __block, __slot.
 
     Epochs before the last hold every row of their source once; the last holds the first rows of the source's
-    permutation, up to the row that reaches the quota. A row's place in the stream of its source is its epoch
-    and its permutation key, so it falls into the block that holds this part of every source; the order inside
-    a block is __slot. Tokens are words parted by white space. A null source is a source of its own; null and
-    empty texts have no tokens and count in whole epochs; repeated rows are rows of their own; an empty table
-    gives an empty mix. Names that start with two underscores are reserved for the result.
+    permutation, up to the row that reaches the quota. A row's place in the stream of its source is the number of
+    tokens before it, over all epochs. Every block has the same budget of tokens of a source and takes the rows that
+    begin within it, so it holds its budget up to one row; the order inside a block is __slot. Tokens are words parted
+    by white space. A null source is a source of its own; null and empty texts have no tokens and count in whole
+    epochs; repeated rows are rows of their own, each with its own place; an empty table gives an empty mix. Names
+    that start with two underscores are reserved for the result.
+
+    Places are summed inside one of 4,096 ranges of permutation keys of a source, and added to the sums of the
+    ranges before, so no source is ordered as a whole.
     """
     target = target or Target()
-    pick = F.xxhash64(F.lit(seed), "doc_id", F.coalesce(F.col("source"), F.lit("")), F.length("text"))
+    pick = permutation_key(seed)
     key = F.concat(F.when(F.col("source").isNull(), "n").otherwise("s"), F.coalesce("source", F.lit("")))
     tokens = F.coalesce(F.regexp_count("text", F.lit(r"\S+")), F.lit(0)).cast("bigint")
-    light = stored(docs.select("doc_id", key.alias("source_key"), pick.alias("pick"), tokens.alias("tokens")))
-    plan = weights(light, target)
-    count = plan.count()
-
     part = F.shiftright("pick", 52) + RANGES // 2
-    ranges = light.groupBy("source_key", part.alias("part")).agg(F.sum("tokens").alias("tokens"))
+    light = docs.select(key.alias("source_key"), pick.alias("pick"), tokens.alias("tokens"))
+    ranges = stored(light.groupBy("source_key", part.alias("part")).agg(F.sum("tokens").alias("tokens")))
+    plan = weights(ranges.select("source_key", "tokens"), target)
+    facts = plan.agg(F.count("*").alias("sources"), F.sum("quota").alias("budget")).first()
+    blocks = max(1, round((facts["budget"] or 0) / target.block_tokens))
+
     before = F.sum("tokens").over(Window.partitionBy("source_key").orderBy("part")) - F.col("tokens")
-    ranges = ranges.withColumn("before", before).join(plan.select("source_key", "rest"), "source_key")
-    border = ranges.where("rest > before and rest <= before + tokens").select("source_key", "part", "before", "rest")
-    inside = light.withColumn("part", part)
-    inside = _joined(inside, border.withColumnRenamed("part", "border"), count).where("part = border")
-    order = Window.partitionBy("source_key").orderBy("pick", "doc_id")
-    inside = inside.withColumn("seen", F.sum("tokens").over(order.rowsBetween(Window.unboundedPreceding, -1)))
-    reach = inside.where("before + coalesce(seen, 0) < rest").groupBy("source_key").agg(F.max("pick").alias("reach"))
-    plan = stored(plan.join(reach, "source_key", "left"))
-
-    budget = plan.agg(F.sum("quota")).first()[0] or 0
-    blocks = max(1, round(budget / target.block_tokens))
-    uses = F.col("full") + F.coalesce((F.col("pick") <= F.col("reach")).cast("int"), F.lit(0))
-    rows = docs.select(F.struct("*").alias("row"), "doc_id", key.alias("source_key"), pick.alias("pick"))
-    rows = _joined(rows, plan.select("source_key", "weight", "epochs", "full", "reach"), count).where(uses > 0)
-    rows = rows.withColumn("__epoch", F.explode(F.sequence(F.lit(1), uses.cast("int"))))
-    place = (F.col("__epoch") - 1 + F.col("pick") / F.lit(2.0**64) + 0.5) / F.col("epochs")
+    ranges = ranges.select("source_key", "part", before.alias("before"))
+    rows = docs.select(
+        F.struct("*").alias("row"), "doc_id", key.alias("source_key"), pick.alias("pick"), tokens.alias("row_tokens"), F.xxhash64("text").alias("hash")
+    ).withColumn("part", part)
+    order = Window.partitionBy("source_key", "part").orderBy("pick", "doc_id", "hash").rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("seen", F.coalesce(F.sum("row_tokens").over(order), F.lit(0))).join(ranges, ["source_key", "part"])
+    rows = _joined(rows, plan.select("source_key", "tokens", "weight", "epochs", "full", "rest", "quota"), facts["sources"])
+    start = F.col("before") + F.col("seen")
+    uses = F.col("full") + (start < F.col("rest")).cast("int")
+    rows = rows.where(uses > 0).withColumn("__epoch", F.explode(F.sequence(F.lit(1), uses.cast("int"))))
+    place = ((F.col("__epoch") - 1) * F.col("tokens") + start).cast("decimal(28,0)")
+    inside = F.least(F.floor(place * blocks / F.col("quota").cast("decimal(20,0)")).cast("bigint"), F.lit(blocks - 1).cast("bigint"))
     return rows.select(
         "row.*",
         F.col("weight").alias("__source_weight"),
         F.col("epochs").alias("__epochs"),
         "__epoch",
-        F.least(F.greatest(F.floor(place * blocks), F.lit(0)), F.lit(blocks - 1)).alias("__block"),
+        F.when(F.col("quota") > 0, inside).otherwise(F.pmod("pick", F.lit(blocks))).alias("__block"),
         F.xxhash64(F.lit(seed + 1), "__epoch", "pick").alias("__slot"),
     )

@@ -1,7 +1,7 @@
 """Packing tokens into sequences of equal attention cost.
 
 A piece of n tokens costs n * LINEAR + n * n * QUADRATIC. Documents go, longest first, to the sequence with
-the lowest cost so far that still has room; where none has room for a whole piece, the piece is cut.
+the lowest cost so far that has room for them; a document that no sequence has room for is cut.
 """
 
 from __future__ import annotations
@@ -27,8 +27,8 @@ LINEAR, QUADRATIC = 1.0, 1.0 / 4096
 BLOCK_TOKENS = 1 << 19
 #: Words, and parts of texts between white space, whose tokens a worker keeps; others are tokenized each time.
 CACHED_WORDS = 500_000
-#: Sequences looked at for one that takes a piece whole.
-LOOKS = 16
+#: After every sequence.
+NOTHING = (float("inf"), -1, -1)
 
 # The characters on which the tokenizer's normalizer (NFC, white space, lower case) is known to do no
 # more than lower-case and part at white space; the letters and numbers among them; its word pattern over these.
@@ -121,36 +121,62 @@ def cost(n: int) -> float:
     return n * LINEAR + n * n * QUADRATIC
 
 
+class Open:
+    """Sequences by the room they have left: the cheapest of those with enough of it, found and changed in the
+    logarithm of the sequence's length."""
+
+    def __init__(self, most: int):
+        self.size = 1 << most.bit_length()
+        self.by_room: list[list] = [[] for _ in range(self.size)]
+        self.least: list = [NOTHING] * (2 * self.size)  # a tree over rooms: the least (cost, sequence, room) below
+
+    def _changed(self, room: int) -> None:
+        node = room + self.size
+        self.least[node] = self.by_room[room][0] if self.by_room[room] else NOTHING
+        while node > 1:
+            node >>= 1
+            self.least[node] = min(self.least[2 * node], self.least[2 * node + 1])
+
+    def put(self, cost_so_far: float, s: int, room: int) -> None:
+        heapq.heappush(self.by_room[room], (cost_so_far, s, room))
+        self._changed(room)
+
+    def take(self, need: int) -> tuple[float, int, int] | None:
+        """The cheapest sequence with room for ``need`` tokens, the first of equals, taken out; None if there is none."""
+        found, low, high = NOTHING, need + self.size, 2 * self.size
+        while low < high:
+            if low & 1:
+                found, low = min(found, self.least[low]), low + 1
+            low, high = low >> 1, high >> 1
+        if found is NOTHING:
+            return None
+        heapq.heappop(self.by_room[found[2]])
+        self._changed(found[2])
+        return found
+
+
 def pack(lengths: list[int], sequence: int = SEQUENCE) -> list[tuple[int, int, int, int, int]]:
     """(document, start, length, sequence, offset) of pieces that fill the sequences of ``capacities`` exactly.
 
-    Ties are broken by position. Every document is first cut into pieces of half a sequence at most: a piece as long
-    as a sequence costs more than any sequence of short ones, which nothing put beside it could balance.
+    Documents go longest first, ties by position, each to the cheapest sequence that has room for it. Only a document
+    that is longer than a sequence is cut beforehand, into whole sequences and a rest; another one only if no
+    sequence has room for it, and then it fills the cheapest one.
     """
-    rooms, most = capacities(sum(lengths), sequence), max(1, sequence // 2)
-    queue = [(-min(most, n - at), d, at) for d, n in enumerate(lengths) for at in range(0, n, most)]
+    rooms = capacities(sum(lengths), sequence)
+    queue = [(-min(sequence, n - at), d, at) for d, n in enumerate(lengths) for at in range(0, n, sequence)]
     heapq.heapify(queue)
-    open_ = [(0.0, s) for s in range(len(rooms))]
-    used, out = [0] * len(rooms), []
+    open_ = Open(sequence)
+    for s, room in enumerate(rooms):
+        open_.put(0.0, s, room)
+    out = []
     while queue:
         negative, d, at = heapq.heappop(queue)
-        n, skipped, chosen = -negative, [], None
-        while open_ and len(skipped) < LOOKS:
-            now, s = heapq.heappop(open_)
-            if rooms[s] - used[s] >= n:
-                chosen = (now, s)
-                break
-            skipped.append((now, s))
-        if chosen is None:
-            chosen = skipped.pop(0)
-        for x in skipped:
-            heapq.heappush(open_, x)
-        now, s = chosen
-        put = min(n, rooms[s] - used[s])
-        out.append((d, at, put, s, used[s]))
-        used[s] += put
-        if used[s] < rooms[s]:
-            heapq.heappush(open_, (now + cost(put), s))
+        n = -negative
+        spent, s, room = open_.take(n) or open_.take(1)
+        put = min(n, room)
+        out.append((d, at, put, s, rooms[s] - room))
+        if put < room:
+            open_.put(spent + cost(put), s, room - put)
         if put < n:
             heapq.heappush(queue, (put - n, d, at + put))
     return out

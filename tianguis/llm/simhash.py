@@ -15,7 +15,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tianguis.llm.common import stored, texts_of
@@ -41,17 +41,18 @@ def shingle_fingerprint(text: str, shingle: int = 3) -> bytes:
     return np.packbits(2 * ones > count).tobytes()
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """(doc_id, fp) of every row of ``docs`` (doc_id, text); fp is the fingerprint as a signed 64-bit integer.
+def fingerprints(docs: DataFrame, shingle: int = 3, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """``keep`` and fp of every row of ``docs`` (``keep`` and text); fp is the fingerprint as a signed 64-bit integer.
     Null text counts as empty: fingerprint zero."""
+    kept = docs.select(*[F.col(c).cast("bigint").alias(c) for c in keep], "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = b"".join(shingle_fingerprint(t, shingle) for t in texts_of(batch.column(1)))
+            found = b"".join(shingle_fingerprint(t, shingle) for t in texts_of(batch.column(len(keep))))
             fps = np.frombuffer(found, ">i8").astype(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(fps)], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], pa.array(fps)], [*keep, "fp"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, fp bigint")
+    return kept.mapInArrow(run, ", ".join(f"{c} bigint" for c in (*keep, "fp")))
 
 
 def key_masks(distance: int, bits: int = 64) -> list[int]:
@@ -229,3 +230,27 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 3, large_
     return marked.join(classes, "fp", "left").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+def distinct_documents(docs: DataFrame, shingle: int = 3, distance: int = 3, large_group: int = LARGE_GROUP) -> DataFrame:
+    """One row of each group of near copies in ``docs`` (doc_id and text needed), with all its columns.
+
+    Rows are grouped by the links of their fingerprints, whatever their ids, so texts without a link are never taken
+    for copies because an id repeats, and rows without a doc_id are grouped like any other. The row with the smallest
+    doc_id stays, null ids last, ties by the text's hashes; of rows that repeat id and text one stays. An empty table
+    gives an empty result. Names that start with two underscores are reserved.
+    """
+    text = F.coalesce("text", F.lit(""))
+    marks = {"__id": F.col("doc_id").cast("bigint"), "__one": F.xxhash64(text), "__two": F.xxhash64(F.lit(SEED), text)}
+    ident = list(marks)
+    marked = stored(fingerprints(docs.select(*[c.alias(n) for n, c in marks.items()], "text"), shingle, tuple(ident)))
+    nodes = marked.select(F.col("fp").alias("node"), "fp").distinct()
+    roots = connected_components(links_within(nodes, distance, large_group))
+    groups = marked.join(roots, F.col("fp") == F.col("node"), "left").withColumn("group", F.coalesce("root", "fp"))
+    first = Window.partitionBy("group").orderBy(F.col("__id").asc_nulls_last(), "__one", "__two")
+    kept = groups.withColumn("n", F.row_number().over(first)).where("n = 1").select(*[F.col(c).alias(f"k{c}") for c in ident])
+    rows = docs.select(F.struct("*").alias("row"), *[c.alias(n) for n, c in marks.items()])
+    same = [F.col(c).eqNullSafe(F.col(f"k{c}")) for c in ident]
+    once = Window.partitionBy(*ident).orderBy("__one")
+    found = rows.join(kept, same[0] & same[1] & same[2]).withColumn("n", F.row_number().over(once)).where("n = 1")
+    return found.select("row.*")

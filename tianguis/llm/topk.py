@@ -13,13 +13,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tianguis.llm.common import stored
 
 SCALE = 1024
 #: Candidates and queries of one block; a task holds a block of each, and scores for SLICE queries.
 CANDIDATES, QUERIES, SLICE = 1 << 14, 1 << 10, 16
+#: Blocks of candidates are dealt into so many slots, and every query block goes to each slot in use.
+SLOTS = 4096
+#: The largest score.
+LIMIT = (1 << 63) - 1
 
 BLOCK = "block bigint, rows binary, ids binary, lengths binary, terms binary, weights binary"
 
@@ -27,7 +30,7 @@ BLOCK = "block bigint, rows binary, ids binary, lengths binary, terms binary, we
 def vectors(embeddings: DataFrame, scale: int = SCALE) -> DataFrame:
     """(row, vec_id, weights): floor(scale * x) of every component, for rows whose vector is all finite.
 
-    row numbers rows, since vec_id may repeat. Values beyond 64 bits are held at its limits.
+    row numbers rows, since vec_id may repeat. Components beyond 64 bits are held at its limits, as scores are.
     """
     x = F.col("embedding").cast("array<double>")
     finite = F.forall(x, lambda v: v.isNotNull() & (F.abs(v) < float("inf")))  # NaN is the largest of all
@@ -101,6 +104,12 @@ def best(scores: np.ndarray, ids: np.ndarray, own: np.ndarray, k: int) -> np.nda
     return take[np.lexsort((ids[take], ~scores[take]))][:k]
 
 
+def beyond(q: dict[str, np.ndarray], c: dict[str, np.ndarray]) -> bool:
+    """Whether a score of these blocks might not fit 64 bits: sums wrap, and only the true value tells."""
+    most = [float(np.abs(x["weights"].astype(float)).max(initial=0.0)) for x in (q, c)]
+    return most[0] * most[1] * float(q["lengths"].max(initial=0)) >= 2.0**62
+
+
 FOUND = "query_row bigint, query_id bigint, vec_id bigint, score bigint"
 
 
@@ -112,12 +121,13 @@ def _score(k: int):
                 found, starts, rows, weights = postings(c["lengths"], c["terms"], c["weights"])
                 full = dense(starts, rows, weights, len(c["ids"]))
                 ends = np.cumsum(q["lengths"])
+                large = beyond(q, c)
                 out = []
                 for i in range(0, len(ends), SLICE):
                     last = min(i + SLICE, len(ends))
                     scores = np.zeros((last - i, len(c["ids"])), np.int64)
                     for j in range(i, last):
-                        line = scores[j - i]
+                        line, rough = scores[j - i], np.zeros(len(c["ids"]) if large else 0)
                         terms = q["terms"][ends[j] - q["lengths"][j] : ends[j]]
                         slot = np.searchsorted(found, terms)
                         for t, s, w in zip(terms, slot, q["weights"][ends[j] - q["lengths"][j] : ends[j]], strict=True):
@@ -127,6 +137,11 @@ def _score(k: int):
                                     line += w * full[s]
                                 else:
                                     line[rows[a:b]] += w * weights[a:b]
+                                if large:
+                                    rough[rows[a:b]] += float(w) * weights[a:b]
+                        if large:  # a sum that wrapped on the way is right again at its end, unless the end is beyond
+                            line[rough >= 2.0**63] = LIMIT
+                            line[rough <= -(2.0**63)] = -LIMIT
                         top = best(line, c["ids"], c["rows"] == q["rows"][j], k)
                         out.append((np.full(len(top), q["rows"][j]), np.full(len(top), q["ids"][j]), c["ids"][top], line[top]))
                 if out:
@@ -140,20 +155,21 @@ def top_k(embeddings: DataFrame, k: int = 10, every: int = 100, scale: int = SCA
     """(query_id, rank, vec_id, score): for each row whose vec_id is divisible by ``every``, the k rows of highest
     inner product but itself; all, if there are fewer.
 
-    Scores are exact 64-bit integers, ties go to the smaller vec_id. Rows with a null id, a null vector, or a
+    Scores are exact 64-bit integers, held at the limits of these where they would be beyond; ties go to the smaller vec_id. Rows with a null id, a null vector, or a
     null or non-finite component take no part; an empty vector scores 0 with all; missing components count as
     0. A row that repeats a query's id is a query and a candidate of its own. An empty table gives an empty
-    result. The driver sees the number of each block of candidates alone. Queries meet all rows block by block: what is shuffled is a block of queries for each block of
-    candidates, and k results for each query and block.
+    result. Queries meet all rows block by block: what is shuffled is a block of queries for each slot of candidate
+    blocks, and k results for each query and block.
     """
     rows = stored(vectors(embeddings, scale))
     candidates = rows.mapInArrow(_blocks(CANDIDATES), BLOCK)
     queries = rows.where(F.col("vec_id") % every == 0).mapInArrow(_blocks(QUERIES), BLOCK)
     candidates = stored(candidates.toDF("c_block", *[f"c_{n}" for n in ("rows", "ids", "lengths", "terms", "weights")]))
     queries = queries.toDF("q_block", *[f"q_{n}" for n in ("rows", "ids", "lengths", "terms", "weights")])
-    blocks = [r.c_block for r in candidates.select("c_block").collect()]  # a number for each block of candidates
-    spread = queries.withColumn("c_block", F.explode(F.lit(blocks).cast(T.ArrayType(T.LongType()))))
-    pairs = candidates.join(spread, "c_block").select(*[f"{s}_{n}" for s in "qc" for n in ("rows", "ids", "lengths", "terms", "weights")])
+    candidates = candidates.withColumn("slot", F.pmod(F.xxhash64("c_block"), F.lit(SLOTS)))
+    used = candidates.agg(F.collect_set("slot")).scalar()  # at most SLOTS numbers
+    spread = queries.withColumn("slot", F.explode(used))
+    pairs = candidates.join(spread, "slot").select(*[f"{s}_{n}" for s in "qc" for n in ("rows", "ids", "lengths", "terms", "weights")])
     scored = pairs.mapInArrow(_score(k), FOUND)
     order = Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id")
     return scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
