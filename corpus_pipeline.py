@@ -8,7 +8,7 @@ reads it again, so a lost executor never costs more than the stage at work.
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tianguis.llm import language, mixing, packing, simhash, suffix_array
@@ -28,15 +28,10 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays: the one with the smallest doc_id. Of rows that repeat that
-    doc_id, those with the smallest text hash stay once; rows without a doc_id stay."""
+    """One document of each group of near copies stays: the one with the smallest doc_id, null ids last. Rows are
+    grouped by their fingerprints alone, so unrelated texts under one id both stay, and copies without an id go."""
     small_batches(spark)
-    groups = simhash.near_duplicates(docs.select("doc_id", "text"))
-    keep = groups.where("doc_id = component_id").select(F.col("doc_id").alias("kept_id")).distinct()
-    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("hash"))
-    order = Window.partitionBy("kept_id").orderBy("hash")
-    once = rows.join(keep, F.col("id") == F.col("kept_id")).withColumn("n", F.row_number().over(order)).where("n = 1")
-    return once.select("row.*").union(rows.where("id is null").select("row.*"))
+    return simhash.distinct_documents(docs)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
