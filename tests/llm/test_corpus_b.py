@@ -15,7 +15,7 @@ duckdb = pytest.importorskip("duckdb")
 from pyspark.sql import functions as F  # noqa: E402
 
 from checks.compare import TABLES, difference  # noqa: E402
-from tianguis.llm import chat, entry, fingerprint, licenses, topk, url_filter  # noqa: E402
+from tianguis.llm import chat, entry, fingerprint, license_texts, licenses, topk, url_filter  # noqa: E402
 
 FOLDER = "/root/testdata/sf0.001"
 ODD = [None, "", " \n", "a", "ab", "abc", "é𝔘", "same text", "same text", "long " * 20000]
@@ -30,12 +30,13 @@ def docs(spark, texts):
 @pytest.mark.parametrize("name", sorted(entry.SQL))
 def test_query_matches_its_sql(spark, name):
     connection = duckdb.connect()
-    for table in (*TABLES, "embeddings", "conversations"):
+    for table in (*TABLES, "embeddings", "conversations", "documents", "labels"):
         connection.sql(f"CREATE OR REPLACE VIEW {table} AS SELECT * FROM '{FOLDER}/{table}.parquet'")
     query, sql = entry.QUERIES[name], entry.SQL[name]
-    if name == "op9_top_k":  # the comparison knows bigint only
-        query = lambda s, d: entry.op9_top_k(s, d).withColumn("rank", F.col("rank").cast("bigint"))
-        sql = f"SELECT * REPLACE (CAST(rank AS BIGINT) AS rank) FROM ({sql})"
+    small = {"op9_top_k": "rank", "op12_filter_audit": "step"}.get(name)
+    if small:  # the comparison knows bigint only
+        query = lambda s, d: entry.QUERIES[name](s, d).withColumn(small, F.col(small).cast("bigint"))
+        sql = f"SELECT * REPLACE (CAST({small} AS BIGINT) AS {small}) FROM ({sql})"
     assert difference(spark, connection, name, query, sql, FOLDER) == ""
 
 
@@ -318,6 +319,70 @@ def test_every_alternative_is_found_as_without_keywords(spark):
     assert found[0][5] == "mit" and found[1][5] == "isc"
 
 
+def example(pattern):
+    """A text that a sentence of the tables stands for."""
+    out = ""
+    for op, value in pattern:
+        kind = str(op)
+        if kind in ("ASSERT", "ASSERT_NOT"):
+            continue
+        if kind == "LITERAL":
+            out += chr(value)
+        elif kind == "IN":
+            out += "x"
+        elif kind == "BRANCH":
+            out += example(value[1][0])
+        elif kind == "SUBPATTERN":
+            out += example(value[-1])
+        else:
+            out += example(value[2]) * value[0]
+    return out
+
+
+def test_every_sentence_is_found_as_without_keywords(spark):
+    ungated = [dataclasses.replace(r, keyword="") for r in licenses.rules()]
+    plain = [example(parser.parse(sentence)) for _, _, sentence in license_texts.SIGNATURES]
+    assert all(keyword in text for (_, keyword, _), text in zip(license_texts.SIGNATURES, plain, strict=True))
+    assert len(set(plain)) == len(plain) > 100
+    found = {r.doc_id: tuple(r)[1:] for r in licenses.scan(docs(spark, [f"Note: {t.upper()}.\n" for t in plain])).collect()}
+    for i, text in enumerate(plain):
+        assert found[i] == brute_licenses(f"Note: {text.upper()}.\n", ungated), text
+        assert license_texts.SIGNATURES[i][0] in found[i][5].split(",") and found[i][6] >= 0.9, text
+
+
+# Beginnings of license texts as they are pasted, without the name.
+BODIES = {
+    "mit": """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies""",
+    "bsd-2-clause": """2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS""",
+    "bsd-3-clause": """* Neither the name of the Example Institute nor the names of its contributors
+  may be used to endorse or promote products derived from this software""",
+    "isc": """Permission to use, copy, modify, and/or distribute this software for any purpose with or
+without fee is hereby granted, provided that the above copyright notice and this permission notice appear""",
+    "apache-2.0": """you may not use this file except in compliance with the License.
+# Unless required by applicable law or agreed to in writing, software""",
+    "gpl-2.0": """it under the terms published by the Free Software Foundation; either version 2 of the License, or
+# (at your option) any later version.""",
+    "gpl-3.0": """The licenses for most software and other practical works are designed
+to take away your freedom to share and change the works.""",
+    "mpl-2.0": "/* This Source Code Form is subject to the terms of",
+    "unlicense": "This is free and unencumbered software released into the public domain.",
+}
+
+
+def test_bodies_without_a_name_are_found(spark):
+    found = {r.doc_id: r for r in licenses.scan(docs(spark, list(BODIES.values()))).collect()}
+    for i, label in enumerate(BODIES):
+        assert label in found[i].labels.split(",") and found[i].score >= 0.9, label
+        assert found[i].n_base == 0
+
+
 def test_licenses_in_documents(spark):
     rules = licenses.rules()
     rows = {r.doc_id: r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()}

@@ -12,6 +12,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tianguis.llm.license_texts import GATES as TEXT_GATES
+from tianguis.llm.license_texts import SIGNATURES
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Words of a text once its A-Z are lower-cased, and of one as it came.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -112,7 +115,7 @@ GATE_PATTERN = "cc[^0-9a-z]+by"
 #: Priorities are 1 to this.
 PRIORITIES = 4
 #: A text holds none of the rules' matches unless it contains one of these or the pattern, whatever its case.
-GATES = ["licen", "gpl", "public", "commons", "creative", "attribution", "cc0", "wtfpl", "rail", "rights", "bsd", "spdx"]
+GATES = ["licen", "gpl", "public", "commons", "creative", "attribution", "cc0", "wtfpl", "rail", "rights", "bsd", "spdx", *TEXT_GATES]
 
 
 @dataclass(frozen=True)
@@ -125,7 +128,7 @@ class Rule:
 
 
 def rules() -> list[Rule]:
-    """Every license in every form, in the order of the tables: hundreds of rules from two short tables."""
+    """Every license in every form, in the order of the tables, then the sentences of license texts and headers."""
     out = []
     for label, keyword, name, short in LICENSES:
         for _, priority, confidence, kind, form in FORMS:
@@ -134,7 +137,7 @@ def rules() -> list[Rule]:
             words = short.split(" ")[0].split("(")[0]
             needs = keyword if kind == "name" else words.rstrip("[123]") or keyword
             out.append(Rule(label, needs, " " + form.format(name if kind == "name" else short) + "(?= )", priority, confidence))
-    return out
+    return out + [Rule(label, keyword, f" {sentence}(?= )", PRIORITIES, 0.98) for label, keyword, sentence in SIGNATURES]
 
 
 def _literal(found: list[Rule]) -> Column:
