@@ -18,11 +18,13 @@ from tianguis.sources.warehouse import register_views, star_tables
 # The names that queries call.
 REPORT, SEGMENTS = "sp_generar_reporte_mensual", "sp_segmentar_vendedores"
 
-#: The first day of the month asked for, or the error of a wrong argument.
-_FIRST = (
-    "IF(mes BETWEEN 1 AND 12, IF(anio BETWEEN 2000 AND 2100, make_date(anio, mes, 1), "
-    "CAST(raise_error(concat('year ', anio, ' is not between 2000 and 2100')) AS DATE)), "
-    "CAST(raise_error(concat('month ', mes, ' is not between 1 and 12')) AS DATE))"
+#: The first day of the month asked for; NULL, so that nothing is read, for a wrong argument.
+_FIRST = "IF(mes BETWEEN 1 AND 12 AND anio BETWEEN 2000 AND 2100, make_date(anio, mes, 1), CAST(NULL AS DATE))"
+#: The month asked for, or the error of a wrong argument: it is raised in this one place.
+_PERIOD = (
+    "IF(mes BETWEEN 1 AND 12, IF(anio BETWEEN 2000 AND 2100, date_format(make_date(anio, mes, 1), 'yyyy-MM'), "
+    "CAST(raise_error(concat('year ', anio, ' is not between 2000 and 2100')) AS STRING)), "
+    "CAST(raise_error(concat('month ', mes, ' is not between 1 and 12')) AS STRING))"
 )
 
 
@@ -72,7 +74,7 @@ def report_function(names: dict[str, str], by_partition: bool) -> str:
         crecimiento_mom_pct DECIMAL(8,2), ingresos_anio_anterior DECIMAL(15,2), crecimiento_yoy_pct DECIMAL(8,2),
         total_ordenes BIGINT, ticket_promedio DECIMAL(10,2), {tops}, score_satisfaccion_avg DECIMAL(4,2))
     RETURN WITH {", ".join(f"{name} AS ({rows})" for name, rows in windows.items())}, figures AS (
-        SELECT date_format({_FIRST}, 'yyyy-MM') AS periodo,
+        SELECT {_PERIOD} AS periodo,
             (SELECT named_struct('revenue', {money}, 'items', count(*), 'orders', count(DISTINCT order_id)) FROM now) AS sales,
             (SELECT {money} FROM month_before) AS last_month,
             (SELECT {money} FROM year_before) AS last_year,
@@ -85,7 +87,7 @@ def report_function(names: dict[str, str], by_partition: bool) -> str:
         CAST(coalesce(CAST(sales.revenue AS DECIMAL(24,2)) / nullif(CAST(sales.items AS DECIMAL(15,0)), 0), 0) AS DECIMAL(10,2)),
         best_categories.n1, best_categories.n2, best_categories.n3, best_sellers.n1, best_sellers.n2, best_sellers.n3,
         CAST(coalesce(CAST(reviewed.score AS DECIMAL(24,2)) / nullif(CAST(reviewed.n AS DECIMAL(15,0)), 0), 0) AS DECIMAL(4,2))
-    FROM figures"""
+    FROM figures WHERE periodo IS NOT NULL"""
 
 
 def segments_function(summary: str, columns: list[tuple[str, str]]) -> str:
