@@ -18,7 +18,7 @@ from tianguis.plans import explore_service as service
 from tianguis.plans import monthly, quality, reporting, segments
 from tianguis.plans.star import build_star
 from tianguis.session import build_session
-from tianguis.sources.standin import StandIn
+from tianguis.sources.standin import LENGTHS, StandIn
 
 ON_STAR = {
     "monthly_revenue": reporting.monthly_revenue,
@@ -70,7 +70,7 @@ def main() -> None:
     stars = []
     for _ in range(2):
         target = tempfile.mkdtemp(prefix="bench-star-")
-        seconds = {"star_build": timed(lambda: stars.append(build_star(spark, frames.staging, target)))}
+        seconds = {"star_build": timed(lambda: stars.append(build_star(spark, frames.staging, target, LENGTHS)))}
     cases = [(name, plan, stars[-1]) for name, plan in ON_STAR.items()]
     cases += [(name, plan, frames) for name, plan in ON_FRAMES.items()]
     for name, plan, source in cases:

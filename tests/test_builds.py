@@ -59,6 +59,17 @@ def test_rules_are_enforced_by_the_write(spark, raw, tmp_path, table, change, sa
     assert not (tmp_path / "CURRENT").exists()
 
 
+def test_the_supplied_tables_bring_lengths_of_their_own(spark, tmp_path):
+    """Their states are names of nations: the declared lengths refuse them, those of the adapter do not."""
+    from tianguis.sources.standin import LENGTHS, StandIn
+
+    staging = StandIn(spark, "/root/testdata/sf0.001").staging
+    with pytest.raises(PySparkException, match="state is longer than 2"):
+        plans.build_star(spark, staging, str(tmp_path))
+    built = plans.build_star(spark, staging, str(tmp_path), LENGTHS)
+    assert built.dim_customers.count() == staging["customers"].count() and built.fact_order_items.count() == staging["order_items"].count()
+
+
 def test_checks_of_snapshots_and_segments(spark):
     period = spark.createDataFrame([("2018-1",)], "periodo string")
     with pytest.raises(PySparkException, match="snapshot.periodo breaks its check"):

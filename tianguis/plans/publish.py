@@ -8,12 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tianguis.plans.reporting import reporting_views
 from tianguis.plans.star import build_star
-from tianguis.sources.warehouse import Star, register_views
+from tianguis.schemas import MAX_LENGTHS
+from tianguis.sources.warehouse import Lengths, Star, register_views
 
 
-def rebuild(spark: SparkSession, staging: Mapping[str, DataFrame], folder: str) -> Star:
+def rebuild(spark: SparkSession, staging: Mapping[str, DataFrame], folder: str, lengths: Lengths = MAX_LENGTHS) -> Star:
     """Write the star and register the reporting views over the new build, so the same view names give the new totals.
     A view that was planned before keeps reading the build it was planned over."""
-    star = build_star(spark, staging, folder)
+    star = build_star(spark, staging, folder, lengths)
     register_views(reporting_views(star))
     return star

@@ -14,9 +14,9 @@ from tianguis.functions.dates import date_key, sunday_zero
 from tianguis.functions.numbers import MONEY
 from tianguis.functions.text import blank_to_null, clean_city, clean_state
 from tianguis.operators.keys import first_by_key, keyed_first, lookup, with_row_key, with_surrogate_key
-from tianguis.schemas import FACT_KEYS, STAR_COLUMNS, conform
+from tianguis.schemas import FACT_KEYS, MAX_LENGTHS, STAR_COLUMNS, conform
 from tianguis.sources.builds import new_build, publish
-from tianguis.sources.warehouse import Star, read_star, write_dimension, write_fact
+from tianguis.sources.warehouse import Lengths, Star, read_star, write_dimension, write_fact
 
 ORDER_TIMESTAMPS = [
     "order_purchase_timestamp",
@@ -178,20 +178,23 @@ def _at_once(tasks: dict[str, Callable[[], dict[str, int]]]) -> dict[str, dict[s
     return {name: done.result() for name, done in running.items()}
 
 
-def write_star(spark: SparkSession, staging: Mapping[str, DataFrame], folder: str) -> tuple[Star, dict[str, dict[str, int]]]:
+def write_star(
+    spark: SparkSession, staging: Mapping[str, DataFrame], folder: str, lengths: Lengths = MAX_LENGTHS
+) -> tuple[Star, dict[str, dict[str, int]]]:
     """A4: build the star, and return it with the counts of its tables (A5, M1-M4), taken while they were written.
 
     The dimensions are written, then the facts against the stored dimensions, into a build of its own. Readers of
     ``folder`` see the new tables all at once when the last one is complete; a failure leaves the old ones as they were.
+    ``lengths`` are the longest texts that the write accepts; a source whose states are not two letters brings its own.
     """
     build = new_build(folder)
-    counts = _at_once({name: partial(write_dimension, name, plan(staging), build) for name, plan in DIMENSIONS.items()})
+    counts = _at_once({name: partial(write_dimension, name, plan(staging), build, lengths) for name, plan in DIMENSIONS.items()})
     dims = {name: spark.read.parquet(f"{build}/{name}") for name in DIMENSIONS}
-    counts |= _at_once({name: partial(write_fact, name, plan(staging, dims), build) for name, plan in FACTS.items()})
+    counts |= _at_once({name: partial(write_fact, name, plan(staging, dims), build, lengths) for name, plan in FACTS.items()})
     publish(spark, folder, build)
     return read_star(spark, folder), counts
 
 
-def build_star(spark: SparkSession, staging: Mapping[str, DataFrame], folder: str) -> Star:
+def build_star(spark: SparkSession, staging: Mapping[str, DataFrame], folder: str, lengths: Lengths = MAX_LENGTHS) -> Star:
     """A4: ``write_star`` without the counts."""
-    return write_star(spark, staging, folder)[0]
+    return write_star(spark, staging, folder, lengths)[0]

@@ -16,7 +16,14 @@ from pyspark.sql import functions as F
 from tianguis.functions.dates import date_key
 from tianguis.functions.text import clean_city, clean_state
 from tianguis.plans.star import calendar
-from tianguis.schemas import RAW_COLUMNS
+from tianguis.schemas import MAX_LENGTHS, RAW_COLUMNS
+
+#: Longest texts of a star built from these tables: names of nations stand for states.
+STATE_LETTERS = 25
+LENGTHS = MAX_LENGTHS | {
+    table: MAX_LENGTHS[table] | {column: STATE_LETTERS}
+    for table, column in (("dim_customers", "customer_state"), ("dim_sellers", "seller_state"))
+}
 
 # Every derived column, in terms of the supplied ones.
 STATUS = (

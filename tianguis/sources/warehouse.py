@@ -44,19 +44,23 @@ def star_tables(star) -> dict[str, DataFrame]:
     return {f.name: getattr(star, f.name) for f in fields(Star)}
 
 
-def _guarded(name: str, df: DataFrame) -> DataFrame:
+#: Longest texts by table and column.
+Lengths = Mapping[str, Mapping[str, int]]
+
+
+def _guarded(name: str, df: DataFrame, lengths: Lengths) -> DataFrame:
     """NOT NULL columns and declared text lengths, enforced by the write itself."""
-    return enforced(df, name, REQUIRED_STAR_COLUMNS[name], MAX_LENGTHS[name])
+    return enforced(df, name, REQUIRED_STAR_COLUMNS[name], lengths.get(name, {}))
 
 
-def write_dimension(name: str, df: DataFrame, folder: str) -> dict[str, int]:
+def write_dimension(name: str, df: DataFrame, folder: str, lengths: Lengths = MAX_LENGTHS) -> dict[str, int]:
     """A4: write one dimension, and return its counts (``ROW_RULES``)."""
-    out, seen = counted(_guarded(name, conform(df, STAR_COLUMNS[name])), name, ROW_RULES.get(name, {}))
+    out, seen = counted(_guarded(name, conform(df, STAR_COLUMNS[name]), lengths), name, ROW_RULES.get(name, {}))
     out.write.mode("overwrite").parquet(f"{folder}/{name}")
     return seen.get
 
 
-def write_fact(name: str, df: DataFrame, folder: str) -> dict[str, int]:
+def write_fact(name: str, df: DataFrame, folder: str, lengths: Lengths = MAX_LENGTHS) -> dict[str, int]:
     """A4: write one fact from rows without a key, and return its counts (``ROW_RULES``).
 
     The item fact is laid out by purchase month and sorted by day, so a one-month report opens the partitions of
@@ -70,7 +74,7 @@ def write_fact(name: str, df: DataFrame, folder: str) -> dict[str, int]:
         keyed = keyed.withColumn("purchase_month", month).hint("rebalance", "purchase_month")
         keyed = keyed.sortWithinPartitions("purchase_month", "date_sk")
     columns = STAR_COLUMNS[name] + (", purchase_month int" if by_month else "")
-    out, seen = counted(_guarded(name, conform(keyed, columns)), name, ROW_RULES.get(name, {}))
+    out, seen = counted(_guarded(name, conform(keyed, columns), lengths), name, ROW_RULES.get(name, {}))
     writer = out.write.mode("overwrite")
     if by_month:
         writer = writer.partitionBy("purchase_month")
