@@ -70,7 +70,9 @@ def _with_range(df: DataFrame, order: Order) -> DataFrame:
     borders = sample.select(F.array_compact(picked)).scalar()
     placed = df.withColumns({"_borders": borders, "_place": place})
     found = _at_or_below(F.col("_borders"), ranges - 1, F.col("_place"))
-    return placed.withColumn("_range", found).drop("_borders", "_place")
+    # Never NULL, and known not to be: else the joins by range would test it once more on the rows below this frame, in one
+    # reading and not in the others.
+    return placed.withColumn("_range", F.coalesce(found, F.lit(0))).drop("_borders", "_place")
 
 
 def _sort(order: Order) -> list[Column]:
