@@ -2,13 +2,15 @@
 
 Names in hosts are often several words run together. A unigram model of words, counted over all urls and started
 from two hand-written lists, splits them by Viterbi: the split with the highest product of word probabilities.
-Multinomial naive Bayes then scores the words of host and path against the two classes.
+Multinomial naive Bayes then scores the words of host and path against the two classes. It learns by expectation
+maximisation from urls of which only those with a listed word in their host are labelled, and never counts that word.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
@@ -42,16 +44,20 @@ followers free-bets free-spins gambling get-rich hookup jackpot keygen levitra l
 pharmacy phishing pills pirated poker porn porno rolex-replica replica roulette scam seo-links sex slots spam spins
 torrent viagra warez webcam weight-loss-pills xanax xxx""".split()
 
-#: Words that ``learn_words`` brings to the driver; ``judge`` looks words up in all counts and has no such limit.
-VOCABULARY = 50_000
+#: Listed words and names of several words, and how many words such a name has, the most first.
+GOOD, BAD = set(WANTED), set(UNWANTED)
+COMPOUNDS = {w for w in (*WANTED, *UNWANTED) if "-" in w}
+COMPOUND_SIZES = sorted({w.count("-") + 1 for w in COMPOUNDS}, reverse=True)
 #: Letters of a word at most.
 WORD_LETTERS = 24
 #: Urls and their characters that share one lookup; parts of words that a task holds before it passes them on.
 CHUNK_ROWS, CHUNK_CHARS, HELD_PARTS = 4096, 1 << 22, 200_000
 #: Urls of each class that the classifier is fitted on at most, by a hash of the url.
 LABELLED = 20_000
-#: Weight of each listed word, in seen ones; words of the overall distribution that each class is smoothed with.
-LISTED, SMOOTHING = 50, 1000.0
+#: Weight of each listed word, in seen ones; rounds of expectation maximisation.
+LISTED, ROUNDS = 50, 6
+#: Counts that each word has beforehand, and blocked words that both classes are taken to share.
+SHRINK, SMOOTHING = 12.0, 1000.0
 #: Price of each letter of an unknown word.
 LETTER = 1.0
 #: Log odds from which a url is blocked: both classes cost the same, unwanted ones are the rarer.
@@ -133,7 +139,7 @@ class Bayes:
     prior: float
 
     def score(self, words: list[str]) -> float:
-        return self.prior + sum(self.odds.get(w, 0.0) for w in words)
+        return self.prior + sum(self.odds.get(w, 0.0) for w in merged(words))
 
 
 def tokens(text: str) -> list[str]:
@@ -153,18 +159,6 @@ def word_counts(urls: DataFrame) -> DataFrame:
     return stored(counts)
 
 
-def learn_words(urls: DataFrame, vocabulary: int = VOCABULARY) -> Words:
-    """The model of the ``vocabulary`` most frequent words of ``word_counts``, ties in order of the word, on the driver."""
-    counts = word_counts(urls)
-    words = counts.count()
-    if words > vocabulary:  # so that no task sends much more than its part of the vocabulary
-        accuracy = min(1_000_000, 10_000 + 20 * words // vocabulary)
-        cut = counts.agg(F.percentile_approx("n", max(0.0, 1 - vocabulary / words - 1 / accuracy), accuracy)).first()[0]
-        counts = counts.where(F.col("n") >= cut)
-    found = {r.word: float(r.n) for r in counts.orderBy(F.desc("n"), "word").limit(vocabulary).collect()}
-    return word_model(found)
-
-
 def word_model(found: dict[str, float], seen: float | None = None) -> Words:
     """Counts enter by their root, so that the words of one large site do not crowd out the listed ones. ``seen`` is the
     sum of the roots of all counts, if ``found`` has only those that are asked for."""
@@ -253,35 +247,68 @@ def examples(urls: DataFrame, labelled: int) -> DataFrame:
     return known.orderBy("hash", "host", "path").limit(labelled)
 
 
-def fit(urls: DataFrame, model: Words, labelled: int = LABELLED) -> Bayes:
-    """Naive Bayes from urls (host, path, verdict) that a rule or a listed word of the host labels.
+@dataclass
+class Row:
+    """What the classifier sees of a url: its words without the listed ones, and its class where a listed one tells."""
+
+    words: Counter
+    block: float | None
+
+
+def merged(words: list[str]) -> list[str]:
+    """Words with the listed names of several words put together again."""
+    out: list[str] = []
+    at = 0
+    while at < len(words):
+        size = next((n for n in COMPOUND_SIZES if "-".join(words[at : at + n]) in COMPOUNDS), 1)
+        out.append("-".join(words[at : at + size]))
+        at += size
+    return out
+
+
+def seen_as(host_words: list[str], path_words: list[str]) -> Row:
+    """A host with an unwanted word is an example to block, one with wanted words alone an example to allow, any other one
+    has no label. The words that label are hidden from what is counted, so that all others are judged by the company
+    they keep and not by the lists."""
+    host, path = merged(host_words), merged(path_words)
+    block = 1.0 if any(w in BAD for w in host) else 0.0 if any(w in GOOD for w in host) else None
+    return Row(Counter(w for w in (*host, *path) if w not in BAD and w not in GOOD), block)
+
+
+def fit_words(rows: Iterable[tuple[list[str], list[str]]], rounds: int = ROUNDS) -> Bayes:
+    """Multinomial naive Bayes by expectation maximisation over the words of host and path of each url.
 
-    A host with an unwanted word is an example to block and any other one to allow; rules do not label, since they
-    hold for places and not for words. ``labelled`` different urls are looked at, the first by hash of host and path,
-    besides the lists themselves, so the model and the work on the driver are bounded.
+    Urls without a label start as ones to allow. In each round the classes' word counts are taken anew from the labelled
+    urls and, by their last probability to be blocked, the others. Each word has counts beforehand, split as all counts
+    are: ``SHRINK``, so that a word that was seen once says little, and its share of all words for ``SMOOTHING`` blocked
+    ones, so that the words of every url say little too. A listed word has ``LISTED`` more in its class.
     """
-    rows = examples(urls.select("host", "path"), labelled).collect()
-    return fit_words((words_of(r.host, "", model), words_of("", r.path, model)) for r in rows)
-
-
-def fit_words(rows: Iterable[tuple[list[str], list[str]]]) -> Bayes:
-    """``fit`` on the words of host and path of each url."""
-    bad = {w for listed in UNWANTED if "-" not in listed for w in [listed]}
-    counts: dict[str, list[float]] = {}
-    for listed, side in ((WANTED, 0), (UNWANTED, 1)):
-        for text in listed:
-            for w in text.split("-"):
-                counts.setdefault(w, [0.0, 0.0])[side] += LISTED / 10 if "-" not in text else 1.0
-    for host_words, path_words in rows:
-        side = 1 if bad & set(host_words) else 0
-        for w in (*host_words, *path_words):
-            counts.setdefault(w, [0.0, 0.0])[side] += 1.0
-    totals = [sum(c[side] for c in counts.values()) for side in (0, 1)]
-    odds = {}
-    for w, (allow, block) in counts.items():
-        usual = SMOOTHING * (allow + block) / sum(totals)
-        odds[w] = math.log((block + usual) / (totals[1] + SMOOTHING)) - math.log((allow + usual) / (totals[0] + SMOOTHING))
-    return Bayes(odds, math.log(PRIOR_BLOCK / (1 - PRIOR_BLOCK)))
+    seen = [seen_as(h, p) for h, p in rows]
+    shares = [0.0 if r.block is None else r.block for r in seen]
+    odds: dict[str, float] = {}
+    prior = math.log(PRIOR_BLOCK / (1 - PRIOR_BLOCK))
+    for turn in range(rounds):
+        counts: dict[str, list[float]] = {}
+        for row, share in zip(seen, shares, strict=True):
+            for w, n in row.words.items():
+                both = counts.setdefault(w, [0.0, 0.0])
+                both[0] += n * (1 - share)
+                both[1] += n * share
+        allow, block = (math.fsum(c[side] for c in counts.values()) for side in (0, 1))
+        part = block / (allow + block) if allow and block else PRIOR_BLOCK
+        total = {w: a + b for w, (a, b) in counts.items()}
+        for listed, side in ((GOOD, 0), (BAD, 1)):
+            for w in listed:
+                counts.setdefault(w, [0.0, 0.0])[side] += LISTED
+        usual = (1 - part) / part  # allowed words for each blocked one
+        odds = {}
+        for w, (a, b) in counts.items():
+            own = SHRINK * part + SMOOTHING * total.get(w, 0.0) / max(1.0, allow + block)
+            odds[w] = math.log((b + own) / (a + own * usual) * usual)
+        if turn < rounds - 1:
+            scores = [prior + sum(n * odds[w] for w, n in r.words.items()) for r in seen]
+            shares = [r.block if r.block is not None else 1 / (1 + math.exp(-max(-50.0, min(50.0, s)))) for r, s in zip(seen, scores, strict=True)]
+    return Bayes(odds, prior)
 
 
 def judge(pages: DataFrame, rules: list[tuple[str, str]] | None = None) -> DataFrame:
