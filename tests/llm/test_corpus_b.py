@@ -395,6 +395,35 @@ def test_every_sentence_is_found_as_without_keywords(spark):
         assert license_texts.SIGNATURES[i][0] in found[i][5].split(",") and found[i][6] >= 0.9, text
 
 
+def tried(text, rules):
+    """The rules that a text's words let through, as the scan does."""
+    words = re.findall(licenses.WORD, text.lower())
+    joined = " " + " ".join(words) + " "
+    return [r for r in rules if set(r.words) & set(words) and (not r.word or r.word in words) and r.keyword in joined]
+
+
+def test_parts_of_words_do_not_reach_the_rules(spark):
+    rules = licenses.rules()
+    assert not tried("Beered devils x submit permits discs trails, licensing zlibs of republicans copyrightable", rules)
+    assert not tried("a license for x to submit permits, discs, zlibs and trails", rules)
+    plan = licenses.scan(docs(spark, ["a"]))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Contains(") <= 5  # the phrases and the keywords: no list of words is searched for one by one
+
+
+def test_words_are_parted_at_each_character(spark):
+    texts = [chr(c).join(["", "MIT", "License", "x", ""]) for c in range(128)] + [c + "mit license" + c for c in "\u0130\u212a\u00a0\u0085𝔘"]
+    texts += [f"Licensed under the MIT license{c}GPL" for c in "\u212a\u0130-é"] + ["\x00", "[^\\", "  \t mit \n\n license  ", "MIT L\u0130CENSE", "GNU GP\u212a"]
+    found = {r.doc_id: tuple(r)[1:] for r in licenses.scan(docs(spark, texts)).collect()}
+    for i, text in enumerate(texts):
+        assert found[i] == brute_licenses(text, licenses.rules()), repr(text)
+
+
+def test_given_rules_bring_their_words(spark):
+    rules = [licenses.Rule("zork", "zork", " zorks?(?= )", 1, 0.7, ("zork", "zorks")), licenses.Rule("b", "b", " b a(?= )", 1, 0.6, ("b",), "a")]
+    found = {r.doc_id: (r.labels, r.score) for r in licenses.scan(docs(spark, ["a ZORK.", "zorks", "b a", "b", "MIT License"]), rules).collect()}
+    assert found == {0: ("zork", 0.7), 1: ("zork", 0.7), 2: ("b", 0.6), 3: ("", 0.0), 4: ("mit", 0.5)}
+
+
 # Beginnings of license texts as they are pasted, without the name.
 BODIES = {
     "mit": """Permission is hereby granted, free of charge, to any person obtaining a copy

@@ -127,8 +127,9 @@ SIGNATURES = [
     ("proprietary", "unauthorized copying of this file", r"unauthorized copying of this file via any medium is strictly prohibited"),
 ]
 
-#: Words of which every sentence above holds one, as they stand in a text as it came.
-GATES = ["permission", "permitted", "redistribut", "warrant", "copyright", "misrepresent", "derivative", "evil", "beer", "fuck", "royalty", "advertising",
+#: Every sentence above has a word outside of its groups that begins with one of these.
+STEMS = ("permission", "permitted", "redistribut", "warrant", "copyright", "misrepresent", "derivative", "evil", "beer", "fuck", "royalty", "advertising",
          "prominent", "litigation", "aggregation", "constitute", "verbatim", "technological", "interface", "invariant", "subject", "conditioned", "package",
          "affirmer", "patent", "foundation", "deployment", "remix", "merchant", "commercial", "database", "unauthorized", "confidential", "acknowledg",
-         "endorse", "hereby", "remotely", "reciprocal", "individual", "worldwide", "appropriate", "suitability", "definitions", "derived", "openssl", "compile", "functionality", "managed"]
+         "endorse", "hereby", "remotely", "reciprocal", "individual", "worldwide", "appropriate", "suitability", "definitions", "derived", "openssl", "compile", "functionality", "managed",
+         "licens", "licenc", "public", "publish", "rights", "proprietary")

@@ -1,24 +1,26 @@
 """License detection by ordered signature rules, in built-in functions alone.
 
-Rules are regular expressions over the words of a text, lower-cased and parted by single spaces. A rule is tried
-only on texts that contain its keyword. Its matches are intervals of that string; an interval inside another one of
+Rules are regular expressions over the words of a text, lower-cased and parted by single spaces. Rules are tried
+only on texts that have one of their words, and a rule only if its own word and its keyword are there. Its matches are intervals of that string; an interval inside another one of
 the same or a higher priority is suppressed, so a version beats the bare family name and a notice beats a mention.
 """
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
+from os.path import commonprefix
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tianguis.llm.license_texts import GATES as TEXT_GATES
-from tianguis.llm.license_texts import SIGNATURES
+from tianguis.llm.license_texts import SIGNATURES, STEMS
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Words of a text once its A-Z are lower-cased, and of one as it came.
+#: Words of a text once its A-Z are lower-cased, and what parts them: character by character, since the engine looks
+#: those up in one table, while it tries ranges one after another.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-RAW_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+GAP = "[" + "".join(f"\\x{c:02X}" for c in [*range(0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)]) + "]+"
 
 # Phrases that are always counted, with their labels.
 PHRASES = [("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl")]
@@ -111,20 +113,50 @@ FORMS = [
     ("field", 3, 0.9, "id", r"licen[cs]e (?:name |type |is )?(?:{})"),
     ("mention", 1, 0.7, "name", r"(?:{})"),
 ]
-GATE_PATTERN = "cc[^0-9a-z]+by"
 #: Priorities are 1 to this.
 PRIORITIES = 4
-#: A text holds none of the rules' matches unless it contains one of these or the pattern, whatever its case.
-GATES = ["licen", "gpl", "public", "commons", "creative", "attribution", "cc0", "wtfpl", "rail", "rights", "bsd", "spdx", *TEXT_GATES]
+#: Every match of a name or identifier in one of the forms holds one of these as a word.
+NAME_WORDS = (
+    "license", "licence", "licensed", "licenced", "bsd", "freebsd", "gpl", "gplv1", "gplv2", "gplv3", "unlicense", "wtfpl", "cc0", "cc",
+    "commons", "attribution", "rail", "openrail", "domain", "reserved",
+)
 
 
 @dataclass(frozen=True)
 class Rule:
+    """A text with a match holds the keyword, and as words one of ``words`` and, unless it is empty, ``word``."""
+
     label: str
     keyword: str
     pattern: str
     priority: int
     confidence: float
+    words: tuple[str, ...]
+    word: str = ""
+
+
+def _without_groups(pattern: str) -> str:
+    """The pattern with a + for each of its outermost groups."""
+    while "(" in pattern:
+        pattern = re.sub(r"\([^()]*\)", "+", pattern)
+    return pattern
+
+
+def _beginning(pattern: str) -> str:
+    """The characters, a space first, with which every match of a name or identifier begins."""
+    flat = _without_groups(pattern)
+    if "|" in flat:
+        return commonprefix([_beginning(p) for p in flat.split("|")])
+    head = re.match(r"[^\\\[(?+]*", pattern)[0]
+    rest = pattern[len(head) :]
+    if rest.startswith("?"):
+        return f" {head[:-1]}"
+    return f" {head} " if not rest or rest.startswith("(?: ") else f" {head}"
+
+
+def _plain_words(sentence: str) -> list[str]:
+    """The words of the sentence that stand outside of its groups."""
+    return [w for w in _without_groups(sentence).split(" ") if re.fullmatch("[a-z]+", w)]
 
 
 def rules() -> list[Rule]:
@@ -134,24 +166,38 @@ def rules() -> list[Rule]:
         for _, priority, confidence, kind, form in FORMS:
             if kind == "id" and not short:
                 continue
-            words = short.split(" ")[0].split("(")[0]
-            needs = keyword if kind == "name" else words.rstrip("[123]") or keyword
-            out.append(Rule(label, needs, " " + form.format(name if kind == "name" else short) + "(?= )", priority, confidence))
-    return out + [Rule(label, keyword, f" {sentence}(?= )", PRIORITIES, 0.98) for label, keyword, sentence in SIGNATURES]
+            filled = name if kind == "name" else short
+            needs = max(_beginning(filled), keyword if kind == "name" else "", key=len)
+            word = max(re.findall("(?<= )[^ ]+(?= )", needs), key=len, default="")
+            out.append(Rule(label, needs, " " + form.format(filled) + "(?= )", priority, confidence, NAME_WORDS, word))
+    for label, keyword, sentence in SIGNATURES:
+        plain = _plain_words(sentence)
+        gate = next(w for w in plain if w.startswith(STEMS))
+        out.append(Rule(label, keyword, f" {sentence}(?= )", PRIORITIES, 0.98, (gate,), max(plain, key=len)))
+    return out
 
 
 def _literal(found: list[Rule]) -> Column:
+    """The rules by word and keyword, as an array of structs (word, keyword, rules)."""
+    groups: dict[tuple[str, str], list[Column]] = {}
+    for i, r in enumerate(found):
+        groups.setdefault((r.word, r.keyword), []).append(
+            F.struct(F.lit(r.label).alias("label"), F.lit(r.pattern).alias("pattern"), F.lit(r.priority).alias("priority"),
+                     F.lit(r.confidence).alias("confidence"), F.lit(i).alias("at"))
+        )
     return F.array(*[
-        F.struct(F.lit(r.label).alias("label"), F.lit(r.keyword).alias("keyword"), F.lit(r.pattern).alias("pattern"),
-                 F.lit(r.priority).alias("priority"), F.lit(r.confidence).alias("confidence"), F.lit(i).alias("at"))
-        for i, r in enumerate(found)
+        F.struct(F.lit(word).alias("word"), F.lit(keyword).alias("keyword"), F.array(*group).alias("rules"))
+        for (word, keyword), group in groups.items()
     ])
 
 
-def _intervals(words: Column, rule: Column) -> Column:
+def _words(words: set[str]) -> Column:
+    return F.array(*[F.lit(w) for w in sorted(words)])
+
+
+def _intervals(words: Column, rule: Column, matches: Column) -> Column:
     """A rule's matches as structs (start, last): what is between the matches gives their places."""
     between = F.split(words, rule["pattern"], -1)
-    matches = F.regexp_extract_all(words, rule["pattern"], F.lit(0))
     start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,last:int>>").alias("out"))
 
     def step(state, x):
@@ -166,17 +212,22 @@ def _intervals(words: Column, rule: Column) -> Column:
     return F.aggregate(zipped, start, step, lambda state: state["out"])
 
 
-def detections(words: Column, found: list[Rule]) -> Column:
-    """All matches in the order of their start, longer and stronger ones first."""
-    tried = F.filter(_literal(found), lambda r: F.contains(words, r["keyword"]))
+def detections(present: Column, words: Column, found: list[Rule]) -> Column:
+    """All matches in the order of their start, longer and stronger ones first; ``present`` has the rules' words that the
+    text has, and an empty one."""
+    own = F.filter(_literal(found), lambda g: F.array_contains(present, g["word"]))
+    tried = F.flatten(F.transform(F.filter(own, lambda g: F.contains(words, g["keyword"])), lambda g: g["rules"]))
+    searched = F.transform(
+        tried, lambda r: F.struct(r.alias("rule"), F.regexp_extract_all(words, r["pattern"], F.lit(0)).alias("matches"))
+    )
     hits = F.flatten(
         F.transform(
-            tried,
-            lambda r: F.transform(
-                _intervals(words, r),
+            F.filter(searched, lambda s: F.size(s["matches"]) > 0),
+            lambda s: F.transform(
+                _intervals(words, s["rule"], s["matches"]),
                 lambda x: F.struct(
-                    x["start"].alias("start"), (-x["last"]).alias("back"), (-r["priority"]).alias("weak"), r["at"].alias("at"),
-                    r["label"].alias("label"), r["confidence"].alias("confidence"),
+                    x["start"].alias("start"), (-x["last"]).alias("back"), (-s["rule"]["priority"]).alias("weak"), s["rule"]["at"].alias("at"),
+                    s["rule"]["label"].alias("label"), s["rule"]["confidence"].alias("confidence"),
                 ),
             ),
         )
@@ -226,23 +277,22 @@ def scan(docs: DataFrame, found: list[Rule] | None = None) -> DataFrame:
     Nothing is shuffled.
     """
     found = rules() if found is None else found
-    text = F.coalesce("text", F.lit(""))
-    low = F.lower(text)
-    gate = F.rlike(low, F.lit(GATE_PATTERN))
-    for word in GATES:
-        gate = gate | F.contains(low, F.lit(word))
-    rows = docs.select("doc_id", text.alias("text"), gate.alias("gate"))
-    exact = F.translate("text", UPPER, LOWER)
-    words = F.when(F.col("gate"), F.regexp_extract_all(exact, F.lit(WORD), F.lit(0))).otherwise(F.array().cast("array<string>"))
-    n_words = F.regexp_count("text", F.lit(RAW_WORD)).cast("bigint")
-    rows = rows.select("doc_id", n_words.alias("n_words"), words.alias("words"))
-    rows = rows.select("doc_id", "n_words", "words", F.concat(F.lit(" "), F.array_join("words", " "), F.lit(" ")).alias("joined"))
+    docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    # On ASCII alone, ``lower`` changes A-Z and nothing else, and faster.
+    exact = F.when(F.octet_length("text") == F.length("text"), F.lower("text")).otherwise(F.translate("text", UPPER, LOWER))
+    rows = docs.select("doc_id", F.array_remove(F.split(exact, GAP), "").alias("words"))
+    gate = _words({w for r in found for w in r.words} | {p.split(" ")[-1] for p, _ in PHRASES})
+    words = F.when(F.arrays_overlap("words", gate), F.col("words")).otherwise(F.array().cast("array<string>"))
+    rows = rows.select("doc_id", F.size("words").cast("bigint").alias("n_words"), words.alias("words"))
+    joined = F.concat(F.lit(" "), F.array_join("words", " "), F.lit(" "))
+    present = F.array_append(F.array_intersect("words", _words({r.word for r in found})), F.lit(""))
+    rows = rows.select("doc_id", "n_words", "words", joined.alias("joined"), F.when(F.size("words") > 0, present).alias("present"))
     places = [F.when(F.contains("joined", F.lit(f" {p} ")), _places(F.col("words"), p)).otherwise(F.array().cast("array<int>")) for p, _ in PHRASES]
     rows = rows.select(
         "doc_id",
         "n_words",
         *[p.alias(f"places{i}") for i, p in enumerate(places)],
-        F.when(F.size("words") > 0, surviving(detections(F.col("joined"), found))).alias("kept"),
+        F.when(F.size("words") > 0, surviving(detections(F.col("present"), F.col("joined"), found))).alias("kept"),
     )
     every = F.concat(*[F.col(f"places{i}") for i in range(len(PHRASES))])
     base = F.array_sort(F.array_distinct(F.filter(
