@@ -117,3 +117,27 @@ def test_first_row_per_key_with_a_hot_key(spark):
     kept = first_by_key(df, "k")
     assert kept.count() == 2001
     assert kept.where("k = 'hot'").first()["v"] == 0
+
+
+def numbering(df):
+    """The windows of a plan that number rows, as text."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return [line for line in plan.splitlines() if "Window [row_number()" in line]
+
+
+def test_a_reading_without_keys_numbers_and_deals_out_nothing_for_them(star):
+    """dq_text_lengths: rows of the facts used to be moved once more for keys that nobody asked for."""
+    assert numbering(star.fact_order_items.select("order_item_sk"))
+    for name in ("fact_order_items", "fact_payments", "fact_reviews"):
+        assert numbering(getattr(star, name).select("order_id")) == []
+    assert numbering(star.dim_orders.select("order_id", "order_status")) == []
+
+
+def test_first_rows_are_smallest_by_their_columns_in_order(spark):
+    data = [("a", "2", None), ("a", "10", "x"), ("a", "10", "w"), (None, "1", "n"), (None, None, "m"), ("b", None, "z")]
+    df = spark.createDataFrame(data, "k string, v string, w string")
+    expected = {("a", "10", "w"), (None, None, "m"), ("b", None, "z")}
+    assert {tuple(r) for r in first_by_key(df, "k").collect()} == expected
+    keyed = keyed_first(df, "k", "sk").collect()
+    assert {(r["k"], r["v"], r["w"]) for r in keyed} == expected and sorted(r["sk"] for r in keyed) == [1, 2, 3]
+    assert {(r["sk"], r["k"]) for r in keyed_first(df.select("k"), "k", "sk").collect()} == {(r["sk"], r["k"]) for r in keyed}

@@ -14,7 +14,7 @@ from tianguis.functions.dates import date_key, sunday_zero
 from tianguis.functions.numbers import MONEY
 from tianguis.functions.text import blank_to_null, clean_city, clean_state
 from tianguis.operators.keys import first_by_key, keyed_first, lookup, with_row_key, with_surrogate_key
-from tianguis.schemas import FACT_KEYS, MAX_LENGTHS, STAR_COLUMNS, conform
+from tianguis.schemas import FACT_KEYS, FACT_NEAR, MAX_LENGTHS, STAR_COLUMNS, conform
 from tianguis.sources.builds import new_build, publish
 from tianguis.sources.warehouse import Lengths, Star, read_star, write_dimension, write_fact
 
@@ -95,6 +95,20 @@ def dim_orders(staging: Mapping[str, DataFrame]) -> DataFrame:
     return conform(kept, STAR_COLUMNS["dim_orders"])
 
 
+def dated_orders(staging: Mapping[str, DataFrame]) -> DataFrame:
+    """``dim_orders`` as far as the facts look into it: keys and purchase timestamps.
+
+    The row kept of an order is the smallest by its columns in order, so the columns up to the timestamp decide what
+    the timestamp is; those after it can't and stay at home.
+    """
+    kept = keyed_first(staging["orders"].select("order_id", "order_status", ORDER_TIMESTAMPS[0]), "order_id", "order_sk")
+    return kept.select(
+        F.col("order_sk").cast("long").alias("order_sk"),
+        "order_id",
+        blank_to_null(ORDER_TIMESTAMPS[0]).cast("timestamp_ntz").alias(ORDER_TIMESTAMPS[0]),
+    )
+
+
 def fact_order_items(staging: Mapping[str, DataFrame], dims: Mapping[str, DataFrame]) -> DataFrame:
     """Items whose order, customer, product and seller are all known, without a row key.
 
@@ -164,8 +178,9 @@ FACTS = {"fact_order_items": fact_order_items, "fact_payments": fact_payments, "
 def plan_star(staging: Mapping[str, DataFrame]) -> Star:
     """All eight tables as lazy plans."""
     dims = {name: build(staging) for name, build in DIMENSIONS.items()}
+    seen = dims | {"dim_orders": dated_orders(staging)}
     facts = {
-        name: conform(with_row_key(build(staging, dims), FACT_KEYS[name]), STAR_COLUMNS[name])
+        name: conform(with_row_key(build(staging, seen), FACT_KEYS[name], near=FACT_NEAR.get(name)), STAR_COLUMNS[name])
         for name, build in FACTS.items()
     }
     return Star(**dims, **facts)

@@ -144,6 +144,9 @@ STAR_COLUMNS: dict[str, str] = {
 
 FACT_KEYS = {"fact_order_items": "order_item_sk", "fact_payments": "payment_sk", "fact_reviews": "review_sk"}
 
+# The column by which the rows of a fact lie together after its last join, where it has no NULLs.
+FACT_NEAR = {"fact_order_items": "order_id"}
+
 # Longest text each star column accepts.
 MAX_LENGTHS: dict[str, dict[str, int]] = {
     "dim_date": {"month_name": 20, "day_name": 20},

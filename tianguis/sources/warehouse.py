@@ -13,6 +13,7 @@ from tianguis.operators.keys import with_row_key
 from tianguis.operators.rules import counted, enforced
 from tianguis.schemas import (
     FACT_KEYS,
+    FACT_NEAR,
     MAX_LENGTHS,
     REQUIRED_STAR_COLUMNS,
     ROW_RULES,
@@ -68,7 +69,7 @@ def write_fact(name: str, df: DataFrame, folder: str, lengths: Lengths = MAX_LEN
     the rows and merge the small ones.
     """
     by_month = name == "fact_order_items"
-    keyed = with_row_key(df, FACT_KEYS[name])
+    keyed = with_row_key(df, FACT_KEYS[name], near=FACT_NEAR.get(name))
     if by_month:
         month = month_key(F.col("date_sk"))
         keyed = keyed.withColumn("purchase_month", month).hint("rebalance", "purchase_month")
