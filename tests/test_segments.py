@@ -6,6 +6,7 @@ from conftest import rows
 
 from tianguis.plans import segments
 from tianguis.plans.quality import segment_checks
+from tianguis.plans.star import plan_star
 
 
 def seller_star(spark, n):
@@ -60,3 +61,12 @@ def test_bad_segments_are_noticed(spark):
         "segmentos ausentes",
         "promedio de A no supera a D",
     }
+
+
+def test_the_built_fact_is_computed_once_for_all_readings(spark, standin):
+    """built_segment_summary: the sample of the order read a fact that was joined otherwise, and so all of it was computed twice."""
+    summary = segments.segment_summary(segments.segment_sellers(plan_star(standin.staging)))
+    summary.collect()
+    plan = summary._jdf.queryExecution().executedPlan().toString()
+    for key in ("product_id", "seller_id", "order_id"):
+        assert f"SortMergeJoin [{key}#" in plan and f"BroadcastHashJoin [{key}#" not in plan.split("Initial Plan")[0]

@@ -176,9 +176,14 @@ FACTS = {"fact_order_items": fact_order_items, "fact_payments": fact_payments, "
 
 
 def plan_star(staging: Mapping[str, DataFrame]) -> Star:
-    """All eight tables as lazy plans."""
+    """All eight tables as lazy plans.
+
+    A query may read a fact more than once, in a subquery too. A lookup that turned into a broadcast in one reading only, by
+    what had been measured until then, would make the readings differ and the fact be computed for each of them. So lookups
+    are merge joins here; where a stored star is built, Spark decides.
+    """
     dims = {name: build(staging) for name, build in DIMENSIONS.items()}
-    seen = dims | {"dim_orders": dated_orders(staging)}
+    seen = {name: dim.hint("merge") for name, dim in (dims | {"dim_orders": dated_orders(staging)}).items()}
     facts = {
         name: conform(with_row_key(build(staging, seen), FACT_KEYS[name], near=FACT_NEAR.get(name)), STAR_COLUMNS[name])
         for name, build in FACTS.items()
