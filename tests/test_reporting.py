@@ -5,6 +5,7 @@ from decimal import Decimal
 from conftest import rows
 
 from tianguis.plans import quality, reporting, segments
+from tianguis.plans.star import plan_star
 
 D = Decimal
 
@@ -126,3 +127,13 @@ def test_satisfaction_meets_the_fact_where_it_lies(star):
     plan = reporting.category_satisfaction(star)._jdf.queryExecution().executedPlan().toString()
     numbered = [line for line in plan.splitlines() if "Window [row_number()" in line]
     assert not [line for line in numbered if "order_item_id" in line or "review_id" in line]
+
+
+def test_ranking_reads_the_built_fact_once(spark, standin):
+    """built_seller_ranking: all readings of the frame that is ranked join the fact alike, so they share its exchanges."""
+    ranking = reporting.seller_ranking(plan_star(standin.staging))
+    assert ranking.count() == standin.sellers.count()
+    ranking.collect()
+    plan = ranking._jdf.queryExecution().executedPlan().toString()
+    assert "ReusedExchange" in plan and "SortMergeJoin [seller_id#" in plan and "BroadcastHashJoin [seller_id#" not in plan
+    assert not [line for line in plan.splitlines() if "Window [row_number()" in line and "order_item_id" in line]
