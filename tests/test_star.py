@@ -141,3 +141,18 @@ def test_first_rows_are_smallest_by_their_columns_in_order(spark):
     keyed = keyed_first(df, "k", "sk").collect()
     assert {(r["k"], r["v"], r["w"]) for r in keyed} == expected and sorted(r["sk"] for r in keyed) == [1, 2, 3]
     assert {(r["sk"], r["k"]) for r in keyed_first(df.select("k"), "k", "sk").collect()} == {(r["sk"], r["k"]) for r in keyed}
+
+
+def test_row_keys_near_a_column_leave_the_rows_where_they_lie(many_partitions):
+    """surrogate_keys: rows that lie by a column are numbered there, dense and the same on every run; counts alone are dealt out."""
+    df = many_partitions.range(3000).selectExpr("CASE WHEN id < 900 THEN 'hot' ELSE concat('k', id % 700) END AS a", "id % 500 AS b")
+    keyed = with_row_key(df.repartition("a"), "sk", buckets=8, near="a")
+    first = rows(keyed, "sk")
+    again = rows(with_row_key(df.repartition(11, "b"), "sk", buckets=8, near="a"), "sk")
+    assert first == again and [r["sk"] for r in first] == list(range(1, 3001))
+    assert [(r["a"], r["b"]) for r in first if r["a"] == "hot"] == [("hot", b) for b in sorted(n % 500 for n in range(900))]
+    lines = keyed._jdf.queryExecution().executedPlan().toString().splitlines()
+    window = next(n for n, line in enumerate(lines) if "Window [row_number()" in line)
+    below = next(line for line in lines[window:] if "Exchange" in line)
+    assert "hashpartitioning(a#" in below and "REPARTITION_BY_NUM" not in below  # no exchange of rows by bucket
+    assert with_row_key(df.limit(0), "sk", near="a").count() == 0
