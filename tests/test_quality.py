@@ -7,6 +7,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from tianguis.operators.checks import table_constraints
 from tianguis.plans import quality
 
 
@@ -80,3 +81,15 @@ def test_text_lengths(star):
     assert {v for v in verdicts(quality.text_lengths(star)).values()} == {(0, "PASS")}
     long_state = dataclasses.replace(star, dim_sellers=star.dim_sellers.withColumn("seller_state", F.lit("SPX")))
     assert verdicts(quality.text_lengths(long_state))["largo dim_sellers.seller_state"] == (3, "FAIL")
+
+
+def test_keys_of_several_types_are_counted_together(spark):
+    """dq_constraints: whole numbers travel as numbers, other keys as text, and an empty text or a zero is a value."""
+    df = spark.createDataFrame(
+        [(0, "", 1, "x"), (0, "a", 2, None), (7, "a", None, "1"), (None, None, 3, "")], "n long, t string, f int, g string"
+    )
+    numbers, texts = spark.createDataFrame([(1,), (2,)], "id long"), spark.createDataFrame([(1,), (2,)], "id int")
+    checks = table_constraints("t", df, ["n", "t"], {"f": (numbers, "id"), "g": (texts, "id")}, ["n", "g"])
+    found = {r["test"]: r["resultado"] for r in checks.collect()}
+    assert found == {"pk t.n": 1, "pk t.t": 1, "fk t.f": 1, "fk t.g": 2, "not null t.n": 1, "not null t.g": 1}
+    assert "cast(n#" not in checks._jdf.queryExecution().executedPlan().toString()

@@ -10,6 +10,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def stacked(parts: list[DataFrame]) -> DataFrame:
@@ -48,43 +49,52 @@ def table_constraints(
 ) -> DataFrame:
     """(test, resultado) for the keys, references and NOT NULL columns of one table, from one reading of it.
 
-    Every row names its values under the rule they belong to; equal values of a rule are counted together before
-    the shuffle, so a hot reference is one row where it meets the referenced keys, and long rows are never moved.
-    A primary key counts the keys that occur more than once, a reference the rows whose key does not exist (NULL
-    is allowed), a required column its NULLs.
+    Every row names its values under the number of the rule they belong to; equal values of a rule are counted together
+    before the shuffle, so a hot reference is one row where it meets the referenced keys, and long rows are never moved.
+    Whole numbers travel as numbers, other values as text. A primary key counts the keys that occur more than once, a
+    reference the rows whose key does not exist (NULL is allowed), a required column its NULLs.
     """
-    labels = [f"pk {table}.{k}" for k in primary] + [f"fk {table}.{k}" for k in foreign]
+    labels = [f"pk {table}.{k}" for k in primary] + [f"fk {table}.{k}" for k in foreign] + [f"not null {table}.{c}" for c in required]
     keys = [*primary, *foreign]
-    named = [F.struct(F.lit(label).alias("test"), F.col(k).cast("string").alias("value")) for label, k in zip(labels, keys, strict=True)]
-    missing = {f"not null {table}.{c}": c for c in required}
-    named += [
-        F.struct(F.lit(label).alias("test"), F.when(F.col(c).isNull(), F.lit("missing")).alias("value"))
-        for label, c in missing.items()
+    whole = [
+        all(isinstance(frame.schema[name].dataType, T.IntegralType) for frame, name in [(df, k), *([foreign[k]] if n >= len(primary) else [])])
+        for n, k in enumerate(keys)
     ]
-    counted = (
-        df.select(F.inline(F.array(*named))).where(F.col("value").isNotNull()).groupBy("test", "value").agg(F.count(F.lit(1)).alias("_n"))
-    )
-    if foreign:
-        known = stacked(
-            [
-                other.select(F.lit(f"fk {table}.{k}").alias("test"), F.col(name).cast("string").alias("value"))
-                for k, (other, name) in foreign.items()
-            ]
+
+    def under(rule: int, number: Column | None, text: Column | None = None) -> Column:
+        parts = {"_number": (number, "bigint"), "_text": (text, "string")}
+        return F.struct(
+            F.lit(rule).alias("_rule"),
+            *[(F.lit(None) if part is None else part).cast(kind).alias(name) for name, (part, kind) in parts.items()],
         )
-        known = known.groupBy("test", "value").agg(F.lit(True).alias("_known"))
-        counted = counted.join(known, ["test", "value"], "left")
+
+    def value(rule: int, name: str) -> Column:
+        return under(rule, F.col(name)) if whole[rule] else under(rule, None, F.col(name))
+
+    def present(named: DataFrame) -> DataFrame:
+        """Values that are there, in columns that are never NULL and so can be joined by."""
+        there = named.where(F.col("_number").isNotNull() | F.col("_text").isNotNull())
+        return there.select("_rule", F.coalesce("_number", F.lit(0)).alias("_number"), F.coalesce("_text", F.lit("")).alias("_text"))
+
+    by = ["_rule", "_number", "_text"]
+    named = [value(n, k) for n, k in enumerate(keys)]
+    named += [under(n, F.when(F.col(c).isNull(), 1)) for n, c in enumerate(required, len(keys))]
+    counted = present(df.select(F.inline(F.array(*named)))).groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
+    if foreign:
+        known = stacked([other.select(F.inline(F.array(value(n, name)))) for n, (other, name) in enumerate(foreign.values(), len(primary))])
+        known = present(known).groupBy(*by).agg(F.lit(True).alias("_known"))
+        counted = counted.join(known, by, "left")
     else:
         counted = counted.withColumn("_known", F.lit(None).cast("boolean"))
 
-    def result(label: str) -> Column:
-        mine = F.col("test") == label
-        if label.startswith("pk "):
+    def result(rule: int) -> Column:
+        mine = F.col("_rule") == rule
+        if rule < len(primary):
             return F.count_if(mine & (F.col("_n") > 1))
         return F.coalesce(F.sum(F.when(mine & F.col("_known").isNull(), F.col("_n"))), F.lit(0))
 
-    every = [*labels, *missing]
-    totals = counted.agg(*[result(label).alias(f"_{i}") for i, label in enumerate(every)])
-    pairs = [F.struct(F.lit(label).alias("test"), F.col(f"_{i}").alias("resultado")) for i, label in enumerate(every)]
+    totals = counted.agg(*[result(n).alias(f"_{n}") for n in range(len(labels))])
+    pairs = [F.struct(F.lit(label).alias("test"), F.col(f"_{n}").alias("resultado")) for n, label in enumerate(labels)]
     return totals.select(F.inline(F.array(*pairs)))
 
 
