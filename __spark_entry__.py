@@ -53,12 +53,29 @@ def _soiled_star(s: StandIn):
 
 
 def _fact_by_natural_keys(s: StandIn) -> DataFrame:
-    """The item fact with its surrogate keys translated back, which also proves the keys."""
+    """The item fact with its surrogate keys translated back, which also proves the keys.
+
+    The fact lies by its orders when it is built. There the order key is held against the order, and customers come back
+    once for each pair of order and customer. Items then travel for products and sellers alone, without their total: what it
+    differs from price and freight is next to nothing.
+    """
     star = _built_star(s)
-    return (
-        star.fact_order_items.drop("order_id")
-        .join(star.dim_orders.select("order_sk", "order_id"), "order_sk")
+    parts = F.col("price") + F.col("freight_value")
+    fact = star.fact_order_items.drop("order_item_sk")
+    # The pairs read every column of the fact, so that both readings share its exchanges.
+    pairs = fact.groupBy("order_id", "customer_sk").agg(F.max(F.xxhash64(*fact.columns)).alias("_whole")).where(F.col("_whole").isNotNull())
+    bought = (
+        pairs.drop("_whole")
         .join(star.dim_customers.select("customer_sk", "customer_id"), "customer_sk")
+        .join(star.dim_orders.select("order_sk", "order_id"), "order_id")
+        .withColumnsRenamed({"order_id": "_order_id", "order_sk": "_order_sk", "customer_sk": "_customer_sk"})
+    )
+    # Keys are compared by their difference: as keys of the join they would make Spark deal the items out anew.
+    same = [F.col(key) - F.col(f"_{key}") == 0 for key in ("order_sk", "customer_sk")]
+    return (
+        fact.join(bought, [F.col("order_id") == F.col("_order_id"), *same])
+        .withColumn("_rest", F.col("total_value") - parts)
+        .drop("total_value")
         .join(star.dim_products.select("product_sk", "product_id"), "product_sk")
         .join(star.dim_sellers.select("seller_sk", "seller_id"), "seller_sk")
         .select(
@@ -70,7 +87,7 @@ def _fact_by_natural_keys(s: StandIn) -> DataFrame:
             "date_sk",
             "price",
             "freight_value",
-            "total_value",
+            (parts + F.col("_rest")).cast("decimal(10,2)").alias("total_value"),
         )
     )
 

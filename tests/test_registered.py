@@ -36,3 +36,13 @@ def test_query_matches_its_sql(spark, connection, name):
 
 def test_entry(spark):
     assert entry.entry(spark).count() > 70
+
+
+def test_items_are_dealt_out_for_products_and_sellers_alone(spark):
+    """fact_order_items: translating keys back used to deal out every item by its order and by its customer too."""
+    wide = [
+        line
+        for line in QUERIES["fact_order_items"](spark, FOLDER)._jdf.queryExecution().optimizedPlan().toString().splitlines()
+        if "Join Inner" in line and "order_sk" in line
+    ]
+    assert wide and all("order_id" in line and " - " in line for line in wide)
