@@ -7,8 +7,9 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from tianguis.operators.checks import table_constraints
+from tianguis.operators.checks import table_constraints, violations
 from tianguis.plans import quality
+from tianguis.plans.star import plan_star
 
 
 def verdicts(checks):
@@ -93,3 +94,24 @@ def test_keys_of_several_types_are_counted_together(spark):
     found = {r["test"]: r["resultado"] for r in checks.collect()}
     assert found == {"pk t.n": 1, "pk t.t": 1, "fk t.f": 1, "fk t.g": 2, "not null t.n": 1, "not null t.g": 1}
     assert "cast(n#" not in checks._jdf.queryExecution().executedPlan().toString()
+
+
+def test_good_items_are_read_but_not_moved(raw):
+    """soiled_fact_amounts: all items were dealt out by product, seller and order before their amounts were looked at."""
+    price = F.when((F.col("order_id") == "o1") & (F.col("order_item_id") == "2"), "-1").otherwise(F.col("price"))
+    checks = quality.fact_amounts(plan_star({**raw, "order_items": raw["order_items"].withColumn("price", price)}))
+    found = verdicts(checks)
+    assert found["price < 0"] == (1, "FAIL") and found["date_sk NULL"] == (0, "PASS")
+    lines = checks._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0].splitlines()
+    looked_at = next(n for n, line in enumerate(lines) if "Filter" in line and "< 0.00" in line)
+    assert "hashpartitioning(product_id#" in next(line for line in reversed(lines[:looked_at]) if "Exchange" in line)
+
+
+def test_violations_of_rows_with_nulls_and_of_repeated_rows(spark):
+    """A rule that is NULL for a row hides no other rule of it, a row that breaks two rules counts for both."""
+    data = [(None, 1), (-1, None), (-1, None), (None, None), (-2, 5), (3, 3)]
+    df = spark.createDataFrame(data, "v int, w int")
+    rules = {"negative": F.col("v") < 0, "missing": F.col("w").isNull(), "above": F.col("w") > F.col("v")}
+    for rows_of, expected in ((df, [3, 3, 1]), (df.limit(0), [0, 0, 0]), (df.where("v = 3"), [0, 0, 0])):
+        found = {r["test"]: r["resultado"] for r in violations(rows_of, rules).collect()}
+        assert list(found.values()) == expected and list(found) == list(rules)

soiled_fact_amounts: good rows are filtered out before they are shuffled

Symptom: soiled_fact_amounts moved every item three times, by product, by seller and by order, to count a few bad amounts.
Evidence: the profiler (quick, sf0.1): 70 MB written and 70 read. 10 x sf0.1, 64 partitions, six threads, broadcasts up to 256 KB: 657 MB written, 548 of them items.
Fix: violations() keeps only rows that break a rule; the day key of the item fact is known not to be NULL, so the filter concerns items alone and Spark moves it to their scan.
Effect, together with 1 more commit on this code: at 1 GB of input CPU 575 -> 385 s, shuffle 4.28 -> 0.59 GB, spill 0.00 -> 0.00 GB, read 0.99 -> 0.99 GB, longest task 13 -> 13 s, most memory of a task 302 -> 169 MB; at 6 GB of input CPU 2468 -> 1277 s, shuffle 26.80 -> 3.68 GB, spill 0.00 -> 0.00 GB, read 6.73 -> 6.73 GB, longest task 22 -> 16 s, most memory of a task 386 -> 403 MB.

@@ -25,9 +25,14 @@ def labelled_counts(tables: Mapping[str, DataFrame], label: str = "tabla") -> Da
 
 
 def violations(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
-    """(test, resultado): how many rows satisfy each rule; NULL counts as no violation."""
+    """(test, resultado): how many rows satisfy each rule; NULL counts as no violation.
+
+    Rows that satisfy no rule count nowhere and are filtered out. Spark moves the filter below the joins that ``df`` is made
+    of, as far as the rules allow, so good rows are read but not shuffled.
+    """
     columns = {f"_{i}": rule for i, rule in enumerate(rules.values())}
-    counted = df.agg(*[F.count_if(rule).alias(name) for name, rule in columns.items()])
+    broken = df.where(reduce(Column.__or__, columns.values()))
+    counted = broken.agg(*[F.count_if(rule).alias(name) for name, rule in columns.items()])
     pairs = F.array(
         *[F.struct(F.lit(label).alias("test"), F.col(f"_{i}").alias("resultado")) for i, label in enumerate(rules)]
     )
