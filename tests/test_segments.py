@@ -6,6 +6,7 @@ from conftest import rows
 
 from tianguis.plans import segments
 from tianguis.plans.quality import segment_checks
+from tianguis.plans.reporting import seller_totals
 from tianguis.plans.star import plan_star
 
 
@@ -70,3 +71,21 @@ def test_the_built_fact_is_computed_once_for_all_readings(spark, standin):
     plan = summary._jdf.queryExecution().executedPlan().toString()
     for key in ("product_id", "seller_id", "order_id"):
         assert f"SortMergeJoin [{key}#" in plan and f"BroadcastHashJoin [{key}#" not in plan.split("Initial Plan")[0]
+
+
+def test_seller_totals_hold_no_orders(many_partitions):
+    """segment_distribution: every task held a row for each order and product of its sellers in a hash table, which spilled."""
+    data = [(n % 3 if n % 11 else None, n % 40 if n % 7 else None, n % 5 if n % 6 else None, None if n % 4 == 0 else n, n) for n in range(300)]
+    data += [(1, 1, 1, 5, 9)] * 50 + [(7, None, None, None, None), (8, 500, 2, 1, 3), (8, 500, 4, 1, 2)]
+    kinds = "seller_sk int, order_id int, product_sk int, total_value decimal(10,2), date_sk int"
+    items = many_partitions.createDataFrame([(s, o, p, None if v is None else Decimal(v), d) for s, o, p, v, d in data], kinds)
+    totals = seller_totals(type("S", (), {"fact_order_items": items}))
+    expected = {}
+    for seller in {row[0] for row in data}:
+        mine = [row[1:] for row in data if row[0] == seller]
+        orders, products, values, days = ([x for x in column if x is not None] for column in zip(*mine))
+        revenue = sum(values) if values else None
+        expected[seller] = (revenue, len(values), len(set(orders)), len(set(products)), min(days, default=None), max(days, default=None))
+    assert {r[0]: tuple(r)[1:] for r in totals.collect()} == expected
+    plan = totals._jdf.queryExecution().executedPlan().toString()
+    assert not [line for line in plan.splitlines() if "Aggregate(keys=[" in line and "order_id#" in line.split("functions=")[0]]
