@@ -6,7 +6,8 @@ from decimal import Decimal
 from conftest import rows
 
 from tianguis.operators.keys import first_by_key, keyed_first, with_row_key, with_surrogate_key
-from tianguis.plans.star import dim_customers, plan_star
+from tianguis.plans.quality import star_info
+from tianguis.plans.star import ORDER_TIMESTAMPS, dated_orders, dim_customers, dim_orders, plan_star
 
 
 def test_calendar_is_continuous(star):
@@ -156,3 +157,24 @@ def test_row_keys_near_a_column_leave_the_rows_where_they_lie(many_partitions):
     below = next(line for line in lines[window:] if "Exchange" in line)
     assert "hashpartitioning(a#" in below and "REPARTITION_BY_NUM" not in below  # no exchange of rows by bucket
     assert with_row_key(df.limit(0), "sk", near="a").count() == 0
+
+
+def test_bucket_numbers_do_not_travel(star):
+    """dq_info: rows that were dealt out by the bucket of their key carried its number with them."""
+    plan = star_info(star)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(_bucket#" not in plan and "hashpartitioning(coalesce(pmod(xxhash64(order_id#" in plan
+    keys = star.dim_sellers._jdf.queryExecution().executedPlan().toString().split("Window [row_number()")[1]
+    assert sum("Exchange" in line and "xxhash64(seller_id#" in line for line in keys.split("BroadcastExchange")[0].splitlines()) == 1
+
+
+def test_orders_looked_up_by_the_facts_have_the_keys_of_the_dimension(many_partitions, raw):
+    """Orders that come twice, without an id or with blank fields: the same row is kept, under the same number."""
+    data = [("a", "x", ""), ("a", "x", "2018-01-02 00:00:00"), ("b", None, "2018-01-03 00:00:00"), ("b", "", None), (None, "y", ""), ("", "y", "")]
+    odd = many_partitions.createDataFrame([(f"{k}{n}" if k else k, s, t) for n in range(50) for k, s, t in data], "order_id string, order_status string, t string")
+    orders = odd.withColumnRenamed("t", ORDER_TIMESTAMPS[0])
+    for c in raw["orders"].columns:
+        orders = orders if c in orders.columns else orders.selectExpr("*", f"CAST(NULL AS STRING) AS {c}")
+    staging = {"orders": orders.select(*raw["orders"].columns).unionByName(raw["orders"])}
+    whole = {tuple(r) for r in dim_orders(staging).select("order_sk", "order_id", ORDER_TIMESTAMPS[0]).collect() if r[1] is not None}
+    found = dated_orders(staging).collect()
+    assert {tuple(r) for r in found if r[1] is not None} == whole and len(found) == len(whole) + 1

@@ -9,9 +9,18 @@ from pyspark.sql import functions as F
 KEY_BUCKETS = 16_384
 
 
+def _bucket(key: str, buckets: int) -> Column:
+    """The hash bucket of a key, known not to be NULL: no reading tests it once more."""
+    return F.coalesce(F.pmod(F.xxhash64(key), F.lit(buckets)), F.lit(0))
+
+
 def _bucketed(df: DataFrame, key: str, buckets: int) -> DataFrame:
-    """Rows with the hash bucket of their key, which is known not to be NULL: no reading tests it once more."""
-    return df.withColumn("_bucket", F.coalesce(F.pmod(F.xxhash64(key), F.lit(buckets)), F.lit(0)))
+    return df.withColumn("_bucket", _bucket(key, buckets))
+
+
+def _dealt(df: DataFrame, key: str, buckets: int) -> DataFrame:
+    """Rows dealt out by bucket. The bucket is told from the key again where they arrive and doesn't travel."""
+    return _bucketed(df.repartition(_bucket(key, buckets)), key, buckets)
 
 
 def _whole(columns: list[str]) -> Column:
@@ -67,7 +76,7 @@ def keyed_first(df: DataFrame, key: str, name: str, buckets: int = KEY_BUCKETS)
     keys, and neither does a reading that asks for the numbers alone: both share one exchange. Offsets are joined from the
     left, on a key known to be unique, so a reading that doesn't ask for the numbers has neither the join nor the count.
     """
-    dealt = _bucketed(df, key, buckets).repartition("_bucket")
+    dealt = _dealt(df, key, buckets)
     kept = _smallest(dealt, ["_bucket", key], key, df.columns)
     counts = kept.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
     place = F.row_number().over(Window.partitionBy("_bucket").orderBy(key))
@@ -96,7 +105,7 @@ def with_row_key(df: DataFrame, name: str, buckets: int = KEY_BUCKETS, near: str
     else:
         # Counting reads every column too, so that it shares the exchanges below with the rows.
         sizes = df.groupBy(near).agg(F.count(F.lit(1)).alias("_n"), _whole(columns)).where(F.col("_whole").isNotNull())
-        dealt = _bucketed(sizes.select(near, "_n"), near, buckets).repartition("_bucket")
+        dealt = _dealt(sizes.select(near, "_n"), near, buckets)
         counts = dealt.groupBy("_bucket").agg(F.sum("_n").alias("_n"), _whole([near])).where(F.col("_whole").isNotNull())
         inside = Window.partitionBy("_bucket").orderBy(near).rowsBetween(Window.unboundedPreceding, -1)
         placed = dealt.withColumn("_inside", F.coalesce(F.sum("_n").over(inside), F.lit(0))).join(_offsets(counts), "_bucket")
